@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomery.llm import bpe, licenses, line_dedup, simhash, token_counts, toxicity
+from loomery.llm import bpe, embed_dedup, licenses, line_dedup, simhash, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -43,7 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op8_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
