@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, token_counts, toxicity
+from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, token_counts, topk_search, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.col("kept").alias("kept_sha256"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return topk_search.search(docs, docs.where("doc_id % 50 = 0"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(_table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
