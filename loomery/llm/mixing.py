@@ -5,9 +5,9 @@ every document a posterior over domains: good, poor, toxic. Rates are then fitte
 to all documents: nonnegative r with sum_i r_i n_i p_i = T, where n_i are a
 document's tokens, p_i its posterior and T the target totals, by projected
 gradient on the squared distance of both sides. A document's gradient, in the
-metric of its tokens and of the inverse of sum n p p', is p_i . y with one small y for all, so a step is a pass
-that sums a vector over the corpus, and rates are a chain of column expressions
-r <- max(0, r + p . y). Only these sums reach the driver.
+metric of its tokens, is p_i . y with one small y for all, so a step is a pass
+that sums a few vectors over the corpus, and rates are a chain of column
+expressions r <- max(0, r + p . y). Only these sums reach the driver.
 """
 
 from __future__ import annotations
@@ -120,40 +120,59 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "do
     return given.mapInArrow(run, schema)
 
 
-def fitted_rate(weighed: DataFrame, targets: dict[str, float], tolerance: float = 1e-9, most_steps: int = 40) -> Column:
-    """Column of rates for a table with n_tokens and posteriors; ``targets`` are weights of a mix of the same size."""
-    p, n = [F.col(f"p_{d}") for d in DOMAINS], F.col("n_tokens").cast("double")
+#: Lengths tried for each step; one pass sums the outcome of all of them.
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
+
+
+def fitted_rate(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least_rate: float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> Column:
+    """Column of rates for a table with n_tokens and posteriors.
+
+    ``targets`` are weights of a mix of ``growth`` times the tokens there are; no
+    rate goes below ``least_rate``. Steps go along the gradient, plain and in the
+    metric of the documents above the bound, as far as the distance shrinks most;
+    targets that no such rates reach end at the nearest found.
+    """
+    p = [F.col(f"p_{d}") for d in DOMAINS]
     k = len(DOMAINS)
-    want = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    rate: Column = F.lit(1.0)
-    best, best_rate = np.inf, rate
-    for _ in range(most_steps):
-        live = F.when(rate > 0, n).otherwise(0.0)
-        sums = [F.sum(n * rate * p[i]) for i in range(k)] + [F.sum(live * p[i] * p[j]) for i in range(k) for j in range(i, k)] + [F.sum(n)]
-        got = [float(v or 0.0) for v in weighed.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()]
-        total = got[-1]
-        if not total:
+    want = growth * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
+    n = F.col("n_tokens").cast("double")
+
+    def moved(rate: Column, y: np.ndarray) -> Column:
+        return F.greatest(F.lit(float(least_rate)), rate + sum((F.lit(float(v)) * q for v, q in zip(y, p)), F.lit(0.0)))
+
+    rate: Column = F.greatest(F.lit(float(least_rate)), F.lit(1.0))
+    now = weighed.select(n.alias("n"), *p, rate.alias("r"))
+    first = now.agg(F.sum("n"), *(F.sum(F.col("n") * F.col("r") * q) for q in p)).first()
+    total, got = float(first[0] or 0.0), np.array([float(v or 0.0) for v in first[1:]])
+    for _ in range(most_steps if total else 0):
+        short = want - got / total
+        if np.abs(short).max() <= tolerance:
             break
-        short = want - np.array(got[:k]) / total
+        # a document at the bound takes part where the gradient leads away from it
+        rises = sum((F.lit(float(v)) * q for v, q in zip(short, p)), F.lit(0.0)) > 0
+        live = F.when((F.col("r") > least_rate) | rises, F.col("n")).otherwise(0.0)
+        now = weighed.select(n.alias("n"), *p, rate.alias("r"))
+        row = now.agg(*(F.sum(live * p[i] * p[j]) for i in range(k) for j in range(i, k))).first()
         gram = np.zeros((k, k))
-        gram[np.triu_indices(k)] = np.array(got[k:-1]) / total
+        gram[np.triu_indices(k)] = np.array([float(v or 0.0) for v in row]) / total
         gram = gram + np.triu(gram, 1).T
-        size = float(np.abs(short).max())
-        if size >= best * (1 - 1e-3) and best < np.inf:
-            break  # targets that no nonnegative rates reach: keep the nearest found
-        best, best_rate = size, rate
-        if size <= tolerance:
+        steps = [np.linalg.lstsq(gram + 1e-9 * np.eye(k), short, rcond=1e-10)[0], short / max(np.linalg.norm(gram, 2), 1e-9)]
+        tried = [t * y for y in steps for t in LENGTHS]
+        row = now.agg(*(F.sum(F.col("n") * moved(F.col("r"), y) * q) for y in tried for q in p)).first()
+        sums = np.array([float(v or 0.0) for v in row]).reshape(len(tried), k)
+        away = np.linalg.norm(want - sums / total, axis=1)
+        best = int(away.argmin())
+        if away[best] >= np.linalg.norm(short) * (1 - 1e-4):
             break
-        y = np.linalg.lstsq(gram + 1e-9 * np.eye(k), short, rcond=1e-10)[0]
-        rate = F.greatest(F.lit(0.0), rate + sum((F.lit(float(v)) * q for v, q in zip(y, p)), F.lit(0.0)))
-    return best_rate
+        rate, got = moved(rate, tried[best]), sums[best]
+    return rate
 
 
 #: Target weights of good, poor and toxic documents in tokens.
 TARGETS = {"good": 0.85, "poor": 0.12, "toxic": 0.03}
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", classifier: Classifier | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", growth: float = 1.0, least_rate: float = 0.0) -> DataFrame:
     """row, doc_id, n_tokens, p_good, p_poor, p_toxic, rate for every row.
 
     rate (0 or more) is how often a document goes into the mix. A null or empty
@@ -161,21 +180,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     posteriors are equal and rates 1. Repeated rows count each for itself; an
     empty table gives no rows; input columns of any name stay in ``row``.
     """
-    classifier = classifier or fit_classifier(docs, labels, sample)
+    classifier = fit_classifier(docs, labels, sample)
     weighed = domain_posteriors(docs, classifier, id_col, text_col)
     weighed = written(weighed, "posteriors")
-    return weighed.withColumn("rate", fitted_rate(weighed, targets or TARGETS))
+    return weighed.withColumn("rate", fitted_rate(weighed, targets or TARGETS, growth, least_rate))
 
 
 def repeated(mixed: DataFrame, seed: int = 9) -> DataFrame:
     """The mix itself, as rows of the input: whole copies by rate, the fraction by a hash of the id.
 
-    Rates are scaled to 1 at the least, which keeps every document and all
-    proportions; only domains that are short repeat. A least rate of 0 would
-    scale without bound, so rates under 0.05 count as 0.05 then.
+    A rate of 1 or more keeps a document for certain.
     """
-    low = mixed.agg(F.min("rate")).first()[0]
-    scaled = F.greatest(F.col("rate"), F.lit(0.05)) / F.lit(max(low if low is not None else 1.0, 0.05))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    copies = F.greatest(F.lit(1), F.floor(scaled + chance).cast("int"))
-    return mixed.select("row", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select("row.*")
+    copies = F.floor(F.col("rate") + chance).cast("int")
+    return mixed.where(copies > 0).select("row", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).select("row.*")
