@@ -101,7 +101,7 @@ def front_matter(text: Column) -> Column:
 
 def entries(spark: SparkSession, path: str, schema_kind: str) -> DataFrame:
     """Markdown entries of a folder: id, schema_kind, entry (JSON), body, error, file, source. The id is the front matter's, else the file's stem."""
-    read = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(path)
+    read = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True)
     parsed = read.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("source"), front_matter(F.col("value")).alias("p"))
     stem = F.regexp_replace("file", r"\.md\z", "")
     return parsed.select(either(F.get_json_object("p.frontmatter", "$.id"), stem).alias("id"), F.lit(schema_kind).alias("schema_kind"), F.col("p.frontmatter").alias("entry"), "p.body", "p.error", "file", "source")
