@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomery.functions.scalars import strip_version, truthy
+from loomery.sources.shared import checkpointed
 
 
 def own_family(record_id: Column, subject: Column, parent: Column) -> Column:
     return F.coalesce(truthy(subject), truthy(parent), strip_version(record_id))
 
 
-def roots(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def roots(edges: DataFrame) -> DataFrame:
     """(id, root) for every row of ``edges`` (id, parent; ids unique).
 
     The root is the first ancestor without a parent in the data, or where the
@@ -20,29 +21,26 @@ def roots(edges: DataFrame, rounds: int = 40) -> DataFrame:
     end lead into a circle, and only those walk on step by step.
     """
     start = edges.where(truthy(F.col("parent")).isNotNull()).select("id", "parent")
-    state = start.select("id", F.col("parent").alias("at"), F.lit(False).alias("done"))
-    state = state.join(start.select(F.col("id").alias("_k")), F.col("at") == F.col("_k"), "left").select("id", "at", F.col("_k").isNull().alias("done")).checkpoint()
-    for _ in range(rounds):
-        left = state.agg(F.count_if(~F.col("done"))).first()[0]
-        if not left:
-            break
+    known = start.select(F.col("id").alias("_k"))
+    state = start.join(known, F.col("parent") == F.col("_k"), "left").select("id", F.col("parent").alias("at"), F.col("_k").isNull().alias("done"))
+    state, length = checkpointed(state), 1
+    size = state.count()
+    # after a round every open node has jumped twice as far; beyond the number of nodes it can only be in a circle
+    while length <= size and state.where("not done").limit(1).count():
         jump = state.select(F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("done").alias("_done"))
         moved = state.where("not done").join(jump, F.col("at") == F.col("_id")).select("id", F.col("_at").alias("at"), F.col("_done").alias("done"))
-        now = state.where("done").unionByName(moved).checkpoint()
-        if 2**_ > start.count():
-            state = now
-            break
-        state = now
+        state, length = checkpointed(state.where("done").unionByName(moved)), 2 * length
     open_ = state.where("done").select("id", F.col("at").alias("root"))
     stuck = state.where("not done").select("id").join(start, "id")
     # in or before a circle: the way there is walked with the nodes seen so far
-    walk = stuck.select("id", F.col("parent").alias("at"), F.array("id").alias("seen")).checkpoint()
+    walk = checkpointed(stuck.select("id", F.col("parent").alias("at"), F.array("id").alias("seen")))
     found: DataFrame | None = None
     while not walk.isEmpty():
         ended = walk.where(F.array_contains("seen", F.col("at"))).select("id", F.col("at").alias("root"))
         found = ended if found is None else found.unionByName(ended)
         step = walk.where(~F.array_contains("seen", F.col("at"))).withColumn("seen", F.array_append("seen", F.col("at")))
-        walk = step.join(start.select(F.col("id").alias("_id"), "parent"), F.col("at") == F.col("_id")).select("id", F.col("parent").alias("at"), "seen").checkpoint()
+        step = step.join(start.select(F.col("id").alias("_id"), "parent"), F.col("at") == F.col("_id"))
+        walk = checkpointed(step.select("id", F.col("parent").alias("at"), "seen"))
     return open_ if found is None else open_.unionByName(found)
 
 
