@@ -392,8 +392,13 @@ def test_mixing_meets_targets(spark, insults, no_docs):
     total = sum(r["n_tokens"] for r in rows)
     for d in mixing.DOMAINS:
         assert abs(sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows) / total - targets[d]) < 0.02
-    again = mixing.repeated(mixing.mix(docs, labels, targets))
-    assert again.columns == docs.columns and again.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    short = mixing.repeated(mixing.mix(docs, labels, targets))
+    assert short.columns == docs.columns and 0 < short.count() < 2 * docs.count()
+    # with a least rate of 1 every document stays, and the mix grows by repeats
+    grown = mixing.mix(docs, labels, targets, growth=1.5, least_rate=1.0).cache()
+    again = mixing.repeated(grown)
+    assert grown.where("rate < 1").count() == 0 and again.count() > 1.2 * docs.count()
+    assert again.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert mixing.mix(no_docs, labels).count() == 0 and mixing.repeated(mixing.mix(no_docs, labels.limit(0))).count() == 0
     assert {round(r["rate"], 6) >= 0 for r in mixing.mix(docs, labels.limit(0)).collect()} == {True}
 
