@@ -73,8 +73,8 @@ def _worded(entry: Column, kind: str) -> list[Column]:
         who = F.concat(lit("a "), F.coalesce(t("kind"), t("role_class"), lit("figure")), F.coalesce(F.concat(lit(" wearing "), t("visual.attire")), lit("")))
         return [who, cue, F.concat(t("visual.build"), lit(" build")), t("visual.hair")]
     if kind == "deity":
-        shine = F.when(t("visual.radiance") != "none-on-earth", F.concat(t("visual.radiance"), lit(" "))).otherwise("")
-        return [F.concat(lit("a "), F.coalesce(t("generation"), lit("greek")), lit(" "), F.coalesce(shine, lit("")), lit("deity")), cue, F.concat(lit("holding "), t("visual.signature_attribute"))]
+        shine = F.when(t("visual.divine_radiance") != "none-on-earth", t("visual.divine_radiance"))
+        return [F.concat_ws(" ", F.coalesce(t("generation"), lit("greek")), shine, lit("deity")), cue, F.concat(lit("holding "), t("visual.signature_attribute"))]
     if kind == "faction":
         name = F.coalesce(t("faction_class"), lit("faction"))
         return [F.concat(name, lit(" faction aesthetic")), t("visual.architectural_style"), _first(entry, "visual.aesthetic_markers", 2)]
@@ -82,14 +82,14 @@ def _worded(entry: Column, kind: str) -> list[Column]:
         place = F.concat_ws(" ", F.concat(lit("a "), t("location_type")), F.concat(lit("in "), F.coalesce(t("region"), t("scale_context.parent_sector"))))
         return [place, cue, t("visual.lighting_mood")]
     if kind == "monster":
-        return [F.concat(lit("a "), F.coalesce(t("species_tag"), lit("creature")), lit(" creature")), _first(entry, "visual.signature_features", 2), t("anatomy.notable[0]")]
+        return [F.concat(lit("a "), F.coalesce(t("species_tag"), lit("creature")), lit(" creature")), _first(entry, "signature_features", 2), t("anatomy_descriptor.notable[0]")]
     if kind == "relic":
-        stuff = F.array_join(F.coalesce(_items(entry, "visual.materials"), F.array().cast("array<string>")), " and ")
+        stuff = F.array_join(F.coalesce(_items(entry, "materials"), F.array().cast("array<string>")), " and ")
         return [F.concat(lit("a "), F.coalesce(t("relic_type"), lit("relic"))), cue, stuff]
     if kind == "ship":
         return [F.concat(lit("a "), F.coalesce(t("ship_class"), lit("ship")), lit(" ship")), cue, t("visual.material_dominant")]
     if kind == "species":
-        return [F.concat(lit("a "), F.coalesce(t("biology_class"), lit("species")), lit(" species")), t("visual.body_plan"), t("visual.signature_appendages")]
+        return [F.concat(lit("a "), F.coalesce(t("biology_class"), lit("species")), lit(" species")), t("visual.body_plan"), t("visual.anatomy_descriptors.signature_appendages")]
     raise KeyError(kind)
 
 

@@ -465,8 +465,8 @@ def freeze_gate(spark, sf_dir):
 @query("""select p_partkey as id, case p_partkey % 4 when 0 then 'hero style, a '||p_type||' ship'||', '||p_brand when 1 then 'hero style, a relic, '||p_brand||', iron and '||p_type when 2 then 'hero style, a '||p_type||' in the rim, '||p_brand else 'hero style, a figure wearing '||p_type||', '||p_brand||', slim build' end as caption from part""")
 def entity_captions(spark, sf_dir):
     kind = F.element_at(F.array(F.lit("ship"), F.lit("relic"), F.lit("location"), F.lit("character")), (F.col("p_partkey") % 4 + 1).cast("int"))
-    visual = F.struct(F.col("p_brand").alias("silhouette_cue"), F.array(F.lit("iron"), F.col("p_type")).alias("materials"), F.when(kind == "character", F.col("p_type")).alias("attire"), F.lit("slim").alias("build"))
-    entry = F.to_json(F.struct(visual.alias("visual"), F.when(kind == "ship", F.col("p_type")).alias("ship_class"), F.col("p_type").alias("location_type"), F.lit("the rim").alias("region")))
+    visual = F.struct(F.col("p_brand").alias("silhouette_cue"), F.when(kind == "character", F.col("p_type")).alias("attire"), F.lit("slim").alias("build"))
+    entry = F.to_json(F.struct(visual.alias("visual"), F.array(F.lit("iron"), F.col("p_type")).alias("materials"), F.when(kind == "ship", F.col("p_type")).alias("ship_class"), F.col("p_type").alias("location_type"), F.lit("the rim").alias("region")))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), captions.entity_caption(entry, kind, "hero").alias("caption"))
 
 
