@@ -8,6 +8,8 @@ from loomery.config import Project, Rule
 from loomery.functions.scalars import joined, rounded
 from loomery.operators.eligibility import located
 
+ASSERTION_FIELDS = "rule_id:string,category:string,verdict:string,score:double,rationale:string,faction:string,faction_context:string"
+
 
 def rule_table(spark, project: Project) -> DataFrame:
     """One row a rule; the number of rules is fixed by configuration, so the table may be broadcast."""
@@ -36,21 +38,22 @@ def _lookup(group: Column, values: dict[str, str | None]) -> Column:
     return out
 
 
-def _rationale(project: Project, group: Column) -> Column:
-    percent = rounded(F.col("mean") * 100).cast("string")
-    template = F.when(F.col("verdict") == "pass", F.col("rationale_pass")).otherwise(F.col("rationale_fail"))
+def _rationale(project: Project, group: Column, given: dict[str, Column]) -> Column:
+    """Template of the rule with its values; ``given`` has mean, verdict, rule_id, about, rationale_pass and rationale_fail."""
+    percent = rounded(given["mean"] * 100).cast("string")
+    template = F.when(given["verdict"] == "pass", given["rationale_pass"]).otherwise(given["rationale_fail"])
     for name, key, default in (("groupMaterial", "material", "faction material"), ("groupShapes", "shapes", "faction shapes"), ("groupWear", "wear", "faction-correct aging")):
         value = F.coalesce(_lookup(group, {g.name: getattr(g, key) for g in project.terminology.groups}), F.lit(default))
         template = F.replace(template, F.lit("${" + name + "}"), value)
     template = F.replace(template, F.lit("${scorePct}"), percent)
-    plain = F.concat(F.when(F.col("verdict") == "pass", "Passes ").otherwise("Fails "), F.col("rule_id"), F.lit(" ("), percent, F.lit("%)"))
-    partly = F.concat(F.lit("Partially meets "), F.lower("about"), F.lit(" ("), percent, F.lit("%)"))
-    return F.when(F.col("verdict") == "partial", partly).otherwise(F.coalesce(F.nullif(template, F.lit("")), plain))
+    plain = F.concat(F.when(given["verdict"] == "pass", "Passes ").otherwise("Fails "), given["rule_id"], F.lit(" ("), percent, F.lit("%)"))
+    partly = F.concat(F.lit("Partially meets "), F.lower(given["about"]), F.lit(" ("), percent, F.lit("%)"))
+    return F.when(given["verdict"] == "partial", partly).otherwise(F.coalesce(F.nullif(template, F.lit("")), plain))
 
 
-def _context(project: Project, group: Column) -> Column:
+def _context(project: Project, group: Column, rule: Column) -> Column:
     """Override by rule, then the group's own words for the rule, then one of three fallbacks by rule id."""
-    rule, terms = F.col("rule_id"), project.terminology
+    terms = project.terminology
     out = F.lit(None).cast("string")
     for rule_id, key in (("MAT-001", "material"), ("MAT-002", "wear"), ("SHP-001", "shapes")):
         out = F.when(rule == rule_id, _lookup(group, {g.name: getattr(g, key) for g in terms.groups})).otherwise(out)
@@ -81,7 +84,8 @@ def assertions(records: DataFrame, project: Project, force: bool = True) -> Data
     group = F.when(F.col("group_specific"), F.col("grp"))
     return ruled.select(
         "id", "lane", "grp", "status", "ord", "rule_id", "category", "verdict", (rounded(F.col("mean") * 100) / 100).alias("score"), "mean",
-        _rationale(project, F.col("grp")).alias("rationale"), group.alias("faction"), F.when(group.isNotNull(), _context(project, F.col("grp"))).alias("faction_context"),
+        _rationale(project, F.col("grp"), {c: F.col(c) for c in ("mean", "verdict", "rule_id", "about", "rationale_pass", "rationale_fail")}).alias("rationale"), group.alias("faction"),
+        F.when(group.isNotNull(), _context(project, F.col("grp"), F.col("rule_id"))).alias("faction_context"),
     )
 
 
@@ -104,16 +108,53 @@ def explanation(block: DataFrame, text: Column) -> Column:
     return F.trim(F.when(F.col("status") == "approved", approved).when(F.col("status") == "rejected", rejected).otherwise(other))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def assertion_array(project: Project) -> Column:
+    """The assertions of a located record in rule order, as one expression: a rule that doesn't apply gives none."""
+    scores, status, group = F.col("judgment.criteria_scores"), F.col("judgment.status"), F.col("grp")
+    failed = F.coalesce("judgment.failure_modes", F.array().cast("array<string>"))
+    modes = {r.id: [m for m, ids in project.rubric.failure_to_rules.items() if r.id in ids] for r in project.rules}
+
+    def one(rule: Rule) -> Column:
+        values = F.filter(F.array(*(F.try_element_at(scores, F.lit(d)) for d in rule.dims)), lambda s: s.isNotNull())
+        hit = F.arrays_overlap(failed, F.array(*map(F.lit, modes[rule.id]))) if modes[rule.id] else F.lit(False)
+        given = {"rule_id": F.lit(rule.id), "about": F.lit(rule.desc), "rationale_pass": F.lit(rule.rationale_pass).cast("string"), "rationale_fail": F.lit(rule.rationale_fail).cast("string")}
+
+        def made(mean: Column, word: Column) -> Column:
+            return F.struct(
+                F.lit(rule.id).alias("rule_id"), F.lit(rule.category).alias("category"), word.alias("verdict"), (rounded(mean * 100) / 100).alias("score"), _rationale(project, group, given | {"mean": mean, "verdict": word}).alias("rationale"),
+                (group if rule.group_specific else F.lit(None).cast("string")).alias("faction"), (_context(project, group, F.lit(rule.id)) if rule.group_specific else F.lit(None).cast("string")).alias("faction_context"),
+            )
+
+        scored = _let(F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values), lambda mean: _let(verdict(status, mean, hit, project.rubric.thresholds), lambda word: made(mean, word)))
+        applies = scores.isNotNull() & (F.size(values) > 0)
+        if rule.group_specific:
+            applies = applies & group.isNotNull()
+        if rule.lanes:
+            applies = applies & F.col("lane").isin(*rule.lanes)
+        return F.when(applies, scored)
+
+    if not any(r.dims for r in project.rules):
+        return F.array().cast(f"array<struct<{ASSERTION_FIELDS}>>")
+    return F.filter(F.array(*(one(r) for r in project.rules if r.dims)), lambda x: x.isNotNull())
+
+
 def bind(records: DataFrame, project: Project, force: bool = False, bound_by: str = "loomery-bind", bound_at: str | None = None) -> DataFrame:
-    """Records with their canon block replaced where rules applied; all others as they are."""
-    blocks = canon_blocks(assertions(records, project, force)).select(F.col("id").alias("_id"), "grp", *(c for c in ("assertions", "assertion_count", "pass_count", "fail_count", "partial_count")))
+    """Records with their canon block replaced where rules applied; all others as they are. One projection, no shuffle."""
+    todo = F.lit(True) if force else F.coalesce(F.size("canon.assertions"), F.lit(0)) == 0
+    kind = records.schema["canon"].dataType
+    # a generator of one row computes the assertions once; as a plain column they would be copied into every use
+    found = located(records, project).select("*", F.explode(F.array(F.when(todo, assertion_array(project)))).alias("_found"))
+    count = lambda word: F.size(F.filter("_found", lambda a: a["verdict"] == word)).alias(f"{word}_count")
     made = F.struct(
         F.lit(project.constitution_version).alias("constitution_version"), F.lit(bound_at).cast("string").alias("bound_at"), F.lit(bound_by).alias("bound_by"), F.col("grp").alias("faction"),
-        "assertions", "assertion_count", "pass_count", "fail_count", "partial_count", F.col("canon.forbidden_inputs").alias("forbidden_inputs"),
+        F.col("_found").alias("assertions"), F.size("_found").alias("assertion_count"), count("pass"), count("fail"), count("partial"), F.col("canon.forbidden_inputs").alias("forbidden_inputs"),
     )
-    joined_ = records.join(blocks, F.col("id") == F.col("_id"), "left")
-    new = F.when(F.col("_id").isNotNull(), made.cast(records.schema["canon"].dataType)).otherwise(F.col("canon"))
-    return joined_.withColumn("canon", new).select(*records.columns)
+    return found.withColumn("canon", F.when(F.size("_found") > 0, made.cast(kind)).otherwise(F.col("canon"))).select(*records.columns)
 
 
 def binding_stats(asserted: DataFrame) -> DataFrame:
