@@ -32,11 +32,11 @@ HALF_BITS = 31
 BLOCK = 1 << 16
 
 
-def fingerprint(text: bytes | None, words_per_shingle: int = 3) -> int:
-    """Unsigned 64-bit SimHash of UTF-8 text; 0 where there is no word."""
+def shingle_hashes(text: bytes | None, words_per_shingle: int) -> np.ndarray:
+    """Hashes of the word shingles of UTF-8 text in their order; a shorter text is one shingle, a wordless one has none."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, n = b" ".join(words), len(words)
     if n < words_per_shingle:
         hashes = [xxhash.xxh64_intdigest(joined, SEED)]
@@ -47,13 +47,22 @@ def fingerprint(text: bytes | None, words_per_shingle: int = 3) -> int:
         last = words_per_shingle - 1
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[i:j], SEED) for i, j in zip(start[: n - last].tolist(), end[last:].tolist())]
+    return np.array(hashes, np.uint64)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), BLOCK):
-        block = np.array(hashes[at : at + BLOCK], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        block = hashes[at : at + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes | None, words_per_shingle: int = 3) -> int:
+    """Unsigned 64-bit SimHash of UTF-8 text; 0 where there is no word."""
+    return fingerprint_of(shingle_hashes(text, words_per_shingle))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """(doc_id, fp bigint) for every row; a null or wordless text has fingerprint 0."""
 
