@@ -12,6 +12,7 @@ expressions r <- max(0, r + p . y). Only these sums reach the driver.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -124,13 +125,47 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "do
 LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
 
 
+#: A share of the mix that is off its target by more is logged.
+MISSED = 0.005
+
+
+def growth_for(weighed: DataFrame, targets: dict[str, float], least_growth: float = 1.0) -> float:
+    """Growth at which the targets are in reach though every rate is 1 at least.
+
+    What comes in stays, so a domain above its weight is thinned by tokens of those
+    below, which hold some of it themselves: these are taken as they lie in
+    documents weighed by the square of their posterior. Domains of weight 0, and
+    those that the added tokens hold too much of, don't count: no growth meets them.
+    """
+    p, k, n = [F.col(f"p_{d}") for d in DOMAINS], len(DOMAINS), F.col("n_tokens").cast("double")
+    row = weighed.agg(F.sum(n), *(F.sum(n * q) for q in p), *(F.sum(n * u * u * q) for u in p for q in p)).first()
+    total = float(row[0] or 0.0)
+    if not total:
+        return least_growth
+    have = np.array([float(v) for v in row[1 : k + 1]]) / total
+    pure = np.array([float(v) for v in row[k + 1 :]]).reshape(k, k)
+    pure = pure / np.maximum(pure.sum(axis=1, keepdims=True), 1e-300)
+    want = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
+    short = np.maximum(want - have, 0.0)
+    added = short / max(short.sum(), 1e-300) @ pure
+    over = (have > want) & (want > added)
+    return float(max([least_growth, *((have - added)[over] / (want - added)[over])]))
+
+
 def fitted_rate(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least_rate: float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> Column:
-    """Column of rates for a table with n_tokens and posteriors.
+    """The rates of ``fit_rates`` alone."""
+    return fit_rates(weighed, targets, growth, least_rate, tolerance, most_steps)[0]
+
+
+def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least_rate: float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
+    """Column of rates for a table with n_tokens and posteriors, and the residual.
 
     ``targets`` are weights of a mix of ``growth`` times the tokens there are; no
     rate goes below ``least_rate``. Steps go along the gradient, plain and in the
     metric of the documents above the bound, as far as the distance shrinks most;
-    targets that no such rates reach end at the nearest found.
+    targets that no such rates reach end at the nearest found. The residual is
+    what each domain's tokens lack to its target, as a share of the wanted mix;
+    it is logged where it is more than ``MISSED``.
     """
     p = [F.col(f"p_{d}") for d in DOMAINS]
     k = len(DOMAINS)
@@ -165,24 +200,30 @@ def fitted_rate(weighed: DataFrame, targets: dict[str, float], growth: float = 1
         if away[best] >= np.linalg.norm(short) * (1 - 1e-4):
             break
         rate, got = moved(rate, tried[best]), sums[best]
-    return rate
+    residual = dict(zip(DOMAINS, ((want - got / total) / growth).tolist() if total else [0.0] * k))
+    if max(map(abs, residual.values())) > MISSED:
+        logging.getLogger(__name__).warning("targets not met, lacking shares of the mix: %s", residual)
+    return rate, residual
 
 
 #: Target weights of good, poor and toxic documents in tokens.
 TARGETS = {"good": 0.85, "poor": 0.12, "toxic": 0.03}
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", growth: float = 1.0, least_rate: float = 0.0) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", growth: float = 1.0, least_rate: float = 0.0, grow_enough: bool = False) -> DataFrame:
     """row, doc_id, n_tokens, p_good, p_poor, p_toxic, rate for every row.
 
     rate (0 or more) is how often a document goes into the mix. A null or empty
     text has no tokens, and the rate its posteriors give. Without labels
     posteriors are equal and rates 1. Repeated rows count each for itself; an
-    empty table gives no rows; input columns of any name stay in ``row``.
+    empty table gives no rows; input columns of any name stay in ``row``. With
+    ``grow_enough`` the growth rises as far as the targets need.
     """
     classifier = fit_classifier(docs, labels, sample)
     weighed = domain_posteriors(docs, classifier, id_col, text_col)
     weighed = written(weighed, "posteriors")
+    if grow_enough:
+        growth = growth_for(weighed, targets or TARGETS, growth)
     return weighed.withColumn("rate", fitted_rate(weighed, targets or TARGETS, growth, least_rate))
 
 

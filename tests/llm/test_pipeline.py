@@ -1,6 +1,7 @@
 import collections
 
 import corpus_pipeline
+from loomery.llm import mixing
 from tests.llm.conftest import words
 
 import random
@@ -36,3 +37,22 @@ def test_stages(spark, tmp_path):
     assert {1, 2, 3, 5, 402} <= set(near) == set(mixed) == set(tokens)
     whole = [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert collections.Counter(whole) == collections.Counter(tuple(r) for r in docs.collect())
+
+
+def test_mix_meets_targets_on_skewed_input(spark, tmp_path):
+    rng = random.Random(4)
+    body = {i: words(rng, rng.randint(20, 80)) for i in range(600)}
+    body = {i: "!! ".join(t.split()).upper() if i % 3 == 0 else t for i, t in body.items()}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in body.items()], COLUMNS)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in body], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    mixed = corpus_pipeline.mix_to_targets(spark, docs, str(tmp_path))
+    weighed = mixing.domain_posteriors(mixed, mixing.fit_classifier(docs, labels)).collect()
+    assert {r["doc_id"] for r in weighed} == set(body)
+    total = sum(r["n_tokens"] for r in weighed)
+    for d, target in corpus_pipeline.TARGETS.items():
+        assert abs(sum(r["n_tokens"] * r[f"p_{d}"] for r in weighed) / total - target) < 0.02
+    # without more growth the targets are out of reach, and the residual says so
+    known = mixing.domain_posteriors(docs, mixing.fit_classifier(docs, labels)).cache()
+    assert mixing.fit_rates(known, corpus_pipeline.TARGETS, corpus_pipeline.GROWTH, 1.0)[1]["poor"] < -0.1
+    assert mixing.growth_for(known, corpus_pipeline.TARGETS, corpus_pipeline.GROWTH) > 3
