@@ -53,7 +53,8 @@ Permission is granted to anyone to use this software for any purpose, including
 # Spellings that mean the same, after lower-casing.
 SPELLINGS = (("licence", "license"), ("sublicence", "sublicense"), ("noncommercial", "non commercial"), ("non-commercial", "non commercial"), ("non-infringement", "noninfringement"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("copyright holder(s)", "copyright holders"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+#: A notice line: a copyright word or sign, then a sign, a year or a placeholder; wrapped body text has none there.
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t:,]*(\(c\)|©|[0-9]{4}|[<\[{])|\(c\)[ \t]*(copyright|[0-9]{4}|[<\[{])|©)[^\n]*"
 #: A run of ASCII punctuation, blanks or controls becomes one space.
 JOINED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

@@ -276,6 +276,16 @@ def test_licenses(spark, docs, texts, no_docs):
     assert licenses.scan(docs).count() == len(texts) and licenses.scan(no_docs).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    body = {name: text for name, kind, text in licenses.KNOWN if kind == "text"}
+    isc = body["ISC"].replace("above copyright notice", "above\ncopyright notice").replace("<year> <owner>", "2004-2020 Somebody <a@b.example>")
+    mit = body["MIT"].replace("COPYRIGHT HOLDERS BE", "\nCOPYRIGHT HOLDERS BE").replace("(c) <year>", "2019")
+    signs = [body["Zlib"].replace("Copyright (c) <year> <owner>", line) for line in ("Copyright © Somebody", "(c) 2020 Somebody", "© Somebody", "Copyright [yyyy] [name]", "  Copyright: 2020, Somebody")]
+    given = list(enumerate([isc, mit, *signs]))
+    out = got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license")
+    assert out == [(0, "ISC"), (1, "MIT"), *((i, "Zlib") for i in range(2, 7))]
+
+
 # ---- embeddings -----------------------------------------------------------------------------------
 
 
