@@ -9,8 +9,32 @@ one line. Every notice names a license, so only lines with that word are hashed.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+BSD_HEAD = """Copyright (c) <year>, <owner>
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+"""
+BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _long_texts() -> tuple[tuple[str, str, str], ...]:
+    """Texts kept as files, and each without what follows its terms."""
+    whole = [(p.stem, p.read_text(encoding="utf-8").strip()) for p in sorted((Path(__file__).parent / "known").glob("*.txt"))]
+    return tuple((name, "text", body) for name, text in whole for body in dict.fromkeys((text, text.partition(END)[0] + END if END in text else text)))
+
+
 # Whole licence texts and one-line notices, by SPDX name.
 KNOWN = (
     ("MIT", "text", """MIT License
@@ -40,10 +64,14 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
+    ("BSD-3-Clause", "text", f"BSD 3-Clause License\n\n{BSD_HEAD}{BSD_THIRD}{BSD_TAIL}"),
+    ("BSD-2-Clause", "text", f"BSD 2-Clause License\n\n{BSD_HEAD}{BSD_TAIL}"),
+    *_long_texts(),
     ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "notice", "This work is licensed under the GNU General Public License, version 2."),
     ("MIT", "notice", "Licensed under the MIT License."),
+    ("MIT", "notice", "Released under the MIT License."),
     ("BSD-3-Clause", "notice", "Licensed under the BSD 3-Clause License."),
     ("MPL-2.0", "notice", "Licensed under the Mozilla Public License, Version 2.0."),
     ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
@@ -71,7 +99,7 @@ def digest(text: Column) -> Column:
     return F.sha2(normal_form(text), 256)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known_texts: tuple[tuple[str, str, str], ...] = KNOWN) -> DataFrame:
     """One row per document: doc_id, text_digest, license, notices.
 
     license: known licence whose whole text the document is, null if none.
@@ -79,10 +107,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sorted and comma-joined, '' if none. A null text counts as empty, an empty or blank
     one matches nothing. Repeated rows give repeated rows, an empty table none;
     further columns are ignored. A document's lines are looked up within its row,
-    so very long texts and common lines move nothing.
+    so very long texts and common lines move nothing. ``known_texts`` are rows of
+    name, kind (text or notice) and body, with one notice at least.
     """
     spark = docs.sparkSession
-    known = spark.createDataFrame([row for n, k, t in KNOWN for row in ((n, k, t), (n, k, t.partition("\n\n")[2] or t))], "name string, kind string, body string")
+    known = spark.createDataFrame([row for n, k, t in known_texts for row in ((n, k, t), (n, k, t.partition("\n\n")[2] or t))], "name string, kind string, body string")
     # the table has a fixed number of rows: the notices become a literal map, the texts one broadcast join
     table = known.select("name", "kind", digest(F.col("body")).alias("d")).distinct()
     notices = {r["d"]: r["name"] for r in table.where("kind = 'notice'").collect()}

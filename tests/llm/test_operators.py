@@ -286,6 +286,19 @@ def test_wrapped_licenses(spark):
     assert out == [(0, "ISC"), (1, "MIT"), *((i, "Zlib") for i in range(2, 7))]
 
 
+def test_license_lines_of_the_documents(spark):
+    lines = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    given = list(enumerate(lines))
+    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "notices") == list(enumerate(lines.values()))
+    given = [(i, " \n".join(t.split("\n"))) for i, t in enumerate(t for _, kind, t in licenses.KNOWN if kind == "text")]
+    names = [name for name, kind, _ in licenses.KNOWN if kind == "text"]
+    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license") == sorted(enumerate(names), key=repr)
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "MPL-2.0"} <= set(names)
+    own = (("Own", "text", "own words"), ("Own-notice", "notice", "Under the own license."))
+    out = licenses.scan(spark.createDataFrame(rows_of([(1, "Own words"), (2, "a\nunder the own licence")]), SCHEMA), known_texts=own)
+    assert got(out, "doc_id", "license", "notices") == [(1, "Own", ""), (2, None, "Own-notice")]
+
+
 # ---- embeddings -----------------------------------------------------------------------------------
 
 
