@@ -1,28 +1,36 @@
 """Personal data by base patterns and bootstrapped contexts, with built-in functions only.
 
 Base spans come from regular expressions: the text is split by a pattern and all
-matches are extracted; running lengths of gaps and matches give the places. All
-patterns are loops over single characters (a joining character between two that
-it joins is first swapped for a private-use one), so that long runs take neither
-deep recursion nor quadratic time.
-
-Contexts: the base spans are seeds. What stands right before an instance, the
-last run of non-blanks, adjacent or not, is a lexical pattern. Other values with
-digits or an @ are candidate instances. Patterns and instances form a graph, and
-scores go back and forth for a few rounds: a pattern's score is the sum of its distinct instances'
-scores over its number of occurrences before anything at all; an instance
-scores as its best accepted pattern; only patterns of at least ``support`` scored
-instances and ``confidence`` are accepted. Candidates with an accepted pattern in
-the last round are spans of kind ``id``.
+matches are extracted; running sums of the lengths of gaps and matches give the
+places. All patterns are loops over single characters (a joining character between
+two that it joins is first swapped for a private-use one), so that long runs take
+neither deep recursion nor quadratic time.
+
+Contexts: texts are seen as tokens, runs of non-blanks with every delimiter as a
+token of its own, in lower case and with each digit as 0. A lexical pattern is a
+window of tokens around a slot (``WINDOWS``: up to three on the left, on the right
+or on both sides). An instance is a value in a slot: a base span, or any other
+value with a digit or an @. Seeds are the base spans and values whose shape alone
+tells a credential (``SECRET_SHAPES``).
+
+Patterns and instances form a graph, which is scored in rounds. A pattern's weight
+is the scores of the instances at its occurrences, summed, over all the occurrences
+that its window has in the corpus, whatever stands in the slot. It is accepted with
+``support`` distinct instances of positive score and a weight of ``confidence`` or
+more. An instance scores 1 if it is a seed, else as its best accepted pattern. Values
+in a slot of a pattern accepted in the last round are spans of kind ``id``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomery.llm.store import written
 
 KINDS = ("email", "ip", "card", "phone")
+OTHER = len(KINDS)
 #: Stands for a joining character; private use, and put out of the way where a text has it.
 MARK, SPARE = "\ue000", "\ue001"
 
@@ -37,111 +45,218 @@ PATTERN = {
 }
 MUST_HOLD = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OCTETS = r"\A0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}\z"
-DELIMITER = r"\s\x22'<>()\[\]{},;=:"
+
+#: Delimiters beside blanks; each is a token.
+SIGNS = r"\x22'<>()\[\]{},;=:"
 #: A candidate value: no delimiter, at least one digit or @, not in the middle of a run.
-VALUE = rf"(?<![^{DELIMITER}])[^{DELIMITER}0-9@]*+[0-9@][^{DELIMITER}]*+"
-SPAN = "array<struct<start:int,end:int,value:string,before:string>>"
-BEFORE = r"(\S+)(\s*)\z"
+VALUE = rf"(?<![^\s{SIGNS}])[^\s{SIGNS}0-9@]*+[0-9@][^\s{SIGNS}]*+"
+#: Shapes of credentials: hexadecimal digests and keys, UUIDs, long mixed runs of the base64 alphabets.
+SECRET_SHAPES = (
+    r"\A(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,}\z",
+    r"\A(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{32,}\z",
+    r"\A[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}\z",
+    r"\A(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])(?=[^0-9]*[0-9])[A-Za-z0-9_+/-]{28,}={0,2}\z",
+)
+#: Tokens left and right of a slot that make a pattern.
+WINDOWS = ((1, 0), (2, 0), (3, 0), (1, 1), (2, 1), (0, 2), (0, 3))
+REACH = 3
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _luhn(digits: Column) -> Column:
     """Whether the check sum of a string of digits is a multiple of ten."""
     each = F.transform(F.split(F.reverse(digits), ""), lambda d: F.try_to_number(d, F.lit("9")).cast("int"))
-    doubled = F.transform(F.filter(each, lambda d: d.isNotNull()), lambda d, i: F.when(i % 2 == 0, d).otherwise(d * 2 - F.when(d > 4, 9).otherwise(0)))
+    doubled = F.transform(
+        F.filter(each, lambda d: d.isNotNull()),
+        lambda d, i: F.when(i % 2 == 0, d).otherwise(d * 2 - F.when(d > 4, 9).otherwise(0)),
+    )
     return F.aggregate(doubled, F.lit(0), lambda a, d: a + d) % 10 == 0
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """Matches in order: start and end in code points, the value, and what stands before it in the gap (at most 80 characters)."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    each = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), F.substring(g, -80, 80).alias("tail"), m.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+def tokens(text: Column) -> Column:
+    """Lower-case tokens: runs of non-blanks, each delimiter alone, digits as 0."""
+    low = F.translate(F.lower(text), "123456789", "000000000")
+    return F.filter(F.split(F.regexp_replace(low, f"([{SIGNS}])", " $1 "), r"\s+"), lambda t: t != "")
+
 
-    def add(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        run, blanks = F.regexp_extract(x["tail"], BEFORE, 1), F.regexp_extract(x["tail"], BEFORE, 2)
-        before = F.when(run == "", F.lit("")).otherwise(F.concat(F.lower(run), F.when(blanks == "", F.lit("")).otherwise(F.lit(" "))))
-        span = F.struct(begin.alias("start"), (begin + x["size"]).alias("end"), x["value"].alias("value"), before.alias("before"))
-        return F.struct((begin + x["size"]).alias("at"), F.array_append(state["spans"], span).alias("spans"))
+def _edge(gap: Column, last: bool) -> Column:
+    """Tokens of a gap at one end, nearest first, without a token that the gap's border cuts."""
+    border = F.substring(gap, -1, 1) if last else F.substring(gap, 1, 1)
+    whole = (gap == "") | border.rlike(rf"[\s{SIGNS}]")
 
-    return F.aggregate(each, start, add)["spans"]
+    def near(t: Column) -> Column:
+        inward = F.reverse(t) if last else t
+        return F.slice(F.when(whole, inward).otherwise(F.slice(inward, 2, F.size(t) + 1)), 1, REACH)
 
+    return _let(tokens(gap), near)
 
-def base_spans(text: Column, kind: str) -> Column:
-    """Base spans of one kind, failing matches dropped."""
-    given = F.translate(text, MARK, SPARE)
-    if kind in JOINING:
-        given = F.regexp_replace(given, JOINING[kind], MARK)
-    holds = given.contains(MUST_HOLD[kind]) if MUST_HOLD[kind] else given.rlike("[0-9]")
-    spans = F.when(holds, _spans(given, PATTERN[kind])).otherwise(F.array().cast(SPAN))
 
-    def good(s: Column) -> Column:
-        value = s["value"]
-        digits = F.regexp_replace(value, "[^0-9]", "")
-        if kind == "ip":
-            return value.rlike(OCTETS)
-        if kind == "card":
-            return F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False)
-        if kind == "phone":
-            return F.length(digits).between(9, 15)
-        return F.lit(True)
+def _match(number: int, joint: str) -> Callable[[Column, Column], Column]:
+    """A match with its gaps, from an element of the zipped arrays; ``joint`` takes the place of the mark."""
+
+    def build(z: Column, i: Column) -> Column:
+        whole, gap, following = (F.translate(z[n], MARK, joint) for n in ("all", "gap", "next"))
+        return F.struct(
+            F.lit(number).alias("kind"),
+            i.alias("pos"),
+            F.length(z["gap"]).alias("gap"),
+            F.length(z["all"]).alias("size"),
+            whole.alias("value"),
+            _edge(gap, True).alias("before"),
+            _edge(following, False).alias("after"),
+        )
+
+    return build
+
+
+def _matches(docs: DataFrame) -> DataFrame:
+    """row, doc_id, found: array of (kind, pos, gap, size, value, before, after) of every kind of match, valid or not."""
+    plain = F.translate("text", MARK, SPARE)
+    for number, kind in enumerate((*KINDS, "other")):
+        given = F.regexp_replace(plain, JOINING[kind], MARK) if kind in JOINING else plain
+        must = MUST_HOLD.get(kind)
+        holds = F.col("text").rlike("[0-9@]") if kind == "other" else F.col("text").contains(must) if must else F.col("text").rlike("[0-9]")
+        docs = docs.withColumn("given", given)
+        pattern = F.lit(PATTERN.get(kind, VALUE))
+        docs = docs.withColumn("all", F.when(holds, F.regexp_extract_all("given", pattern, F.lit(0))).otherwise(F.array().cast("array<string>")))
+        docs = docs.withColumn("gaps", F.when(F.size("all") > 0, F.split("given", PATTERN.get(kind, VALUE), -1)).otherwise(F.array().cast("array<string>")))
+        zipped = F.arrays_zip("all", F.slice("gaps", 1, F.size("all")).alias("gap"), F.slice("gaps", 2, F.size("all")).alias("next"))
+        docs = docs.withColumn(f"of_{kind}", F.transform(zipped, _match(number, "." if kind == "email" else MARK))).drop("given", "all", "gaps")
+    return docs.select("row", "doc_id", F.concat(*(f"of_{k}" for k in (*KINDS, "other"))).alias("found"))
+
+
+def _valid(least_length: int) -> Column:
+    """Whether a match of its kind counts."""
+    value, digits = F.col("value"), F.regexp_replace("value", "[^0-9]", "")
+    card = F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False)
+    return (
+        F.when(F.col("kind") == 0, True)
+        .when(F.col("kind") == 1, value.rlike(OCTETS))
+        .when(F.col("kind") == 2, card)
+        .when(F.col("kind") == 3, F.length(digits).between(9, 15))
+        .otherwise(F.length(value) >= least_length)
+    )
+
 
-    return F.filter(spans, good)
+def _placed(rows: DataFrame, least_length: int) -> DataFrame:
+    """row, kind, start, end, value, before, after of what counts; other values never overlap base spans."""
+    each = rows.select("row", F.inline("found"))
+    along = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.col("size")).over(along).cast("int")
+    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    short = F.regexp_replace("value", r"[.!?]+\z", "")
+    value = F.when(F.col("kind") == OTHER, short).when(F.col("kind").isin(2, 3), F.regexp_replace("value", "[^0-9.+]", "")).otherwise(F.col("value"))
+    cut = F.when(F.col("kind") == OTHER, F.col("start") + F.length(short)).otherwise(F.col("end"))
+    good = each.where(_valid(least_length)).select("row", "kind", "start", cut.alias("end"), value.alias("value"), "before", "after")
+    base = F.col("kind") < OTHER
+    up, down = (Window.partitionBy("row").orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.col("start"), F.col("start").desc()))
+    clear = good.withColumn("left", F.max(F.when(base, F.col("end"))).over(up)).withColumn("right", F.min(F.when(base, F.col("start"))).over(down))
+    free = (F.coalesce("left", F.lit(0)) <= F.col("start")) & (F.coalesce("right", F.col("end")) >= F.col("end")) & (F.col("end") - F.col("start") >= least_length)
+    return clear.where(base | free).drop("left", "right")
 
 
-def _listed(kind: str, spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.concat(F.lit(f"{kind}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
+def _windows() -> Column:
+    """(pattern, context) of every window whose tokens are there; pattern is a 64-bit hash of the context."""
 
+    def one(left: int, right: int) -> Column:
+        names = [f"l{i}" for i in range(left, 0, -1)], [f"r{i}" for i in range(1, right + 1)]
+        context = F.concat_ws(" ", *names[0], F.lit("_"), *names[1])
+        there = F.lit(True)
+        for n in (*names[0], *names[1]):
+            there = there & F.col(n).isNotNull()
+        return F.when(there, F.struct(F.xxhash64(context).alias("pattern"), context.alias("context")))
 
-def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.5, least_length: int = 6) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id for every row.
+    return F.array(*(one(*w) for w in WINDOWS))
+
+
+def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pattern, total): how often the windows of ``wanted`` stand around any token of the texts."""
+    t = F.col("t")
+    ahead = [F.concat(F.array_repeat(F.lit(None).cast("string"), i), t).alias(f"l{i}") for i in range(REACH, 0, -1)]
+    after = [F.slice(t, i + 1, F.size(t)).alias(f"r{i}") for i in range(1, REACH + 1)]
+    each = docs.select(tokens(F.col("text")).alias("t")).where(F.size("t") > 1).select(F.inline(F.arrays_zip(*ahead, t.alias("slot"), *after)))
+    slots = each.where(F.col("slot").isNotNull() & ~F.col("slot").rlike(rf"\A[{SIGNS}]\z"))
+    found = slots.select(F.explode(F.transform(_windows(), lambda w: w["pattern"])).alias("pattern")).where("pattern is not null")
+    return found.join(wanted.select("pattern"), "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
+
+
+def score_graph(graph: DataFrame, totals: DataFrame, rounds: int, support: int, confidence: float) -> DataFrame:
+    """(pattern, weight, held) of the patterns accepted in the last round.
+
+    ``graph``: (pattern, value, n occurrences, seed); ``totals``: (pattern, total),
+    occurrences of the window with anything in its slot.
+    """
+    whole = graph.groupBy("pattern").agg(F.sum("n").alias("own")).join(totals, "pattern", "left")
+    whole = whole.select("pattern", F.greatest("own", F.coalesce("total", F.lit(0))).alias("total"))
+    edges = written(graph.join(whole, "pattern"), "graph")
+    accepted, scores = None, None
+    for _ in range(rounds):
+        known = F.lit(0.0) if scores is None else F.coalesce("known", F.lit(0.0))
+        scored = (edges if scores is None else edges.join(scores, "value", "left")).withColumn("score", F.when(F.col("seed"), 1.0).otherwise(known))
+        weighed = scored.groupBy("pattern").agg(
+            (F.sum(F.col("n") * F.col("score")) / F.max("total")).alias("weight"), F.sum((F.col("score") > 0).cast("int")).alias("held")
+        )
+        accepted = written(weighed.where((F.col("held") >= support) & (F.col("weight") >= confidence)), "accepted")
+        scores = written(edges.join(accepted, "pattern").groupBy("value").agg(F.max("weight").alias("known")), "scores")
+    return accepted
+
+
+def learn(docs: DataFrame, placed: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """Accepted patterns (pattern, context, weight, held), and the spans (row, start, end) they discover outside base spans."""
+    unproven = F.col("kind") == OTHER
+    for shape in SECRET_SHAPES:
+        unproven = unproven & ~F.col("value").rlike(shape)
+    near = [F.get("before", F.lit(i - 1)).alias(f"l{i}") for i in range(1, REACH + 1)] + [F.get("after", F.lit(i - 1)).alias(f"r{i}") for i in range(1, REACH + 1)]
+    instances = placed.select("row", "kind", "start", "end", "value", (~unproven).alias("seed"), *near)
+    edges = written(instances.select("row", "kind", "start", "end", "value", "seed", F.inline(_windows())).where("pattern is not null"), "instances")
+    graph = edges.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.min("context").alias("context"))
+    wanted = written(graph.groupBy("pattern").agg(F.count("*").alias("values"), F.min("context").alias("context")).where(F.col("values") >= support), "wanted")
+    graph = written(graph.drop("context").join(wanted.select("pattern"), "pattern"), "edges")
+    totals = written(_occurrences(docs, wanted), "totals")
+    accepted = score_graph(graph, totals, rounds, support, confidence)
+    found = edges.where(F.col("kind") == OTHER).join(accepted, "pattern", "left_semi").select("row", "start", "end").distinct()
+    return accepted.join(wanted.select("pattern", "context"), "pattern"), found
+
+
+def _listed(kinds: tuple[str, ...], spans: Column) -> Column:
+    names = F.array(*map(F.lit, kinds))
+    each = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(each, ",")
+
+
+def extract(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.5, least_length: int = 6
+) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id, n_spans for every row.
 
     Places are code points, end exclusive. A null text counts as empty. n_id
-    counts the spans that contexts added; they never overlap base spans, and
-    every base span stays. Repeated rows give repeated rows, an empty table none;
-    further columns are ignored.
+    counts the spans that contexts added, n_spans all; added ones never overlap base
+    spans, and every base span stays. Values under ``least_length`` characters are
+    not added. Repeated rows give repeated rows, a null id is kept, an empty table
+    gives none; further columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    values = F.when(F.col("text").rlike("[0-9@]"), _spans(F.col("text"), VALUE)).otherwise(F.array().cast(SPAN))
-    found = given.select("doc_id", *(base_spans(F.col("text"), k).alias(k) for k in KINDS), values.alias("other"))
-    rows = written(found.select(F.monotonically_increasing_id().alias("row"), "*"), "spans")
-
-    base = F.concat(*KINDS)
-    trimmed = F.transform("other", lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(F.regexp_replace(s["value"], r"[.!?]+\z", ""))).alias("end"), F.regexp_replace(s["value"], r"[.!?]+\z", "").alias("value"), s["before"].alias("before")))
-    free = F.filter(trimmed, lambda s: (F.length(s["value"]) >= least_length) & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    seeds = rows.select("row", F.inline(base)).withColumn("seed", F.lit(True))
-    candidates = rows.select("row", F.inline(free)).withColumn("seed", F.lit(False))
-    instances = written(seeds.unionByName(candidates).where("before <> ''"), "instances")
-    edges = instances.groupBy("before", "value").agg(F.max("seed").alias("seed"))
-
-    # occurrences of the patterns before anything at all: words of all texts, and adjacent beginnings of instances
-    wanted = written(edges.groupBy("before").agg(F.count("*").alias("n"), F.sum(F.col("seed").cast("int")).alias("seeds")).where(F.col("n") >= support), "wanted")
-    words = given.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("uses"))
-    spaced = wanted.select("before", "n", "seeds", F.rtrim("before").alias("word"))
-    patterns = written(
-        spaced.join(words, "word", "left").select("before", F.when(F.col("before").endswith(" "), F.greatest("n", F.coalesce("uses", "n"))).otherwise(F.col("n")).alias("total")), "patterns"
-    )
-    graph = written(edges.join(patterns, "before"), "graph")
+    rows = written(_matches(given.withColumn("row", F.monotonically_increasing_id())), "matches")
+    placed = written(_placed(rows.where(F.size("found") > 0), least_length), "placed")
+    _, found = learn(given, placed, rounds, support, confidence)
 
-    scores = None
-    accepted = None
-    for _ in range(rounds):
-        if scores is None:
-            scored = graph.withColumn("score", F.col("seed").cast("double"))
-        else:
-            scored = graph.join(scores, "value", "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("known", F.lit(0.0))))
-        weighed = scored.groupBy("before").agg((F.sum("score") / F.first("total")).alias("weight"), F.sum((F.col("score") > 0).cast("int")).alias("held"))
-        accepted = written(weighed.where((F.col("held") >= support) & (F.col("weight") >= confidence)).select("before", "weight"), "accepted")
-        scores = written(graph.join(accepted, "before").groupBy("value").agg(F.max("weight").alias("known")), "scores")
-
-    added = instances.where("not seed").join(accepted, "before").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids"))
-    out = rows.drop("other").join(added, "row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<struct<start:int,end:int>>")))
-    listed = F.concat(*(_listed(k, F.col(k)) for k in KINDS))
+    spans = placed.where(F.col("kind") < OTHER).select("row", "kind", "start", "end").unionByName(found.select("row", F.lit(OTHER).alias("kind"), "start", "end"))
+    # a document's spans lie in its own text, so their list is no longer than that
+    of = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
+    out = rows.select("row", "doc_id").join(of, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<kind:int,start:int,end:int>>")).alias("all"))
+    base = F.filter("all", lambda s: s["kind"] < OTHER)
+    number = lambda k: F.size(F.filter("all", lambda s: s["kind"] == k)).cast("bigint")
+    names = (*KINDS, "id")
     return out.select(
         "doc_id",
-        *(F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS),
-        F.sha2(F.array_join(listed, ","), 256).alias("base_sha256"),
-        F.array_join(F.concat(listed, _listed("id", F.col("ids"))), ",").alias("spans"),
-        F.size("ids").cast("bigint").alias("n_id"),
+        *(number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
+        F.sha2(_listed(names, base), 256).alias("base_sha256"),
+        _listed(names, F.col("all")).alias("spans"),
+        number(OTHER).alias("n_id"),
+        F.size("all").cast("bigint").alias("n_spans"),
     )

@@ -262,6 +262,46 @@ def test_pii_contexts_find_unseen_identifiers(spark):
     assert all(rows[200 + i]["spans"] == "" for i in range(20)) and rows[300]["spans"] == ""
 
 
+def test_pii_patterns_beyond_one_token(spark):
+    """Credentials by shape teach contexts of several tokens on both sides; these find values of any shape. A dot in a context is one."""
+    rng = random.Random(11)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    texts = [(i, f'words and words auth_key = "{key()}" go on') for i in range(8)] + [(50 + i, f'more auth_key = "pass-{i}word" after') for i in range(3)]
+    texts += [(100 + i, f"my.mail: user{i}@mail.example.com is here") for i in range(9)] + [(120, "my.mail: somebody-77-at-home is here"), (121, "the my.mail: is here")]
+    texts += [(200 + i, f"commit {key()} landed; commit rights matter and commit often, commit it") for i in range(9)] + [(300, f"loose {key()} alone"), (None, f'x auth_key = "{key()}" y')]
+    texts += [texts[0]]
+    rows = pii.extract(spark.createDataFrame(rows_of(texts), SCHEMA), confidence=0.6).collect()
+    found = {(r["doc_id"], r["n_id"], r["n_spans"]) for r in rows}
+    assert {(i, 1, 1) for i in [*range(8), 50, 51, 52, None, 120]} <= found
+    assert {(100 + i, 0, 1) for i in range(9)} | {(121, 0, 0), (300, 0, 0)} <= found
+    assert len(rows) == len(texts) and [r["spans"] for r in rows if r["doc_id"] == 51] == ["id:17:27"]
+
+
+def test_pii_scores_are_those_of_the_plain_graph(spark):
+    rng = random.Random(12)
+    edges = {(rng.randrange(30), f"v{rng.randrange(60)}"): (rng.randint(1, 4), rng.random() < 0.2) for _ in range(300)}
+    seeds = {v for (_, v), (_, s) in edges.items() if s}
+    totals = {p: rng.randint(1, 40) for p in range(0, 30, 2)}
+    own = collections.Counter()
+    for (p, _), (n, _) in edges.items():
+        own[p] += n
+    score, accepted = dict.fromkeys(seeds, 1.0), {}
+    for _ in range(3):
+        weight, held = collections.Counter(), collections.Counter()
+        for (p, v), (n, _) in edges.items():
+            weight[p] += n * score.get(v, 0.0) / max(own[p], totals.get(p, 0))
+            held[p] += score.get(v, 0.0) > 0
+        accepted = {p: (w, held[p]) for p, w in weight.items() if held[p] >= 3 and w >= 0.3}
+        score = dict.fromkeys(seeds, 1.0)
+        for p, v in edges:
+            if p in accepted and v not in seeds:
+                score[v] = max(score.get(v, 0.0), accepted[p][0])
+    graph = spark.createDataFrame([(p, v, n, v in seeds) for (p, v), (n, _) in edges.items()], "pattern bigint, value string, n bigint, seed boolean")
+    out = pii.score_graph(graph, spark.createDataFrame(list(totals.items()), "pattern bigint, total bigint"), 3, 3, 0.3).collect()
+    assert accepted and {r["pattern"]: r["held"] for r in out} == {p: h for p, (_, h) in accepted.items()}
+    assert all(abs(r["weight"] - accepted[r["pattern"]][0]) < 1e-9 for r in out)
+
+
 # ---- licences ------------------------------------------------------------------------------------
 
 
