@@ -1,37 +1,65 @@
 """Token counts with overlap resynchronisation for huge documents.
 
-A document of over ``chunk`` characters is encoded chunk by chunk. Neighbouring
-chunks share ``overlap`` characters; both encodings of the shared part are held
-against each other, with offsets in the document, and spliced at a boundary that
-is proven stable: white space ends a word there, no special string crosses it,
-and from it on both give the same tokens at the same places to the end of the
-last complete word. Where no such boundary is found, the overlap is doubled, up
-to the rest of the document.
-
-White space ends words for this kind of model, and words recur. A worker
-remembers the counts of words it has met (a bounded cache) and gives the
-library only new ones.
+A text of over ``chunk`` + ``overlap`` characters is encoded chunk by chunk, with
+offsets in the document. Neighbouring chunks share ``overlap`` characters: one
+encoding of them has seen the text before, the other the text after. They are
+spliced at a boundary that is proven stable: both encodings start a word there,
+both give the same tokens at the same places for the word before it and for the
+``PROOF`` words after it, and these words are complete (the last two words of a
+chunk are cut by its end and prove nothing). A tokenizer that cuts words from left
+to right then goes on from there as it would in the whole text. The count is the
+sum of the tokens between the boundaries. Where an overlap holds no such boundary,
+it is doubled, up to the rest of the document.
 """
 
 from __future__ import annotations
 
 import os
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from loomery.llm.store import fields_and
 
-CACHE_WORDS = 800_000
-#: White space as the model's normaliser sees it (Unicode White_Space).
-GAP = regex.compile(r"\p{White_Space}+")
+PROOF, CUT_WORDS = 3, 2
+#: Texts that the library gets in one call.
+GROUP = 64
 
 
-class WordCounter:
+class Encoded:
+    """Tokens of one chunk: ids, places in the document, and where words start."""
+
+    def __init__(self, model: Tokenizer, text: str, at: int, end: int) -> None:
+        e = model.encode(text[at:end], add_special_tokens=False)
+        self.end, self.ids = end, e.ids
+        self.places = [(a + at, b + at) for a, b in e.offsets]
+        words = e.word_ids
+        self.heads = [i for i, w in enumerate(words) if i == 0 or w is None or w != words[i - 1]]
+
+    def same(self, a: int, b: int, other: Encoded, at: int) -> bool:
+        """Whether tokens a to b are those of ``other`` from ``at`` on."""
+        to = at + b - a
+        return 0 <= at and self.ids[a:b] == other.ids[at:to] and self.places[a:b] == other.places[at:to]
+
+
+def boundary(left: Encoded, right: Encoded, cut: int) -> tuple[int, int] | None:
+    """First stable boundary of two encodings from ``cut`` on, as a token of each."""
+    heads = left.heads
+    of_place = {right.places[j][0]: j for j in reversed(right.heads)}
+    first = bisect_left(heads, cut, key=lambda i: left.places[i][0])
+    for k in range(max(first, 1), len(heads) - CUT_WORDS - PROOF + 1):
+        i, before, after = heads[k], heads[k - 1], heads[k + PROOF]
+        j = of_place.get(left.places[i][0])
+        if j is not None and left.same(before, after, right, j - (i - before)):
+            return i, j
+    return None
+
+
+class TokenCounter:
     """Counts tokens by one tokenizer file; one a worker and file."""
 
     def __init__(self, path: str) -> None:
@@ -39,67 +67,47 @@ class WordCounter:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        #: words are independent only if no special string holds white space
-        self.by_word = not any(GAP.search(s) for s in self.special)
-        self.known: dict[str, int] = {}
-
-    def whole(self, text: str) -> int:
-        return len(self.model.encode(text, add_special_tokens=False))
-
-    def words(self, text: str) -> int:
-        """Sum over white-space separated words."""
-        if not self.by_word:
-            return self.whole(text)
-        words, known = GAP.split(text), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            known.update(zip(new, map(len, self.model.encode_batch_fast(new, add_special_tokens=False))))
-        return sum([known[w] for w in words])
-
-    def _spans(self, text: str, at: int) -> list[tuple[int, int, int]]:
-        e = self.model.encode(text, add_special_tokens=False)
-        return [(i, a + at, b + at) for i, (a, b) in zip(e.ids, e.offsets)]
-
-    def _splice(self, text: str, start: int, cut: int, to: int) -> int | None:
-        """Boundary in text[cut:to] proven stable by encoding it after two different beginnings."""
-        left = [t for t in self._spans(text[start:to], start) if t[1] >= cut]
-        right = self._spans(text[cut:to], cut)
-        last = max((m.start() for m in GAP.finditer(text, cut, to)), default=None)
-        for gap in GAP.finditer(text, cut, to):
-            b = gap.end()
-            if gap.start() == cut or b >= to or last is None or last <= b:
-                continue
-            ours, theirs = ([t for t in side if t[1] >= b and t[2] <= last] for side in (left, right))
-            crossed = any(t[1] < b < t[2] for t in (*left, *right))
-            if ours and ours == theirs and not crossed:
-                return b
-        return None
-
-    def count(self, text: str, chunk: int, overlap: int) -> int:
-        total, at = 0, 0
-        while len(text) - at > chunk:
-            width, b = overlap, None
-            while b is None:
-                to = min(at + chunk + width, len(text))
-                b = self._splice(text, max(at, at + chunk - width), at + chunk, to)
-                if b is None and to == len(text):
-                    return total + self.words(text[at:])
+
+    def whole(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def spliced(self, text: str, chunk: int, overlap: int) -> int:
+        """Tokens of a text by chunks that start every ``chunk`` characters."""
+        size, at, width = len(text), 0, overlap
+        # tokens of ``left`` from ``start`` on are still to be counted
+        total, start, left = 0, 0, Encoded(self.model, text, 0, min(chunk + overlap, size))
+        while left.end < size:
+            cut = at + chunk
+            right = Encoded(self.model, text, cut, min(cut + max(chunk, width) + overlap, size))
+            found = boundary(left, right, cut)
+            if found is None:
                 width *= 2
-            total += self.words(text[at:b])
-            at = b
-        return total + self.words(text[at:])
+                left = Encoded(self.model, text, at, min(cut + width, size))
+                continue
+            total += found[0] - start
+            at, start, left, width = cut, found[1], right, overlap
+        return total + len(left.ids) - start
+
+    def counts(self, texts: list[str], chunk: int, overlap: int) -> list[int]:
+        out = [0] * len(texts)
+        short = [i for i, t in enumerate(texts) if len(t) <= chunk + overlap]
+        for at in range(0, len(short), GROUP):
+            group = short[at : at + GROUP]
+            for i, n in zip(group, self.whole([texts[i] for i in group])):
+                out[i] = n
+        for i in {*range(len(texts))}.difference(short):
+            out[i] = self.spliced(texts[i], chunk, overlap)
+        return out
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> WordCounter:
-    return WordCounter(path)
+def counter(path: str) -> TokenCounter:
+    return TokenCounter(path)
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 16, overlap: int = 256) -> DataFrame:
+def count_tokens(
+    docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 14, overlap: int = 256
+) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row.
 
     n_tokens is what encoding the whole text gives, without added special tokens;
@@ -111,10 +119,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     schema = fields_and([given.schema["doc_id"]], "n_bytes bigint, n_tokens bigint, over_limit boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = counter(path)
+        tokens = counter(path)
         for batch in batches:
             raw = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            counts = [words.count(t.decode(), chunk, overlap) for t in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in raw], pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())], schema.fieldNames())
+            counts = tokens.counts([t.decode() for t in raw], chunk, overlap)
+            columns = [pa.array([len(t) for t in raw], pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.fieldNames())
 
     return given.mapInArrow(run, schema)

@@ -176,10 +176,25 @@ def test_token_counts(docs, texts, no_docs):
     assert token_counts.count_tokens(no_docs, WORDS).count() == 0
 
 
-def test_token_counts_without_blanks_and_with_special_strings():
-    counter = token_counts.WordCounter(WORDS)
-    for t in ODD + ["<|startoftext|>hello <|endoftext|><|startof text|>" * 9, "ΑΣ ΑΣ. İstanbul ẞ " * 9, "a\x85b\x1cc", "y" * 500 + " end"]:
-        assert counter.count(t, 60, 8) == counter.whole(t) == counter.words(t)
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_spliced_encodings(file):
+    """Boundaries of any chunks give the count of the whole text, for words that keep their blanks and for words that drop them."""
+    counter = token_counts.TokenCounter(public_tokenizers.path(file))
+    rng = random.Random(3)
+    mixed = "".join(rng.choice(["a", "Word ", " don't", "é", "e\u0301", "\u0301", "  ", "\n\n ", "日本", "12", "...", "<|endoftext|>", "<|endof", "😀", "x" * 40, "\x85", "İ", "ΑΣ "]) for _ in range(3000))
+    for t in [*ODD, "<|startoftext|>hello <|endoftext|><|startof text|>" * 9, "ΑΣ ΑΣ. İstanbul ẞ " * 9, "a\x85b\x1cc", "y" * 500 + " end " * 50, " " * 3000 + "a b c d e f g h", mixed]:
+        whole = counter.whole([t])[0]
+        for chunk, overlap in ((60, 8), (200, 40), (1000, 256), (1 << 16, 256)):
+            assert counter.spliced(t, chunk, overlap) == whole
+            assert counter.counts([t, "", t], chunk, overlap) == [whole, 0, whole]
+
+
+def test_overlaps_that_do_not_agree_are_widened():
+    counter = token_counts.TokenCounter(WORDS)
+    text = "one two three " + "z" * 400 + " four five six seven eight " * 30
+    left, right = (token_counts.Encoded(counter.model, text, a, b) for a, b in ((0, 120), (100, 300)))
+    assert token_counts.boundary(left, right, 100) is None
+    assert counter.spliced(text, 100, 20) == counter.whole([text])[0]
 
 
 # ---- search ------------------------------------------------------------------------------------
