@@ -1,102 +1,142 @@
 """Licence scan by canonical digest lookup, with built-in functions only.
 
-A text is normalised (case, copyright lines, spellings that mean the same,
-punctuation, white space), hashed, and hash-joined to the digests of known
-licence texts, normalised by the very same expression. Two sorts of entire text
-are looked up: the document, and each of its lines, since a licence notice is
-one line. Every notice names a license, so only lines with that word are hashed.
+A line is normalised: case, typographic signs, spellings that mean the same,
+punctuation and white space; a line that only gives a copyright notice vanishes.
+A text's normal form is that of its lines, joined. Digests of normal forms are
+hash-joined to those of known texts, normalised by the very same expression. Two
+sorts of entire text are looked up: the document, and each of its lines, since a
+licence notice is one line.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BSD_HEAD = """Copyright (c) <year>, <owner>
+from loomery.llm.store import written
 
-Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
-
-1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
-
-2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
-
-"""
-BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
-
-"""
-BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+FOLDER = Path(__file__).parent / "known"
 END = "END OF TERMS AND CONDITIONS"
 
+# How licences are named in notices, by SPDX name.
+NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache Software License 2.0"),
+    "MIT": ("MIT License", "MIT/X11 License", "Expat License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "ISC": ("ISC License",),
+    "Zlib": ("zlib License",),
+    "MPL-1.1": ("Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "MPL 1.1"),
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0", "GNU General Public License v2", "GNU GPL v2", "GPL v2", "GPLv2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0", "GNU General Public License v3", "GNU GPL v3", "GPL v3", "GPLv3"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "GNU LGPL v2.1", "LGPL v2.1", "LGPLv2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "GNU LGPL v3", "LGPL v3", "LGPLv3"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "GNU AGPL v3", "AGPL v3", "AGPLv3"),
+    "Unlicense": ("Unlicense",),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License"),
+    "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "CC-BY-ND-4.0": ("CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    "CC-BY-NC-SA-4.0": ("CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    "CC-BY-NC-ND-4.0": ("CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+}
+# Wordings of notices; each is known with and without "the" before the name.
+WORDINGS = (
+    "Licensed under {}",
+    "Licensed under the terms of {}",
+    "Released under {}",
+    "Released under the terms of {}",
+    "Distributed under {}",
+    "Distributed under the terms of {}",
+    "Published under {}",
+    "Available under {}",
+    "Made available under {}",
+    "Provided under {}",
+    "This work is licensed under {}",
+    "This project is licensed under {}",
+    "This software is licensed under {}",
+    "This program is licensed under {}",
+    "This file is licensed under {}",
+    "This code is licensed under {}",
+    "This document is licensed under {}",
+    "This work is released under {}",
+    "This project is released under {}",
+    "This software is released under {}",
+    "This software is distributed under {}",
+    "License: {}",
+)
+# Spellings that mean the same, after lower-casing.
+SPELLINGS = (
+    ("licence", "license"),
+    ("licensor", "licenser"),
+    ("noncommercial", "non commercial"),
+    ("non-commercial", "non commercial"),
+    ("sharealike", "share alike"),
+    ("share-alike", "share alike"),
+    ("non-infringement", "noninfringement"),
+    ("acknowledgement", "acknowledgment"),
+    ("organisation", "organization"),
+    ("holder(s)", "holders"),
+    ("http://", "https://"),
+)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A notice line: a copyright word or sign, then a sign, a year or a placeholder; wrapped body text has none there.
+COPYRIGHT_LINE = r"\A[ \t*#/;]*(?:copyright[ \t:,]*(?:\(c\)|©|[0-9]{4}|[<\[{])|\(c\)[ \t]*(?:copyright|[0-9]{4}|[<\[{])|©)"
+#: A run of ASCII punctuation, controls, blanks, and typographic quotes, dashes, dots and blanks becomes one space.
+JOINED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\u00A0\u00AB\u00B7\u00BB\u2000-\u206F\u3000]+"
 
-def _long_texts() -> tuple[tuple[str, str, str], ...]:
-    """Texts kept as files, and each without what follows its terms."""
-    whole = [(p.stem, p.read_text(encoding="utf-8").strip()) for p in sorted((Path(__file__).parent / "known").glob("*.txt"))]
-    return tuple((name, "text", body) for name, text in whole for body in dict.fromkeys((text, text.partition(END)[0] + END if END in text else text)))
-
-
-# Whole licence texts and one-line notices, by SPDX name.
-KNOWN = (
-    ("MIT", "text", """MIT License
-
-Copyright (c) <year> <copyright holders>
-
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+def _texts() -> list[tuple[str, str, str]]:
+    """Texts kept as files: whole, without their title, and each also without what follows its terms."""
+    out = []
+    for path in sorted(FOLDER.glob("*.txt")):
+        whole = path.read_text(encoding="utf-8").strip()
+        bodies = (whole, whole.partition("\n\n")[2] or whole)
+        cut = [b.partition(END)[0] + tail for b in bodies if END in b for tail in (END, "")]
+        out += [(path.stem, "text", b) for b in dict.fromkeys((*bodies, *cut))]
+    return out
 
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
-    ("ISC", "text", """ISC License
 
-Copyright (c) <year> <owner>
+def _notices() -> list[tuple[str, str, str]]:
+    """Every wording with every name and SPDX name, and SPDX lines."""
+    out = []
+    for spdx, names in NAMES.items():
+        for wording in WORDINGS:
+            for name in (*names, spdx):
+                out += [(spdx, "notice", wording.format(n)) for n in (name, f"the {name}")]
+        out += [(spdx, "notice", f"SPDX-License-Identifier: {spdx}{more}") for more in ("", "-only", "-or-later")]
+    return out
 
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
-    ("Zlib", "text", """zlib License
+KNOWN = (*_texts(), *_notices())
 
-Copyright (c) <year> <owner>
 
-This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+def normal_line(line: Column) -> Column:
+    """Normal form of one line, '' where nothing is left."""
+    low = F.translate(line, UPPER, LOWER)
+    out = low
+    for old, new in SPELLINGS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(F.trim(F.regexp_replace(out, JOINED, " ")))
 
-Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
 
-1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
-2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
-3. This notice may not be removed or altered from any source distribution."""),
-    ("BSD-3-Clause", "text", f"BSD 3-Clause License\n\n{BSD_HEAD}{BSD_THIRD}{BSD_TAIL}"),
-    ("BSD-2-Clause", "text", f"BSD 2-Clause License\n\n{BSD_HEAD}{BSD_TAIL}"),
-    *_long_texts(),
-    ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "notice", "This work is licensed under the GNU General Public License, version 2."),
-    ("MIT", "notice", "Licensed under the MIT License."),
-    ("MIT", "notice", "Released under the MIT License."),
-    ("BSD-3-Clause", "notice", "Licensed under the BSD 3-Clause License."),
-    ("MPL-2.0", "notice", "Licensed under the Mozilla Public License, Version 2.0."),
-    ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "notice", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
-)
-# Spellings that mean the same, after lower-casing.
-SPELLINGS = (("licence", "license"), ("sublicence", "sublicense"), ("noncommercial", "non commercial"), ("non-commercial", "non commercial"), ("non-infringement", "noninfringement"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("copyright holder(s)", "copyright holders"))
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A notice line: a copyright word or sign, then a sign, a year or a placeholder; wrapped body text has none there.
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright[ \t:,]*(\(c\)|©|[0-9]{4}|[<\[{])|\(c\)[ \t]*(copyright|[0-9]{4}|[<\[{])|©)[^\n]*"
-#: A run of ASCII punctuation, blanks or controls becomes one space.
-JOINED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+def _normal_lines(text: Column) -> Column:
+    """Normal forms of the lines that leave any."""
+    each = F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r]"), normal_line)
+    return F.filter(each, lambda s: s != "")
 
 
-def normal_form(text: Column) -> Column:
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    out = F.regexp_replace(low, COPYRIGHT_LINE, "\n")
-    for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return F.trim(F.regexp_replace(out, JOINED, " "))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(normal_form(text), 256)
+def digest(normal: Column) -> Column:
+    return F.unhex(F.sha2(normal, 256))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known_texts: tuple[tuple[str, str, str], ...] = KNOWN) -> DataFrame:
@@ -104,23 +144,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known_
 
     license: known licence whose whole text the document is, null if none.
     notices: names of the notices that are lines of the document, distinct,
-    sorted and comma-joined, '' if none. A null text counts as empty, an empty or blank
-    one matches nothing. Repeated rows give repeated rows, an empty table none;
-    further columns are ignored. A document's lines are looked up within its row,
-    so very long texts and common lines move nothing. ``known_texts`` are rows of
-    name, kind (text or notice) and body, with one notice at least.
+    sorted and comma-joined, '' if none. A null text counts as empty; an empty or blank
+    one matches nothing. Repeated rows give repeated rows, a null id is kept, an empty
+    table gives none; further columns are ignored. A very long text is split into its
+    lines, and only 32 bytes a distinct line go on. ``known_texts``: rows of name,
+    kind (text or notice) and body, a list of fixed length that is broadcast.
     """
     spark = docs.sparkSession
-    known = spark.createDataFrame([row for n, k, t in known_texts for row in ((n, k, t), (n, k, t.partition("\n\n")[2] or t))], "name string, kind string, body string")
-    # the table has a fixed number of rows: the notices become a literal map, the texts one broadcast join
-    table = known.select("name", "kind", digest(F.col("body")).alias("d")).distinct()
-    notices = {r["d"]: r["name"] for r in table.where("kind = 'notice'").collect()}
-    by_digest = F.create_map(*[F.lit(x) for pair in sorted(notices.items()) for x in pair])
-    text = F.col(text_col).cast("string")
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    near = F.when(low.contains("license") | low.contains("licence"), low).otherwise(F.lit(""))
-    likely = F.filter(F.split(near, "\n"), lambda s: s.contains("license") | s.contains("licence"))
-    names = F.filter(F.transform(likely, lambda s: F.try_element_at(by_digest, digest(s))), lambda n: n.isNotNull())
-    found = docs.select(F.col(id_col).alias("doc_id"), digest(text).alias("text_digest"), F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("notices"))
-    whole = table.where("kind = 'text'").select(F.col("d").alias("text_digest"), F.col("name").alias("license")).dropDuplicates(["text_digest"])
-    return found.join(F.broadcast(whole), "text_digest", "left").select("doc_id", "text_digest", "license", "notices")
+    known = spark.createDataFrame(list(known_texts), "name string, kind string, body string")
+    normal = F.array_join(_normal_lines(F.col("body")), " ")
+    table = written(known.select("kind", "name", digest(normal).alias("digest")).groupBy("kind", "digest").agg(F.min("name").alias("name")), "known")
+
+    forms = _let(
+        _normal_lines(F.col(text_col).cast("string")),
+        lambda s: F.struct(digest(F.array_join(s, " ")).alias("text_digest"), F.array_distinct(F.transform(s, digest)).alias("line_digests")),
+    )
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), forms.alias("forms"))
+    rows = written(given.select("row", "doc_id", "forms.*"), "digests")
+    # the known texts are a list of fixed length: about 2,000 rows of 32 bytes and a name
+    notices = F.broadcast(table.where("kind = 'notice'").select("digest", "name"))
+    found = rows.select("row", F.explode("line_digests").alias("digest")).join(notices, "digest")
+    names = found.groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("notices"))
+    whole = F.broadcast(table.where("kind = 'text'").select(F.col("digest").alias("text_digest"), F.col("name").alias("license")))
+    out = rows.select("row", "doc_id", "text_digest").join(whole, "text_digest", "left").join(names, "row", "left")
+    return out.select("doc_id", F.lower(F.hex("text_digest")).alias("text_digest"), "license", F.coalesce("notices", F.lit("")).alias("notices"))

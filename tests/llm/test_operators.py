@@ -320,40 +320,63 @@ def test_pii_scores_are_those_of_the_plain_graph(spark):
 # ---- licences ------------------------------------------------------------------------------------
 
 
+def body_of(name):
+    return next(t for n, kind, t in licenses.KNOWN if (n, kind) == (name, "text"))
+
+
 def test_licenses(spark, docs, texts, no_docs):
-    mit = licenses.KNOWN[0][2]
+    mit = body_of("MIT")
     given = [
         (1, mit), (2, mit.upper().replace("COPYRIGHT (C) <YEAR> <COPYRIGHT HOLDERS>", "Copyright (c) 2020 Somebody Else\n(c) 2021 Another")), (3, mit.partition("\n\n")[2]), (4, mit + " and more"), (5, None), (6, ""), (7, "  \n"),
-        (8, "text\nLicenced under the apache licence -- version 2.0\nmore\nLicensed under CC BY-NC 4.0."), (9, "Licensed under CC BY-NC 4.0. and more"), (9, mit),
+        (8, "text\nLicenced under the apache licence -- version 2.0\nmore\nLicensed under CC BY-NC 4.0."), (9, "Licensed under CC BY-NC 4.0. and more"), (9, mit), (None, "Released under the MIT License"),
+        (10, "words\n" * 60_000 + "Licensed under CC BY-NC 4.0.\n" * 2000 + "x" * 300_000),
     ]
     out = got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license", "notices")
-    assert out == sorted([(1, "MIT", ""), (2, "MIT", ""), (3, "MIT", ""), (4, None, ""), (5, None, ""), (6, None, ""), (7, None, ""), (8, None, "Apache-2.0,CC-BY-NC-4.0"), (9, None, ""), (9, "MIT", "")], key=repr)
+    expected = [(1, "MIT", ""), (2, "MIT", ""), (3, "MIT", ""), (4, None, ""), (5, None, ""), (6, None, ""), (7, None, ""), (8, None, "Apache-2.0,CC-BY-NC-4.0"), (9, None, ""), (9, "MIT", ""), (10, None, "CC-BY-NC-4.0"), (None, None, "MIT")]
+    assert out == sorted(expected, key=repr)
     assert licenses.scan(docs).count() == len(texts) and licenses.scan(no_docs).count() == 0
 
 
 def test_wrapped_licenses(spark):
-    body = {name: text for name, kind, text in licenses.KNOWN if kind == "text"}
-    isc = body["ISC"].replace("above copyright notice", "above\ncopyright notice").replace("<year> <owner>", "2004-2020 Somebody <a@b.example>")
-    mit = body["MIT"].replace("COPYRIGHT HOLDERS BE", "\nCOPYRIGHT HOLDERS BE").replace("(c) <year>", "2019")
-    signs = [body["Zlib"].replace("Copyright (c) <year> <owner>", line) for line in ("Copyright © Somebody", "(c) 2020 Somebody", "© Somebody", "Copyright [yyyy] [name]", "  Copyright: 2020, Somebody")]
-    given = list(enumerate([isc, mit, *signs]))
+    isc = body_of("ISC").replace("above copyright notice", "above\ncopyright notice").replace("<year> <owner>", "2004-2020 Somebody <a@b.example>")
+    mit = body_of("MIT").replace("COPYRIGHT HOLDERS BE", "\nCOPYRIGHT HOLDERS BE").replace("(c) <year>", "2019").replace('"', "“").replace("\n", "\r\n")
+    signs = [body_of("Zlib").replace("Copyright (c) <year> <owner>", line) for line in ("Copyright © Somebody", "(c) 2020 Somebody", "© Somebody", "Copyright [yyyy] [name]", "  Copyright: 2020, Somebody")]
+    comment = "\n".join(f" * {line}" for line in body_of("BSD-3-Clause").split("\n"))
+    given = list(enumerate([isc, mit, *signs, comment]))
     out = got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license")
-    assert out == [(0, "ISC"), (1, "MIT"), *((i, "Zlib") for i in range(2, 7))]
+    assert out == [(0, "ISC"), (1, "MIT"), *((i, "Zlib") for i in range(2, 7)), (7, "BSD-3-Clause")]
 
 
 def test_license_lines_of_the_documents(spark):
-    lines = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "// SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1", "# This file is distributed under the terms of the license": "", "Licensed under the BSD 3–Clause License": "BSD-3-Clause", "This project is licensed under the Mozilla Public Licence, version 2.0": "MPL-2.0", "no license at all": "", "License: Unlicense": "Unlicense", "mit": "",
+    }
     given = list(enumerate(lines))
-    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "notices") == list(enumerate(lines.values()))
-    given = [(i, " \n".join(t.split("\n"))) for i, t in enumerate(t for _, kind, t in licenses.KNOWN if kind == "text")]
-    names = [name for name, kind, _ in licenses.KNOWN if kind == "text"]
-    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license") == sorted(enumerate(names), key=repr)
-    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "MPL-2.0"} <= set(names)
+    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "notices") == sorted(enumerate(lines.values()), key=repr)
+    known = [(name, t) for name, kind, t in licenses.KNOWN if kind == "text"]
+    given = [(i, " \n".join(t.split("\n"))) for i, (_, t) in enumerate(known)]
+    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "license") == sorted([(i, name) for i, (name, _) in enumerate(known)], key=repr)
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib"} <= {name for name, _ in known}
     own = (("Own", "text", "own words"), ("Own-notice", "notice", "Under the own license."))
     out = licenses.scan(spark.createDataFrame(rows_of([(1, "Own words"), (2, "a\nunder the own licence")]), SCHEMA), known_texts=own)
     assert got(out, "doc_id", "license", "notices") == [(1, "Own", ""), (2, None, "Own-notice")]
 
 
+def test_licenses_against_a_plain_scan(spark):
+    """A plain form of letters and digits, and sets of them, stand against digests."""
+    plain = lambda s: re.sub("[^a-z0-9]+", " ", s.lower().replace("licence", "license")).strip()
+    notices = collections.defaultdict(set)
+    for name, kind, t in licenses.KNOWN:
+        if kind == "notice":
+            notices[plain(t)].add(name)
+    rng = random.Random(9)
+    pool = [t for _, kind, t in licenses.KNOWN if kind == "notice"]
+    given = [(i, "\n".join(rng.choice(("words here", rng.choice(pool), f"* {rng.choice(pool).upper()} *", rng.choice(pool) + " indeed", ""))  for _ in range(rng.randint(0, 8)))) for i in range(200)]
+    expected = [(i, ",".join(sorted({min(notices[plain(line)]) for line in t.split("\n") if plain(line) in notices}))) for i, t in given]
+    assert got(licenses.scan(spark.createDataFrame(rows_of(given), SCHEMA)), "doc_id", "notices") == sorted(expected, key=repr)
+
+
 # ---- embeddings -----------------------------------------------------------------------------------
 
 
