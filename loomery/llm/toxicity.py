@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomery.llm.store import fields_and
+from loomery.llm.store import fields_and, written
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIX, FLUSH, MEMO = 4, 200_000, 400_000
@@ -58,23 +58,22 @@ class Model:
         weights = self.weights
         for w in set(words).difference(memo):
             memo[w] = max([weights[f] for f in features(w) if f in weights], default=0.0)
-        # stack of candidates: (start, end, total before it, total after it)
-        stack: list[tuple[int, int, float, float]] = []
+        # candidates: (start, end, total before it, total after it, the last candidate left of it with a lower total before)
+        stack: list[tuple[int, int, float, float, int]] = []
         total, last = 0.0, 0
         for i, v in [(i, v) for i, w in enumerate(words) if (v := memo[w])]:
             before = total + self.other * (i - last)
             total, last = before + v, i + 1
-            new = (i, i + 1, before, total)
-            while True:
-                j = len(stack) - 1
-                while j >= 0 and stack[j][2] >= new[2]:
-                    j -= 1
-                if j < 0 or stack[j][3] >= new[3]:
-                    stack.append(new)
-                    break
-                new = (stack[j][0], new[1], stack[j][2], new[3])
+            start, low, j = i, before, len(stack) - 1
+            while j >= 0 and stack[j][2] >= low:
+                j = stack[j][4]
+            while j >= 0 and stack[j][3] < total:
+                # the segment grows leftward over candidate j and all since
+                start, _, low, _, left = stack[j]
                 del stack[j:]
-        return [(a, b, after - before) for a, b, before, after in stack], len(words)
+                j = left
+            stack.append((start, i + 1, low, total, j))
+        return [(a, b, after - before) for a, b, before, after, _ in stack], len(words)
 
     def p_value(self, score: float, tokens: int) -> float:
         return -math.expm1(-self.k * max(tokens, 1) * math.exp(-self.lam * score)) if score > 0 else 1.0
@@ -158,7 +157,7 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, prior: float = 0.5, least_odds: float = 1.5, least_z: float = 3.0) -> Model:
     """Fit on training labels only; without two classes the model scores every text by the base rate."""
     rows, rate = training_rows(docs, labels, per_class)
-    rows = rows.repartition(max(12, rows.sparkSession.sparkContext.defaultParallelism))
+    rows = written(rows.repartition(max(12, rows.sparkSession.sparkContext.defaultParallelism)), "training")
     seen = rows.mapInArrow(_contexts, "feature string, context int, toxic int").distinct()
     counts = seen.groupBy("feature").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("c"))
     totals = seen.agg(F.sum("toxic").cast("double"), F.sum(1 - F.col("toxic")).cast("double")).first()
@@ -184,20 +183,24 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, prior: float
         low, high = (mid, high) if value < 1 else (low, mid)
     model.lam = max(low, 0.05)
 
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [model.evidence(t or "") for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(pa.array([v[i] for v in values], pa.float64()) for i in range(3)), batch.column(1)], ["best", "rarity", "strong", "toxic"])
+
     def maxima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.segments(t or "") for t in batch.column(0).to_pylist()]
             best = [max((s for *_, s in f), default=0.0) for f, _ in found]
-            # the total of all segments; which are significant is known once K is
-            yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array([n for _, n in found], pa.int64()), pa.array([[s for *_, s in f] for f, _ in found], pa.list_(pa.float64())), batch.column(1)], ["best", "n", "each", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array([n for _, n in found], pa.int64())], ["best", "n"])
 
-    table = rows.mapInArrow(maxima, "best double, n bigint, each array<double>, toxic int").collect()  # at most 2 * per_class rows
-    clean = [(r["best"], r["n"]) for r in table if r["toxic"] == 0]
-    at = min(weights.values(), default=1.0)
-    over = sum(m >= at for m, _ in clean)
     # expected clean documents with a maximum of ``at`` or more = K exp(-lambda at) sum(n)
-    model.k = (over + 0.5) / max(sum(n for _, n in clean) * math.exp(-model.lam * at), 1e-9)
-    x = np.array([(r["best"], -math.log(max(model.p_value(r["best"], r["n"]), 1e-300)), math.log1p(sum(s for s in r["each"] if model.p_value(s, r["n"]) <= model.alpha))) for r in table])
+    at = min(weights.values(), default=1.0)
+    clean = rows.where("toxic = 0").mapInArrow(maxima, "best double, n bigint").agg(F.count_if(F.col("best") >= at), F.sum("n")).first()
+    model.k = ((clean[0] or 0) + 0.5) / max((clean[1] or 0) * math.exp(-model.lam * at), 1e-9)
+    table = rows.mapInArrow(measured, "best double, rarity double, strong double, toxic int").collect()  # four numbers of at most 2 * per_class rows
+    table.sort(key=tuple)
+    x = np.array([r[:3] for r in table])
     y = np.array([r["toxic"] for r in table], float)
     share = y.mean()
     curve = _newton(x, y, np.where(y == 1, rate / share, (1 - rate) / (1 - share)))

@@ -1,8 +1,10 @@
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -469,11 +471,30 @@ def test_toxicity(insults, no_docs):
     assert {r["predicted"] for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0}
 
 
+def plain_segments(value, a, b):
+    """The best run of value[a:b], then those left and right of it; no two runs here have one total."""
+    best = max(((sum(value[i:j]), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0.0, a, a))
+    if best[0] <= 0:
+        return []
+    return plain_segments(value, a, best[1]) + [(best[1], best[2], best[0])] + plain_segments(value, best[2], b)
+
+
 def test_segments_are_maximal():
     model = toxicity.Model({"bad": 2.0, "worse": 3.0}, -0.5)
     found, n = model.segments("bad ok worse " + "ok " * 20 + "worse bad")
     assert n == 25 and found == [(0, 3, 4.5), (23, 25, 5.0)]
     rng = random.Random(2)
+    names = ["".join(p) for p in itertools.product("abcdef", repeat=2)]
+    weights = {w: rng.uniform(0.2, 3.0) for w in names[:12]}
+    for _ in range(300):
+        model = toxicity.Model(weights, -rng.uniform(0.1, 2.0))
+        tokens = [rng.choice(names) for _ in range(rng.randint(1, 28))]
+        value = [weights.get(t, model.other) for t in tokens]
+        found, _ = model.segments(" ".join(tokens))
+        expected = plain_segments(value, 0, len(value))
+        assert [f[:2] for f in found] == [x[:2] for x in expected] and all(abs(f[2] - x[2]) < 1e-9 for f, x in zip(found, expected))
+    # ties: the best total is the best total
+    model = toxicity.Model({"bad": 2.0, "worse": 3.0}, -0.5)
     for _ in range(200):
         tokens = [rng.choice(("bad", "worse", "ok", "ok", "ok")) for _ in range(rng.randint(1, 30))]
         value = [{"bad": 2.0, "worse": 3.0}.get(t, -0.5) for t in tokens]
@@ -482,6 +503,34 @@ def test_segments_are_maximal():
         assert abs(top - max(best, 0)) < 1e-9
 
 
+def test_segments_take_linear_time():
+    """Isolated hits, rising ones and falling ones: work grows with the text."""
+    for gap, weights in ((5, {"bad": 2.0}), (3, {"bad": 2.0}), (9, {"bad": 2.0})):
+        model = toxicity.Model(weights, -0.5)
+        took = []
+        for n in (20_000, 80_000):
+            text = ("bad " + "ok " * gap) * n
+            model.segments("warm")
+            start = time.process_time()
+            found, _ = model.segments(text)
+            took.append(time.process_time() - start)
+        assert took[1] < 12 * took[0] + 0.2
+
+
+def test_toxicity_scores_by_the_documented_rule(insults):
+    """Every score of the table is the logistic curve over the plain segments' best, its rarity and the significant total."""
+    docs, labels = insults
+    model = toxicity.fit(docs, labels)
+    for r in toxicity.score(docs, model).where("doc_id % 9 = 0").collect():
+        words = re.findall(r"[^\W\d_]+", (r["row"]["text"] or "").lower())
+        value = [max([model.weights[f] for f in toxicity.features(w) if f in model.weights], default=model.other) for w in words]
+        found = [s for *_, s in plain_segments(value, 0, len(value))]
+        best, n = max(found, default=0.0), max(len(words), 1)
+        rare = lambda s: 1 - math.exp(-model.k * n * math.exp(-model.lam * s)) if s > 0 else 1.0  # noqa: B023, E731
+        x = model.curve[0] + model.curve[1] * best - model.curve[2] * math.log(max(rare(best), 1e-300)) + model.curve[3] * math.log1p(sum(s for s in found if rare(s) <= model.alpha))
+        assert abs(r["score"] - 1 / (1 + math.exp(-min(max(x, -30), 30)))) < 1e-6
+
+
 # ---- mixing ---------------------------------------------------------------------------------------
 
 
