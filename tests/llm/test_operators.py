@@ -417,6 +417,65 @@ def test_embeddings(spark, block):
     assert embed_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def near_points(rng, n, cos, dim=64):
+    """Unit vectors whose pairs have a cosine near ``cos``."""
+    centre = rng.normal(size=dim)
+    x = centre / np.linalg.norm(centre) * math.sqrt(cos) + rng.normal(size=(n, dim)) * math.sqrt((1 - cos) / dim)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_dense_groups_at_the_threshold_take_seconds():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([near_points(rng, 4000, 0.95), near_points(rng, 4000, 0.95), near_points(rng, 500, 0.999), rng.normal(size=(200, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    start = time.process_time()
+    tree = embed_dedup.CoverTree(x, math.acos(0.95) / 16)
+    ones = np.ones(len(x))
+    own = embed_dedup.traverse(tree, tree, ones, ones, 0.95, True)
+    took = time.process_time() - start
+    links = np.concatenate([(x[at : at + 1000] @ x.T >= 0.95).sum(axis=1) - 1 for at in range(0, len(x), 1000)])
+    assert own.links.tolist() == links[tree.order].tolist() and took < 30
+    assert len({own.root(i) for i in range(len(x))}) == 203
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_traversal_of_groups_of_all_sizes(seed):
+    """Groups from far within the threshold to far beyond it, met by themselves and by others, against all pairs."""
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([near_points(rng, int(rng.integers(1, 400)), rng.uniform(0.85, 0.9999), 24) for _ in range(8)] + [rng.normal(size=(300, 24))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x[rng.permutation(len(x))]
+    w, cut = rng.integers(1, 4, len(x)).astype(float), len(x) // 3
+    cos = x @ x.T >= 0.95
+    np.fill_diagonal(cos, False)
+    roots = plain_components(len(x), lambda i, j: cos[i, j])
+    tree = embed_dedup.CoverTree(x, 0.02)
+    own = embed_dedup.traverse(tree, tree, w[tree.order], w[tree.order], 0.95, True)
+    assert np.allclose(own.links, (cos @ w)[tree.order])
+    groups = collections.defaultdict(set)
+    for k, i in enumerate(tree.order.tolist()):
+        groups[own.root(k)].add(roots[i])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(roots))
+    a, b = embed_dedup.CoverTree(x[:cut], 0.02), embed_dedup.CoverTree(x[cut:], 0.02)
+    met = embed_dedup.traverse(a, b, w[:cut][a.order], w[cut:][b.order], 0.95, False)
+    between = cos[:cut, cut:]
+    assert np.allclose(met.links, np.concatenate([(between @ w[cut:])[a.order], (w[:cut] @ between)[b.order]]))
+    up = plain_components(len(x), lambda i, j: (i < cut) != (j < cut) and cos[i, j])
+    for k, i in enumerate([*a.order.tolist(), *(cut + b.order).tolist()]):
+        groups[met.root(k), "met"].add(up[i])
+    assert all(len(g) == 1 for key, g in groups.items() if isinstance(key, tuple))
+
+
+def test_cells_split_until_they_are_small(spark):
+    """Many groups and small blocks: several rounds of pivots, and hash parts once these are used up."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([near_points(rng, 60, 0.96, 12) for _ in range(40)])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(3)
+    expected = plain_links([(i, v.tolist()) for i, v in enumerate(x)], 0.95)
+    for most in (64, 3):
+        assert got(embed_dedup.near_duplicates(table, sample=200, block=100, most_pivots=most), "vec_id", "n_links", "component_id", "kept") == expected
+
+
 @pytest.mark.parametrize("least", [0.5, 0.9, 0.99])
 def test_dual_traversal(least):
     rows = [r for r in vector_rows(2) if r[1] and len(r[1]) == 16 and all(x is not None and math.isfinite(x) for x in r[1]) and any(r[1])]
