@@ -34,6 +34,8 @@ from loomery.llm.store import written
 MARGIN = 1e-6
 #: Points of a node that is not opened; centres tried at once; sides of a tile of products.
 LEAF, BATCH, TALL, WIDE = 64, 256, 1024, 4096
+#: Pairs of rows of two leaves that are compared one by one, together with those of other leaves; pairs of rows at once.
+FEW, CHUNK = 256, 1 << 17
 
 
 def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -133,6 +135,25 @@ class Tally:
         self.steps[lo] += weight
         self.steps[hi] -= weight
 
+    def add_pairs(self, x: np.ndarray, y: np.ndarray, wx: np.ndarray, wy: np.ndarray) -> None:
+        """One link for each pair of rows."""
+        np.add.at(self.extra, x, wy)
+        np.add.at(self.extra, y, wx)
+        if len(x) > 500:
+            roots = self.roots()
+            apart = np.unique(np.stack([roots[x], roots[y]])[:, roots[x] != roots[y]], axis=1)
+            x, y = apart
+        for i, j in zip(x.tolist(), y.tolist()):
+            self.join(i, j)
+
+    def roots(self) -> np.ndarray:
+        """Root of every row; all rows then point at theirs."""
+        up = np.array(self.up)
+        while (up != (further := up[up])).any():
+            up = further
+        self.up = up.tolist()
+        return up
+
     def add_tile(self, x: np.ndarray, y: np.ndarray, wx: np.ndarray, wy: np.ndarray, hit: np.ndarray) -> None:
         """Links of the rows x with the rows y where ``hit`` is true."""
         n = np.count_nonzero(hit)
@@ -140,9 +161,7 @@ class Tally:
             return
         if n <= 2 * (len(x) + len(y)):
             p, q = np.nonzero(hit)
-            self.extra += np.bincount(x[p], wy[q], len(self.extra)) + np.bincount(y[q], wx[p], len(self.extra))
-            for i, j in zip(x[p].tolist(), y[q].tolist()):
-                self.join(i, j)
+            self.add_pairs(x[p], y[q], wx[p], wy[q])
             return
         dense = hit.astype(np.float64)
         self.extra[x] += dense @ wy
@@ -152,8 +171,8 @@ class Tally:
                 self.join(int(x[p]), int(y[hit[p].argmax()]))
             for q in np.flatnonzero(hit.any(axis=0)).tolist():
                 self.join(int(x[hit[:, q].argmax()]), int(y[q]))
-            rx, ry = (np.array([self.root(i) for i in z.tolist()]) for z in (x, y))
-            hit = hit & (rx[:, None] != ry[None, :])
+            roots = self.roots()
+            hit = hit & (roots[x][:, None] != roots[y][None, :])
             if not hit.any():
                 return
 
@@ -256,12 +275,28 @@ class Walk:
                 if half:
                     keep &= columns[None, :] > rows[:, None]
                 x, y = np.nonzero(keep)
-                near = np.arccos(np.clip(cos[x, y], -1.0, 1.0)) + reach[x, y] <= self.tau - MARGIN
-                for i, j, inside in zip(rows[x].tolist(), columns[y].tolist(), near.tolist()):
-                    if inside:
-                        self.whole(i, j)
-                    else:
-                        self.open.append((i, j))
+                inside = np.arccos(np.clip(cos[x, y], -1.0, 1.0)) + reach[x, y] <= self.tau - MARGIN
+                i, j = rows[x], columns[y]
+                few = ~inside & (a.n_kids[i] + b.n_kids[j] == 0) & ((a.hi[i] - a.lo[i]) * (b.hi[j] - b.lo[j]) <= FEW)
+                self.leaves(i[few], j[few])
+                for m, n in zip(i[inside].tolist(), j[inside].tolist()):
+                    self.whole(m, n)
+                self.open += zip(i[~inside & ~few].tolist(), j[~inside & ~few].tolist())
+
+    def leaves(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Rows of many pairs of small leaves."""
+        a, b = self.a, self.b
+        wide = b.hi[j] - b.lo[j]
+        count = (a.hi[i] - a.lo[i]) * wide
+        cuts = np.searchsorted(np.cumsum(count), np.arange(CHUNK, int(count.sum()) + CHUNK, CHUNK), side="right")
+        for p, q in zip([0, *cuts.tolist()], [*cuts.tolist(), len(i)]):
+            at = slice(p, q)
+            of = np.repeat(np.arange(len(i))[at], count[at])
+            step = np.arange(len(of)) - np.repeat(np.cumsum(count[at]) - count[at], count[at])
+            x, y = a.lo[i[of]] + step // wide[of], b.lo[j[of]] + step % wide[of]
+            hit = np.einsum("ij,ij->i", a.points[x], b.points[y]) >= self.least
+            x, y = x[hit], y[hit]
+            self.tally.add_pairs(x, y + self.shift, self.wa[x], self.wb[y])
 
 
 def traverse(a: CoverTree, b: CoverTree, wa: np.ndarray, wb: np.ndarray, least: float, same: bool) -> Tally:

@@ -1,10 +1,10 @@
 """Personal data by base patterns and bootstrapped contexts, with built-in functions only.
 
-Base spans come from regular expressions: the text is split by a pattern and all
-matches are extracted; running sums of the lengths of gaps and matches give the
-places. All patterns are loops over single characters (a joining character between
-two that it joins is first swapped for a private-use one), so that long runs take
-neither deep recursion nor quadratic time.
+Base spans come from regular expressions: matches are fenced by a private-use
+character, and the text is split there into gaps and matches in turn; running sums
+of their lengths give the places. All patterns are loops over single characters (a
+joining character between two that it joins is first swapped for a private-use one),
+so that long runs take neither deep recursion nor quadratic time.
 
 Contexts: texts are seen as tokens, runs of non-blanks with every delimiter as a
 token of its own, in lower case and with each digit as 0. A lexical pattern is a
@@ -23,16 +23,14 @@ in a slot of a pattern accepted in the last round are spans of kind ``id``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomery.llm.store import written
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
-#: Stands for a joining character; private use, and put out of the way where a text has it.
-MARK, SPARE = "\ue000", "\ue001"
+#: A joining character, and the fence of a match; private use, and put out of the way where a text has them.
+MARK, FENCE, SPARE = "\ue000", "\ue002", "\ue001"
 
 LABEL = "A-Za-z0-9-"
 LOCAL = "A-Za-z0-9._%+-"
@@ -47,6 +45,7 @@ MUST_HOLD = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OCTETS = r"\A0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}\z"
 
 #: Delimiters beside blanks; each is a token.
+DELIMITERS = "\"'<>()[]{},;=:"
 SIGNS = r"\x22'<>()\[\]{},;=:"
 #: A candidate value: no delimiter, at least one digit or @, not in the middle of a run.
 VALUE = rf"(?<![^\s{SIGNS}])[^\s{SIGNS}0-9@]*+[0-9@][^\s{SIGNS}]*+"
@@ -60,11 +59,8 @@ SECRET_SHAPES = (
 #: Tokens left and right of a slot that make a pattern.
 WINDOWS = ((1, 0), (2, 0), (3, 0), (1, 1), (2, 1), (0, 2), (0, 3))
 REACH = 3
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+#: Characters of a gap that are tried first for the tokens at its end.
+TRIED = 160
 
 
 def _luhn(digits: Column) -> Column:
@@ -79,54 +75,41 @@ def _luhn(digits: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case tokens: runs of non-blanks, each delimiter alone, digits as 0."""
-    low = F.translate(F.lower(text), "123456789", "000000000")
-    return F.filter(F.split(F.regexp_replace(low, f"([{SIGNS}])", " $1 "), r"\s+"), lambda t: t != "")
+    out = F.translate(F.lower(text), "123456789\t\n\x0b\x0c\r", "000000000     ")
+    for sign in DELIMITERS:
+        out = F.replace(out, F.lit(sign), F.lit(f" {sign} "))
+    return F.array_remove(F.split(out, " "), "")
 
 
 def _edge(gap: Column, last: bool) -> Column:
-    """Tokens of a gap at one end, nearest first, without a token that the gap's border cuts."""
+    """Up to ``REACH`` tokens of a gap at one end, nearest first, without a token that the gap's border cuts."""
+    part = F.substring(gap, -TRIED, TRIED) if last else F.substring(gap, 1, TRIED)
     border = F.substring(gap, -1, 1) if last else F.substring(gap, 1, 1)
-    whole = (gap == "") | border.rlike(rf"[\s{SIGNS}]")
-
-    def near(t: Column) -> Column:
-        inward = F.reverse(t) if last else t
-        return F.slice(F.when(whole, inward).otherwise(F.slice(inward, 2, F.size(t) + 1)), 1, REACH)
-
-    return _let(tokens(gap), near)
-
-
-def _match(number: int, joint: str) -> Callable[[Column, Column], Column]:
-    """A match with its gaps, from an element of the zipped arrays; ``joint`` takes the place of the mark."""
-
-    def build(z: Column, i: Column) -> Column:
-        whole, gap, following = (F.translate(z[n], MARK, joint) for n in ("all", "gap", "next"))
-        return F.struct(
-            F.lit(number).alias("kind"),
-            i.alias("pos"),
-            F.length(z["gap"]).alias("gap"),
-            F.length(z["all"]).alias("size"),
-            whole.alias("value"),
-            _edge(gap, True).alias("before"),
-            _edge(following, False).alias("after"),
-        )
-
-    return build
-
-
-def _matches(docs: DataFrame) -> DataFrame:
-    """row, doc_id, found: array of (kind, pos, gap, size, value, before, after) of every kind of match, valid or not."""
-    plain = F.translate("text", MARK, SPARE)
+    skip = F.when((gap == "") | border.rlike(rf"[\s{SIGNS}]"), 1).otherwise(2)
+    inward = (lambda t: F.reverse(t)) if last else (lambda t: t)
+    short = inward(tokens(part))
+    # the last token of a part may be cut; where the others don't suffice the whole gap is looked at
+    enough = (F.length(gap) <= TRIED) | (F.size(short) > REACH + 1)
+    return F.slice(F.when(enough, short).otherwise(inward(tokens(gap))), skip, REACH)
+
+
+def _pieces(docs: DataFrame) -> DataFrame:
+    """row, doc_id, kind, pos, size, value, head, tail: gaps (even pos) and matches (odd pos), valid or not, and a row of kind -1 for each document."""
+    digits = F.col("text").rlike("[0-9]")
+    holds = {"email": F.col("text").contains("@"), "ip": digits, "card": digits, "phone": F.col("text").contains("+"), "other": digits | F.col("text").contains("@")}
+    parts = [F.struct(F.lit(-1).alias("kind"), F.array(F.lit("")).alias("pieces"))]
     for number, kind in enumerate((*KINDS, "other")):
-        given = F.regexp_replace(plain, JOINING[kind], MARK) if kind in JOINING else plain
-        must = MUST_HOLD.get(kind)
-        holds = F.col("text").rlike("[0-9@]") if kind == "other" else F.col("text").contains(must) if must else F.col("text").rlike("[0-9]")
-        docs = docs.withColumn("given", given)
-        pattern = F.lit(PATTERN.get(kind, VALUE))
-        docs = docs.withColumn("all", F.when(holds, F.regexp_extract_all("given", pattern, F.lit(0))).otherwise(F.array().cast("array<string>")))
-        docs = docs.withColumn("gaps", F.when(F.size("all") > 0, F.split("given", PATTERN.get(kind, VALUE), -1)).otherwise(F.array().cast("array<string>")))
-        zipped = F.arrays_zip("all", F.slice("gaps", 1, F.size("all")).alias("gap"), F.slice("gaps", 2, F.size("all")).alias("next"))
-        docs = docs.withColumn(f"of_{kind}", F.transform(zipped, _match(number, "." if kind == "email" else MARK))).drop("given", "all", "gaps")
-    return docs.select("row", "doc_id", F.concat(*(f"of_{k}" for k in (*KINDS, "other"))).alias("found"))
+        given = F.translate("text", MARK + FENCE, SPARE + SPARE)
+        if kind in JOINING:
+            given = F.regexp_replace(given, JOINING[kind], MARK)
+        fenced = F.regexp_replace(given, PATTERN.get(kind, VALUE), f"{FENCE}$0{FENCE}")
+        parts.append(F.struct(F.lit(number).alias("kind"), F.when(holds[kind], F.split(fenced, FENCE)).otherwise(F.array().cast("array<string>")).alias("pieces")))
+    each = docs.select("row", "doc_id", F.explode(F.array(*parts)).alias("part")).where("part.kind < 0 or size(part.pieces) > 1")
+    each = each.select("row", "doc_id", "part.kind", F.posexplode("part.pieces").alias("pos", "piece"))
+    piece = F.when(F.col("kind") == 0, F.translate("piece", MARK, ".")).otherwise(F.col("piece"))
+    each = each.select("row", "doc_id", "kind", "pos", F.length("piece").alias("size"), piece.alias("piece"), (F.col("pos") % 2 == 1).alias("match"))
+    head, tail = (F.when(~F.col("match") & (F.col("kind") >= 0), _edge(F.col("piece"), last)) for last in (False, True))
+    return each.select("row", "doc_id", "kind", "pos", "size", F.when(F.col("match"), F.col("piece")).alias("value"), head.alias("head"), tail.alias("tail"))
 
 
 def _valid(least_length: int) -> Column:
@@ -142,12 +125,12 @@ def _valid(least_length: int) -> Column:
     )
 
 
-def _placed(rows: DataFrame, least_length: int) -> DataFrame:
+def _placed(pieces: DataFrame, least_length: int) -> DataFrame:
     """row, kind, start, end, value, before, after of what counts; other values never overlap base spans."""
-    each = rows.select("row", F.inline("found"))
-    along = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap") + F.col("size")).over(along).cast("int")
-    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    order = Window.partitionBy("row", "kind").orderBy("pos")
+    end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
+    each = pieces.where("kind >= 0").withColumns({"end": end, "before": F.lag("tail").over(order), "after": F.lead("head").over(order)})
+    each = each.where(F.col("pos") % 2 == 1).withColumn("start", F.col("end") - F.col("size"))
     short = F.regexp_replace("value", r"[.!?]+\z", "")
     value = F.when(F.col("kind") == OTHER, short).when(F.col("kind").isin(2, 3), F.regexp_replace("value", "[^0-9.+]", "")).otherwise(F.col("value"))
     cut = F.when(F.col("kind") == OTHER, F.col("start") + F.length(short)).otherwise(F.col("end"))
@@ -159,28 +142,23 @@ def _placed(rows: DataFrame, least_length: int) -> DataFrame:
     return clear.where(base | free).drop("left", "right")
 
 
-def _windows() -> Column:
-    """(pattern, context) of every window whose tokens are there; pattern is a 64-bit hash of the context."""
-
-    def one(left: int, right: int) -> Column:
-        names = [f"l{i}" for i in range(left, 0, -1)], [f"r{i}" for i in range(1, right + 1)]
-        context = F.concat_ws(" ", *names[0], F.lit("_"), *names[1])
+def _windows() -> list[tuple[Column, Column]]:
+    """(pattern, context) of every window, null where tokens lack; pattern is a 64-bit hash of the window's tokens."""
+    out = []
+    for number, (left, right) in enumerate(WINDOWS):
+        before, after = [f"l{i}" for i in range(left, 0, -1)], [f"r{i}" for i in range(1, right + 1)]
         there = F.lit(True)
-        for n in (*names[0], *names[1]):
+        for n in (*before, *after):
             there = there & F.col(n).isNotNull()
-        return F.when(there, F.struct(F.xxhash64(context).alias("pattern"), context.alias("context")))
-
-    return F.array(*(one(*w) for w in WINDOWS))
+        out.append((F.when(there, F.xxhash64(F.lit(number), *before, *after)), F.concat_ws(" ", *before, F.lit("_"), *after)))
+    return out
 
 
 def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(pattern, total): how often the windows of ``wanted`` stand around any token of the texts."""
-    t = F.col("t")
-    ahead = [F.concat(F.array_repeat(F.lit(None).cast("string"), i), t).alias(f"l{i}") for i in range(REACH, 0, -1)]
-    after = [F.slice(t, i + 1, F.size(t)).alias(f"r{i}") for i in range(1, REACH + 1)]
-    each = docs.select(tokens(F.col("text")).alias("t")).where(F.size("t") > 1).select(F.inline(F.arrays_zip(*ahead, t.alias("slot"), *after)))
-    slots = each.where(F.col("slot").isNotNull() & ~F.col("slot").rlike(rf"\A[{SIGNS}]\z"))
-    found = slots.select(F.explode(F.transform(_windows(), lambda w: w["pattern"])).alias("pattern")).where("pattern is not null")
+    each = docs.select(tokens(F.col("text")).alias("t")).select("t", F.posexplode("t").alias("i", "slot")).where(~F.col("slot").isin(*DELIMITERS))
+    sides = [F.get("t", F.col("i") + step * k).alias(f"{side}{k}") for side, step in (("l", -1), ("r", 1)) for k in range(1, REACH + 1)]
+    found = each.select(*sides).select(F.explode(F.array(*(p for p, _ in _windows()))).alias("pattern")).where("pattern is not null")
     return found.join(wanted.select("pattern"), "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
@@ -212,7 +190,8 @@ def learn(docs: DataFrame, placed: DataFrame, rounds: int = 3, support: int = 5,
         unproven = unproven & ~F.col("value").rlike(shape)
     near = [F.get("before", F.lit(i - 1)).alias(f"l{i}") for i in range(1, REACH + 1)] + [F.get("after", F.lit(i - 1)).alias(f"r{i}") for i in range(1, REACH + 1)]
     instances = placed.select("row", "kind", "start", "end", "value", (~unproven).alias("seed"), *near)
-    edges = written(instances.select("row", "kind", "start", "end", "value", "seed", F.inline(_windows())).where("pattern is not null"), "instances")
+    windows = F.array(*(F.struct(p.alias("pattern"), c.alias("context")) for p, c in _windows()))
+    edges = written(instances.select("row", "kind", "start", "end", "value", "seed", F.inline(windows)).where("pattern is not null"), "instances")
     graph = edges.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.min("context").alias("context"))
     wanted = written(graph.groupBy("pattern").agg(F.count("*").alias("values"), F.min("context").alias("context")).where(F.col("values") >= support), "wanted")
     graph = written(graph.drop("context").join(wanted.select("pattern"), "pattern"), "edges")
@@ -241,14 +220,14 @@ def extract(
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    rows = written(_matches(given.withColumn("row", F.monotonically_increasing_id())), "matches")
-    placed = written(_placed(rows.where(F.size("found") > 0), least_length), "placed")
+    pieces = written(_pieces(given.withColumn("row", F.monotonically_increasing_id())), "pieces")
+    placed = written(_placed(pieces, least_length), "placed")
     _, found = learn(given, placed, rounds, support, confidence)
 
     spans = placed.where(F.col("kind") < OTHER).select("row", "kind", "start", "end").unionByName(found.select("row", F.lit(OTHER).alias("kind"), "start", "end"))
     # a document's spans lie in its own text, so their list is no longer than that
     of = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
-    out = rows.select("row", "doc_id").join(of, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<kind:int,start:int,end:int>>")).alias("all"))
+    out = pieces.where("kind < 0").select("row", "doc_id").join(of, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<kind:int,start:int,end:int>>")).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < OTHER)
     number = lambda k: F.size(F.filter("all", lambda s: s["kind"] == k)).cast("bigint")
     names = (*KINDS, "id")
