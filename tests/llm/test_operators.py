@@ -226,10 +226,44 @@ def test_search(docs, texts, no_docs):
     expected = plain_search(texts, 5)
     assert got(topk_search.search(docs, asks, 5), "query_id", "rank", "doc_id", "score") == expected
     assert got(topk_search.search(docs, asks, 5, block_terms=40), "query_id", "rank", "doc_id", "score") == expected
+    for some in ({"shard_docs": 3}, {"shard_docs": 9, "block_queries": 1}):  # many shards a task, leading ones and others
+        assert got(topk_search.search(docs.coalesce(1), asks, 5, **some), "query_id", "rank", "doc_id", "score") == expected
     assert topk_search.search(no_docs, no_docs).count() == 0
     assert topk_search.search(docs, no_docs).count() == 0
 
 
+def test_pivots_of_any_threshold_keep_the_top():
+    """Shards with rare and frequent lists against full scores, with and without a floor; a good floor leaves most blocks out."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    builder = topk_search._Builder()
+    texts = [" ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(300)], k=rng.randint(3, 80))) for _ in range(700)]
+    for i, t in enumerate(texts):
+        builder.add(1000 - i, t)
+    hashes = np.unique(np.array([topk_search.term_hash(w) for w in vocabulary], np.uint64))
+    idf = np.array([rng.uniform(0.1, 5.0) for _ in hashes])
+    searcher = topk_search.Searcher(builder.shard(), 40.0, hashes, idf)
+    read = []
+    scored = searcher._scored
+    searcher._scored = lambda pivots, *rest: (read.append(len(pivots)), scored(pivots, *rest))[1]
+    for _ in range(60):
+        ask = np.array(sorted(rng.sample(range(len(hashes)), rng.randint(1, 60))))
+        full = collections.Counter()
+        for i, t in enumerate(texts):
+            words = t.split()
+            for w, c in collections.Counter(words).items():
+                at = int(np.searchsorted(hashes, np.uint64(topk_search.term_hash(w))))
+                if at in ask:
+                    full[1000 - i] += idf[at] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(words) / 40.0))
+        best = sorted(((-round(s, 6), i) for i, s in full.items()))[:10]
+        ids, scores = searcher.top(ask, 10)
+        assert ids.tolist() == [i for _, i in best] and np.allclose(scores, [-s for s, _ in best], atol=2e-6)
+        if len(best) == 10:
+            read.clear()
+            ids, scores = searcher.top(ask, 10, -best[4][0])
+            assert ids[:5].tolist() == [i for _, i in best[:5]] and sum(read) <= searcher.blocks
+
+
 # ---- personal data --------------------------------------------------------------------------------
 
 BASE = (
