@@ -3,12 +3,14 @@
 The model is rebuilt from a rank file: every rank's bytes become characters by
 the usual byte-to-character table, and each token's merge is the last one that
 joining its bytes by lower ranks arrives at. Text is cut by the pattern first;
-pieces recur, so a worker remembers the ids of pieces it has met (a bounded
-cache) and asks the library, in batches, for the others.
-
-Token offsets: ids give byte lengths, running sums give byte offsets, and the
-count of UTF-8 lead bytes up to there gives characters. A token that holds part
-of a character covers the whole of it, so neighbours may overlap.
+pieces recur, so a worker remembers the ids and offsets of pieces it has met (a cache
+bounded in bytes; long pieces are not kept) and asks the library, in batches, for the
+others. Decoding reverses the byte-to-character table over the tokens' spellings.
+
+Token offsets: a piece's characters are its bytes, so the library's offsets are
+byte offsets in the piece; the count of UTF-8 lead bytes up to there gives characters.
+A token that holds part of a character covers the whole of it, so neighbours may
+overlap; such tokens are counted as split.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from tokenizers import Tokenizer, models
 
 from loomery.llm.store import fields_and
 
-CACHE_PIECES = 600_000
+#: Bytes of pieces and results that a worker keeps, and of the longest piece it keeps.
+CACHE_BYTES, LONGEST = 160_000_000, 256
+#: What a kept piece costs beside its text and its results.
+OVERHEAD = 250
 
 
 @lru_cache(maxsize=1)
@@ -65,37 +70,65 @@ class ByteBpe:
         merges = [(spelt[h[0]], spelt[h[1]]) for token in sorted(ranks, key=ranks.__getitem__) if len(token) > 1 and (h := _halves(token, ranks))]
         self.model = Tokenizer(models.BPE(vocab={spelt[t]: r for t, r in ranks.items()}, merges=merges))
         self.table = str.maketrans({chr(b): c for b, c in enumerate(chars)})
-        self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        self.reverse = str.maketrans({c: chr(b) for b, c in enumerate(chars)})
+        self.spelling = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+            self.spelling[rank] = spelt[token]
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
+        #: ids, byte offsets of the ends, and number of split tokens of a piece
+        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        self.kept = 0
+
+    def _new(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, int]]:
+        """Results of the pieces that aren't known; short ones are kept."""
+        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        if self.kept > CACHE_BYTES:
+            self.known, self.kept = {}, 0
+            new = list(dict.fromkeys(pieces))
+        # bytes as characters: the library then sees each piece as one word
+        spelt = [p.encode().decode("latin-1").translate(self.table) for p in new]
+        found = {}
+        for p, e in zip(new, self.model.encode_batch(spelt, add_special_tokens=False)):
+            ends = np.fromiter((b for _, b in e.offsets), "<u4", len(e.ids))
+            split = 0
+            if not p.isascii():
+                raw = np.frombuffer(p.encode(), np.uint8)
+                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+                split = int(np.count_nonzero(((raw[starts] & 0xC0) == 0x80) | ((np.append(raw, 0)[ends] & 0xC0) == 0x80)))
+            found[p] = np.array(e.ids, dtype="<u4").tobytes(), ends.tobytes(), split
+            if len(p) <= LONGEST:
+                self.known[p] = found[p]
+                self.kept += len(p) + 8 * len(e.ids) + OVERHEAD
+        return found
+
+    def results(self, text: str) -> list[tuple[bytes, bytes, int]]:
+        pieces, known = self.pattern.findall(text), self.known
+        try:
+            return [known[p] for p in pieces]
+        except KeyError:
+            found = self._new(pieces)
+            known = self.known
+            return [known[p] if p in known else found[p] for p in pieces]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        pieces, known = self.pattern.findall(text), self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = list(dict.fromkeys(pieces))
-            # bytes as characters: the library then sees each piece as one word
-            spelt = [p.encode().decode("latin-1").translate(self.table) for p in new]
-            for p, e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+        return b"".join([r[0] for r in self.results(text)])
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of the ids; characters that were split between tokens come together again."""
-        table = self.bytes_of
-        return b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+        spelling = self.spelling
+        return "".join([spelling[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).translate(self.reverse).encode("latin-1")
 
-    def offsets(self, text: str, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end (exclusive) of each token in characters of the text."""
-        sizes = np.array([len(self.bytes_of[i]) for i in np.frombuffer(ids, dtype="<u4").tolist()], np.int64)
-        ends = np.cumsum(sizes)
+        within = [np.frombuffer(r[1], "<u4").astype(np.int64) for r in self.results(text)]
+        if not within:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        before = np.cumsum([0, *(e[-1] for e in within[:-1])])
+        ends = np.concatenate([e + b for e, b in zip(within, before)])
+        starts = np.concatenate([[0], ends[:-1]])
         lead = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
-        return lead[ends - sizes] - 1 if len(ends) else ends, lead[ends - 1] if len(ends) else ends
+        return lead[starts] - 1, lead[ends - 1]
 
 
 @lru_cache(maxsize=2)
@@ -121,7 +154,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 ids = bpe.encode(text or "")
                 out["ids"].append(np.frombuffer(ids, "<i4"))
                 if offsets:
-                    for name, values in zip(more, bpe.offsets(text or "", ids)):
+                    for name, values in zip(more, bpe.offsets(text or "")):
                         out[name].append(values.astype(np.int32))
             arrays = [pa.array(v, pa.list_(pa.int32())) for v in out.values()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], schema.fieldNames())
@@ -144,19 +177,26 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
     return kept.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes each text and decodes the ids again, keeping digests only.
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_split: encodes each text and decodes the ids again.
+
+    n_split counts tokens that hold part of a character, by their offsets. With ``ids`` also ids (array<int>);
+    else digests only are kept.
 
     Nulls, empty texts, repeats and empty tables as in ``encode``.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = fields_and([given.schema["doc_id"]], "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    schema = fields_and([given.schema["doc_id"]], "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_split bigint" + ", ids array<int>" * ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            ids = [bpe.encode(text or "") for text in batch.column(1).to_pylist()]
-            digests = [[hashlib.sha256(x).hexdigest() for x in values] for values in (ids, map(bpe.decode, ids))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), *(pa.array(d, pa.string()) for d in digests)], schema.fieldNames())
+            results = [bpe.results(text or "") for text in batch.column(1).to_pylist()]
+            made = [b"".join([r[0] for r in each]) for each in results]
+            digests = [[hashlib.sha256(x).hexdigest() for x in values] for values in (made, map(bpe.decode, made))]
+            columns = [pa.array([len(i) // 4 for i in made], pa.int64()), *(pa.array(d, pa.string()) for d in digests), pa.array([sum([r[2] for r in each]) for each in results], pa.int64())]
+            if ids:
+                columns.append(pa.array([np.frombuffer(i, "<i4") for i in made], pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.fieldNames())
 
     return given.mapInArrow(run, schema)

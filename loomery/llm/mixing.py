@@ -71,12 +71,16 @@ def token_count(text: Column) -> Column:
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, sample: int = 6000, rounds: int = 300, ridge: float = 1e-3) -> Classifier:
-    """Softmax regression on at most ``sample`` labelled documents, taken in the order of a hash of their ids."""
+    """Softmax regression on the documents of at most ``sample`` labels, taken in the order of a hash of their ids.
+
+    One label an id counts, the worst; of documents that share an id one, that with the smallest text.
+    """
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0).cast("int").alias("domain")
     drawn = labels.where("doc_id is not null and toxic in (0, 1) and quality in (0, 1)").select(F.col("doc_id").cast("bigint").alias("doc_id"), domain)
-    drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(sample)
+    drawn = drawn.groupBy("doc_id").agg(F.max("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "domain")  # bounded by ``sample``
+    # bounded by ``sample``
+    rows = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text")).select("doc_id", "text", "domain")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
@@ -129,55 +133,40 @@ LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
 MISSED = 0.005
 
 
-def growth_for(weighed: DataFrame, targets: dict[str, float], least_growth: float = 1.0) -> float:
-    """Growth at which the targets are in reach though every rate is 1 at least.
+def growth_to_keep(weighed: DataFrame, targets: dict[str, float], least: Column) -> float:
+    """Growth at which the tokens that documents have at their ``least`` rates fit under every domain's target; 1 at least.
 
-    What comes in stays, so a domain above its weight is thinned by tokens of those
-    below, which hold some of it themselves: these are taken as they lie in
-    documents weighed by the square of their posterior. Domains of weight 0, and
-    those that the added tokens hold too much of, don't count: no growth meets them.
+    A domain of weight 0 is left aside: no growth makes room for what it has.
     """
-    p, k, n = [F.col(f"p_{d}") for d in DOMAINS], len(DOMAINS), F.col("n_tokens").cast("double")
-    row = weighed.agg(F.sum(n), *(F.sum(n * q) for q in p), *(F.sum(n * u * u * q) for u in p for q in p)).first()
-    total = float(row[0] or 0.0)
-    if not total:
-        return least_growth
-    have = np.array([float(v) for v in row[1 : k + 1]]) / total
-    pure = np.array([float(v) for v in row[k + 1 :]]).reshape(k, k)
-    pure = pure / np.maximum(pure.sum(axis=1, keepdims=True), 1e-300)
-    want = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    short = np.maximum(want - have, 0.0)
-    added = short / max(short.sum(), 1e-300) @ pure
-    over = (have > want) & (want > added)
-    return float(max([least_growth, *((have - added)[over] / (want - added)[over])]))
-
-
-def fitted_rate(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least_rate: float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> Column:
-    """The rates of ``fit_rates`` alone."""
-    return fit_rates(weighed, targets, growth, least_rate, tolerance, most_steps)[0]
-
-
-def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least_rate: float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
+    n, names = F.col("n_tokens").cast("double"), [d for d in DOMAINS if targets[d] > 0]
+    row = weighed.agg(F.sum(n), *(F.sum(n * least * F.col(f"p_{d}")) for d in names)).first()
+    total, all_ = float(row[0] or 0.0), sum(targets.values())
+    return max([1.0, *(float(v) * all_ / (targets[d] * total) for d, v in zip(names, row[1:]))]) if total else 1.0
+
+
+def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least: Column | float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
     """Column of rates for a table with n_tokens and posteriors, and the residual.
 
     ``targets`` are weights of a mix of ``growth`` times the tokens there are; no
-    rate goes below ``least_rate``. Steps go along the gradient, plain and in the
-    metric of the documents above the bound, as far as the distance shrinks most;
-    targets that no such rates reach end at the nearest found. The residual is
-    what each domain's tokens lack to its target, as a share of the wanted mix;
-    it is logged where it is more than ``MISSED``.
+    rate goes below ``least``, a number or a column of the table. Steps go along the
+    gradient, plain and in the metric of the documents above the bound, as far as the
+    distance shrinks most; targets that no such rates reach end at the nearest found.
+    The residual is what each domain's tokens lack to its target, as a share of the
+    wanted mix; it is logged where it is more than ``MISSED``. The rounds read a table
+    of numbers only.
     """
     p = [F.col(f"p_{d}") for d in DOMAINS]
     k = len(DOMAINS)
     want = growth * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    n = F.col("n_tokens").cast("double")
+    bound = least if isinstance(least, Column) else F.lit(float(least))
+    numbers = written(weighed.select(F.col("n_tokens").cast("double").alias("n"), *p, bound.alias("least")), "numbers")
 
-    def moved(rate: Column, y: np.ndarray) -> Column:
-        return F.greatest(F.lit(float(least_rate)), rate + sum((F.lit(float(v)) * q for v, q in zip(y, p)), F.lit(0.0)))
+    def moved(rate: Column, y: np.ndarray, low: Column) -> Column:
+        return F.greatest(low, rate + sum((F.lit(float(v)) * q for v, q in zip(y, p)), F.lit(0.0)))
 
-    rate: Column = F.greatest(F.lit(float(least_rate)), F.lit(1.0))
-    now = weighed.select(n.alias("n"), *p, rate.alias("r"))
-    first = now.agg(F.sum("n"), *(F.sum(F.col("n") * F.col("r") * q) for q in p)).first()
+    # the same rates by the columns of ``weighed`` and of ``numbers``
+    rate, own = F.greatest(bound, F.lit(1.0)), F.greatest(F.col("least"), F.lit(1.0))
+    first = numbers.agg(F.sum("n"), *(F.sum(F.col("n") * own * q) for q in p)).first()
     total, got = float(first[0] or 0.0), np.array([float(v or 0.0) for v in first[1:]])
     for _ in range(most_steps if total else 0):
         short = want - got / total
@@ -185,21 +174,21 @@ def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0
             break
         # a document at the bound takes part where the gradient leads away from it
         rises = sum((F.lit(float(v)) * q for v, q in zip(short, p)), F.lit(0.0)) > 0
-        live = F.when((F.col("r") > least_rate) | rises, F.col("n")).otherwise(0.0)
-        now = weighed.select(n.alias("n"), *p, rate.alias("r"))
+        live = F.when((F.col("r") > F.col("least")) | rises, F.col("n")).otherwise(0.0)
+        now = numbers.select("n", *p, "least", own.alias("r"))
         row = now.agg(*(F.sum(live * p[i] * p[j]) for i in range(k) for j in range(i, k))).first()
         gram = np.zeros((k, k))
         gram[np.triu_indices(k)] = np.array([float(v or 0.0) for v in row]) / total
         gram = gram + np.triu(gram, 1).T
         steps = [np.linalg.lstsq(gram + 1e-9 * np.eye(k), short, rcond=1e-10)[0], short / max(np.linalg.norm(gram, 2), 1e-9)]
         tried = [t * y for y in steps for t in LENGTHS]
-        row = now.agg(*(F.sum(F.col("n") * moved(F.col("r"), y) * q) for y in tried for q in p)).first()
+        row = now.agg(*(F.sum(F.col("n") * moved(F.col("r"), y, F.col("least")) * q) for y in tried for q in p)).first()
         sums = np.array([float(v or 0.0) for v in row]).reshape(len(tried), k)
         away = np.linalg.norm(want - sums / total, axis=1)
         best = int(away.argmin())
         if away[best] >= np.linalg.norm(short) * (1 - 1e-4):
             break
-        rate, got = moved(rate, tried[best]), sums[best]
+        rate, own, got = moved(rate, tried[best], bound), moved(own, tried[best], F.col("least")), sums[best]
     residual = dict(zip(DOMAINS, ((want - got / total) / growth).tolist() if total else [0.0] * k))
     if max(map(abs, residual.values())) > MISSED:
         logging.getLogger(__name__).warning("targets not met, lacking shares of the mix: %s", residual)
@@ -210,21 +199,22 @@ def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0
 TARGETS = {"good": 0.85, "poor": 0.12, "toxic": 0.03}
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", growth: float = 1.0, least_rate: float = 0.0, grow_enough: bool = False) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, sample: int = 6000, id_col: str = "doc_id", text_col: str = "text", growth: float = 1.0, keep: str | None = None) -> DataFrame:
     """row, doc_id, n_tokens, p_good, p_poor, p_toxic, rate for every row.
 
     rate (0 or more) is how often a document goes into the mix. A null or empty
     text has no tokens, and the rate its posteriors give. Without labels
-    posteriors are equal and rates 1. Repeated rows count each for itself; an
-    empty table gives no rows; input columns of any name stay in ``row``. With
-    ``grow_enough`` the growth rises as far as the targets need.
+    posteriors are equal and rates 1. Repeated rows count each for itself, a null id is
+    kept; an empty table gives no rows; input columns of any name stay in ``row``.
+    With ``keep``, a domain, documents that most likely are of it have rates of 1 at
+    least, and the mix grows beyond ``growth`` if they alone exceed a target.
     """
     classifier = fit_classifier(docs, labels, sample)
-    weighed = domain_posteriors(docs, classifier, id_col, text_col)
-    weighed = written(weighed, "posteriors")
-    if grow_enough:
-        growth = growth_for(weighed, targets or TARGETS, growth)
-    return weighed.withColumn("rate", fitted_rate(weighed, targets or TARGETS, growth, least_rate))
+    weighed = written(domain_posteriors(docs, classifier, id_col, text_col), "posteriors")
+    least = F.when(F.col(f"p_{keep}") >= 0.5, 1.0).otherwise(0.0) if keep else F.lit(0.0)
+    if keep:
+        growth = max(growth, growth_to_keep(weighed, targets or TARGETS, least))
+    return weighed.withColumn("rate", fit_rates(weighed, targets or TARGETS, growth, least)[0])
 
 
 def repeated(mixed: DataFrame, seed: int = 9) -> DataFrame:

@@ -23,7 +23,7 @@ def edited(rng, text, n):
 
 
 def expected(texts):
-    sets, prints = [shingles(t) for _, t in texts], [plain_fingerprint(t) for _, t in texts]
+    sets, prints = [shingles(t) for _, t in texts], [plain_fingerprint(t, 5) for _, t in texts]
     linked = lambda i, j: bin(prints[i] ^ prints[j]).count("1") <= 2 or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0
     roots = plain_components(len(texts), linked)
     least = collections.defaultdict(list)
@@ -55,5 +55,5 @@ def test_stage_drops_near_copies_beyond_two_bits(spark):
     table = spark.createDataFrame(rows_of(given), SCHEMA).select(*corpus_pipeline.COLUMNS)
     kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, table, "").collect()}
     assert kept == {c for _, c in expected(given)}
-    by_bits = {r["component_id"] for r in simhash.near_duplicates(table).collect()}
+    by_bits = {r["component_id"] for r in simhash.near_duplicates(table, words_per_shingle=5).collect()}
     assert len(kept) < len(by_bits)

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -145,7 +146,7 @@ def test_bpe_is_tiktoken(docs, texts, no_docs):
         ids = codec.encode(t)
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode_ordinary(t)
         assert codec.decode(ids).decode() == t
-        starts, ends = codec.offsets(t, ids)
+        starts, ends = codec.offsets(t)
         raw = [codec.decode(i.tobytes()) for i in np.frombuffer(ids, "<u4")]
         assert all(piece.decode(errors="ignore") in t[a:b] for piece, a, b in zip(raw, starts, ends))
     expected = []
@@ -153,6 +154,8 @@ def test_bpe_is_tiktoken(docs, texts, no_docs):
         ids = np.array(plain.encode_ordinary(t or ""), "<u4").tobytes()
         expected.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert got(bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected, key=repr)
+    kept = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, ids=True)
+    assert all(hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest() == r["ids_sha256"] for r in kept.collect())
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, offsets=True)
     back = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
     assert sorted(r[0] or "" for r in back.select(F.col("decoded").cast("string")).collect()) == sorted(t or "" for _, t in texts)
@@ -161,9 +164,22 @@ def test_bpe_is_tiktoken(docs, texts, no_docs):
 
 def test_split_characters_cover_the_whole_character():
     codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
-    ids = codec.encode("é𝒳")
-    starts, ends = codec.offsets("é𝒳", ids)
+    starts, ends = codec.offsets("é𝒳")
     assert set(zip(starts.tolist(), ends.tolist())) <= {(0, 1), (1, 2)} and ends[-1] == 2
+    for t in [*ODD, "é𝒳 日本語 naïve"]:
+        raw = [codec.decode(i.tobytes()) for i in np.frombuffer(codec.encode(t), "<u4")]
+        broken = sum(piece.decode(errors="replace").encode() != piece for piece in raw)
+        assert sum(r[2] for r in codec.results(t)) == broken
+
+
+def test_long_pieces_are_not_kept_and_the_cache_is_bounded(monkeypatch):
+    codec = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    whole = codec.encode("ab " * 50 + "y" * 5000)
+    assert "y" * 5000 not in codec.known and " ab" in codec.known
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1000)
+    for i in range(50):
+        codec.encode(f"w{i}x{i * 7}")
+    assert codec.kept < 3000 and codec.encode("ab " * 50 + "y" * 5000) == whole
 
 
 # ---- token counts -----------------------------------------------------------------------------
@@ -191,6 +207,19 @@ def test_spliced_encodings(file):
             assert counter.counts([t, "", t], chunk, overlap) == [whole, 0, whole]
 
 
+def test_only_files_that_are_proven_to_drop_blanks_go_by_words():
+    files = {name: json.load(open(public_tokenizers.path(name), encoding="utf-8")) for name in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+    assert [token_counts.drops_blanks(f) for f in files.values()] == [True, False]
+    good = files["word_bpe_49k.json"]
+    split = good["pre_tokenizer"]["pretokenizers"][0]
+    for pattern in (r"\S+", r".+", r"[\p{L} ]+", r"\p{L}+|\s", r"[^\p{L}]+", r"\w+\W"):
+        changed = good | {"pre_tokenizer": {"pretokenizers": [split | {"pattern": {"Regex": pattern}}]}}
+        assert not token_counts.drops_blanks(changed)
+    assert not token_counts.drops_blanks(good | {"normalizer": {"type": "Strip"}})
+    assert not token_counts.drops_blanks(good | {"added_tokens": [good["added_tokens"][0] | {"content": "a b"}]})
+    assert not token_counts.drops_blanks(good | {"pre_tokenizer": None})
+
+
 def test_overlaps_that_do_not_agree_are_widened():
     counter = token_counts.TokenCounter(WORDS)
     text = "one two three " + "z" * 400 + " four five six seven eight " * 30
@@ -637,11 +666,10 @@ def test_mixing_meets_targets(spark, insults, no_docs):
         assert abs(sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows) / total - targets[d]) < 0.02
     short = mixing.repeated(mixing.mix(docs, labels, targets))
     assert short.columns == docs.columns and 0 < short.count() < 2 * docs.count()
-    # with a least rate of 1 every document stays, and the mix grows by repeats
-    grown = mixing.mix(docs, labels, targets, growth=1.5, least_rate=1.0).cache()
-    again = mixing.repeated(grown)
-    assert grown.where("rate < 1").count() == 0 and again.count() > 1.2 * docs.count()
-    assert again.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    # documents of a domain to keep stay, and the mix grows where they exceed their target
+    grown = mixing.mix(docs, labels, targets, keep="good").cache()
+    assert grown.where("rate < 1 and p_good >= 0.5").count() == 0 and grown.where("rate < 0.5 and p_poor >= 0.5").count() > 0
+    assert grown.selectExpr("sum(rate * n_tokens) / sum(n_tokens)").first()[0] > 1.1
     assert mixing.mix(no_docs, labels).count() == 0 and mixing.repeated(mixing.mix(no_docs, labels.limit(0))).count() == 0
     assert {round(r["rate"], 6) >= 0 for r in mixing.mix(docs, labels.limit(0)).collect()} == {True}
 
