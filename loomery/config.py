@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 from dataclasses import dataclass, field, fields, replace
+from datetime import datetime, timezone
 from pathlib import Path
 from typing import Any
 
@@ -126,7 +127,10 @@ class TrainingProfile:
     prompt_strategy: str | None = None
     style_trigger: str | None = None
     entity_id_scope: str | None = None
-    base_model: str | None = None
+    target_family: str | None = None
+    base_model_recommendations: tuple[str, ...] = ()
+    training_hyperparameters: dict[str, Any] = field(default_factory=dict)
+    is_style_lora: bool = False
 
 
 @dataclass(frozen=True)
@@ -197,6 +201,57 @@ def load_project(root: str | Path) -> Project:
     )
 
 
+@dataclass(frozen=True)
+class BuildConfig:
+    """What a canon build reads; ``raw`` is the file's text, which enters every entry's hash."""
+
+    project_id: str
+    canon_root: str
+    schema_dir: str
+    entity_dirs: dict[str, str]
+    schema_to_lane: dict[str, dict[str, str]]
+    context_limits: dict[str, Any] = field(default_factory=dict)
+    profile_id: str | None = None
+    freeze_watch_defaults: dict[str, list[str]] = field(default_factory=dict)
+    raw: str = ""
+
+    def lane_rules(self) -> dict[str, dict[str, str]]:
+        """The lane rules in the form that ``canon.lanes_of`` takes, by kind."""
+        kind = lambda name: name.removesuffix(".json").removesuffix(".schema")
+        return {kind(n): {"field": r["field"]} if r["source"] == "field" else {"lane": r["value"]} for n, r in self.schema_to_lane.items()}
+
+
+def _lane_rule_mistake(rule: Any) -> str | None:
+    if not isinstance(rule, dict):
+        return "must be an object"
+    needed = {"field": "field", "constant": "value"}.get(rule.get("source"))
+    if needed is None:
+        return f"has source {rule.get('source')!r}, neither field nor constant"
+    return None if isinstance(rule.get(needed), str) and rule[needed] else f"lacks a text {needed!r}"
+
+
+def load_build_config(path: str | Path, root: str | Path) -> BuildConfig:
+    """A build's configuration. All mistakes are reported at once; relative folders are below ``root``."""
+    given = read_json(path)
+    if given is None:
+        raise InputError("CANON_BUILD_CONFIG_NOT_FOUND", f"no build configuration at {path}")
+    given = given if isinstance(given, dict) else {}
+    wrong = [f"{k} is missing" for k in ("project_id", "canon_root", "schema_dir") if not given.get(k)]
+    wrong += [f"{k} must be an object" for k in ("entity_dirs", "schema_to_lane") if not isinstance(given.get(k), dict)]
+    rules = given.get("schema_to_lane") if isinstance(given.get("schema_to_lane"), dict) else {}
+    wrong += [f"schema_to_lane of {name} {mistake}" for name, rule in rules.items() if (mistake := _lane_rule_mistake(rule))]
+    if wrong:
+        raise InputError("CANON_BUILD_CONFIG_INVALID", f"{path}: " + "; ".join(wrong))
+    known = {f.name for f in fields(BuildConfig)} - {"raw", "canon_root", "schema_dir"}
+    folders = {k: str(Path(root, given[k])) for k in ("canon_root", "schema_dir")}
+    return BuildConfig(**folders, **{k: v for k, v in given.items() if k in known and v is not None}, raw=Path(path).read_text(encoding="utf-8"))
+
+
+def time_id(prefix: str, at: datetime, nonce: str) -> str:
+    """An identifier like export-20260131-235959-ab12: UTC day and time, and four hexadecimal digits."""
+    return f"{prefix}-{at.astimezone(timezone.utc):%Y%m%d-%H%M%S}-{nonce}"
+
+
 CONFIG_FILES = ("constitution.json", "lanes.json", "project.json", "rubric.json", "terminology.json")
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
+from decimal import Decimal
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomery.functions import captions
-from loomery.functions.scalars import row_hash, truthy
+from loomery.config import InputError
+from loomery.functions.scalars import either, row_hash, truthy
 from loomery.schema import ROW_SCHEMA_VERSION
 
 STATUSES = ("auto", "soft-advisory", "frozen", "on-canon-change")
@@ -25,16 +28,33 @@ def by_path(value: Any, path: str) -> Any:
     return value
 
 
+def number_text(value: float) -> str:
+    """The shortest decimal text of a double: plain from 1e-6 up to below 1e21, else with an exponent; non-finite ones are null."""
+    if not math.isfinite(value):
+        return "null"
+    sign, digits, exponent = Decimal(repr(float(value))).normalize().as_tuple()
+    text, point = "".join(map(str, digits)), len(digits) + exponent
+    minus = "-" if sign and value else ""
+    if value == 0:
+        return "0"
+    if len(text) <= point <= 21:
+        return minus + text + "0" * (point - len(text))
+    if 0 < point <= 21:
+        return f"{minus}{text[:point]}.{text[point:]}"
+    if -6 < point <= 0:
+        return f"{minus}0.{'0' * -point}{text}"
+    fraction = f".{text[1:]}" if len(text) > 1 else ""
+    return f"{minus}{text[0]}{fraction}e{point - 1:+d}"
+
+
 def canonical(value: Any) -> str:
-    """JSON with sorted keys and no blanks; whole numbers without a fraction, non-finite ones as null."""
+    """JSON without blanks, keys in order of their UTF-16 units, numbers as doubles are written."""
     if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{canonical(v)}" for k, v in sorted(value.items())) + "}"
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{canonical(value[k])}" for k in sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))) + "}"
     if isinstance(value, list):
         return "[" + ",".join(map(canonical, value)) + "]"
-    if isinstance(value, float):
-        if value != value or value in (float("inf"), float("-inf")):
-            return "null"
-        return str(int(value)) if value == int(value) and abs(value) < 1e21 else repr(value)
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return number_text(value)
     return json.dumps(value, ensure_ascii=False)
 
 
@@ -126,10 +146,11 @@ def over_length(rendered: DataFrame, cap: int) -> DataFrame:
 
 
 def tree_hash(files: DataFrame) -> DataFrame:
-    """One hash over all files (path, content) in order of paths: a fallback where there is no revision."""
-    each = files.select(F.concat(F.col("path"), F.lit("\0"), F.sha2(F.col("content"), 256)).alias("x"))
-    # per file only a path and 64 characters; an ordered aggregate over one build's entries
-    return each.agg(F.concat(F.lit("content-sha:"), F.sha2(F.expr("listagg(x, '\n') within group (order by x)"), 256)).alias("content_sha"))
+    """One hash over all files (path, content): a fallback where there is no revision. Files by folder in order of paths, then folders in theirs."""
+    each = files.select(F.regexp_extract("path", r"\A(.*/)?[^/]*\z", 1).alias("folder"), F.concat(F.col("path"), F.lit("\0"), F.sha2(F.col("content"), 256)).alias("x"))
+    ordered = lambda c: F.sha2(F.expr(f"listagg({c}, '\n') within group (order by {c})"), 256)
+    folders = each.groupBy("folder").agg(ordered("x").alias("h")).select(F.concat(F.col("folder"), F.lit("\0"), F.col("h")).alias("y"))
+    return folders.agg(F.concat(F.lit("content-sha:"), ordered("y")).alias("content_sha"))
 
 
 def events_after(events: DataFrame, build_hash: str | None, position: str = "pos") -> DataFrame:
@@ -140,6 +161,10 @@ def events_after(events: DataFrame, build_hash: str | None, position: str = "pos
     return events.join(F.broadcast(last), F.col(position) > F.col("_last")).drop("_last")
 
 
+def events_of(events: DataFrame, entity_id: str) -> DataFrame:
+    return events.where(F.col("entity_id") == entity_id)
+
+
 def gate(entries: DataFrame, allow_advisory: bool = False, reason: str | None = None) -> DataFrame:
     """(id, freeze_status, decision): refused, bypassed or allowed. Frozen is always refused; advisory needs the flag and a reason."""
     bypass = bool(allow_advisory and reason)
@@ -147,8 +172,44 @@ def gate(entries: DataFrame, allow_advisory: bool = False, reason: str | None =
     return entries.select("id", "freeze_status", decision.alias("decision"))
 
 
+def bypass_events(gated: DataFrame, reason: str, by: str, at: str, kinds: DataFrame | None = None) -> DataFrame:
+    """Events to append to the freeze log for each bypassed entry of ``gate``; ``kinds`` (id, schema_kind) names their kinds."""
+    passed = gated.where(F.col("decision") == "bypassed")
+    passed = passed.join(kinds.select("id", "schema_kind"), "id", "left") if kinds is not None else passed.withColumn("schema_kind", F.lit(None).cast("string"))
+    status = F.lit("soft-advisory")
+    return passed.select(F.lit(at).alias("at"), F.lit("bypass").alias("type"), F.col("id").cast("string").alias("entity_id"), "schema_kind", F.lit(by).alias("by"), F.lit(reason).alias("reason"), status.alias("prior_status"), status.alias("new_status"))
+
+
+def freeze_events(entries: DataFrame, new_status: str, reason: str, by: str, at: str) -> DataFrame:
+    """Events of setting entries (id, schema_kind, freeze_status) to a status: freeze, or unfreeze for auto; entries that have it already give none."""
+    if new_status not in STATUSES:
+        raise InputError("FREEZE_STATUS", f"no freeze status {new_status!r}", f"known: {', '.join(STATUSES)}")
+    if not reason:
+        raise InputError("FREEZE_REASON", "a reason is required")
+    kind = "unfreeze" if new_status == "auto" else "freeze"
+    changed = entries.where(F.col("freeze_status") != new_status)
+    return changed.select(F.lit(at).alias("at"), F.lit(kind).alias("type"), F.col("id").alias("entity_id"), "schema_kind", F.lit(by).alias("by"), F.lit(reason).alias("reason"), F.col("freeze_status").alias("prior_status"), F.lit(new_status).alias("new_status"))
+
+
+def of_subjects(subjects: DataFrame, entries: DataFrame) -> DataFrame:
+    """(subject, id, schema_kind, freeze_status): the entry of each subject's id; nulls where nothing is bound."""
+    return subjects.join(entries.select(F.col("id").alias("subject"), "id", "schema_kind", "freeze_status"), "subject", "left")
+
+
+def of_assets(assets: DataFrame, entries: DataFrame) -> DataFrame:
+    """(asset_path, id, schema_kind, freeze_status): the entry whose reference plate an asset is, by paths with forward slashes."""
+    plate = either(F.get_json_object("entry", "$.visual.reference_plate_uri"), F.get_json_object("entry", "$.reference_plate_uri"))
+    slashed = lambda c: F.translate(c, "\\", "/")
+    plates = entries.select(slashed(plate).alias("_plate"), "id", "schema_kind", "freeze_status").where(truthy(F.col("_plate")).isNotNull())
+    # of several entries with one plate the first id counts
+    first = plates.groupBy("_plate").agg(F.min(F.struct("id", "schema_kind", "freeze_status")).alias("_e"))
+    return assets.join(first, slashed(F.col("asset_path")) == F.col("_plate"), "left").select("asset_path", "_e.id", "_e.schema_kind", "_e.freeze_status")
+
+
 def build_stats(entries: DataFrame, drifted: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """(name, n): entries, frozen, drifted, rebuilt, cached."""
-    spark = entries.sparkSession
-    total, frozen, bad, new = (d.count() for d in (entries, entries.where(F.col("freeze_status") != "auto"), drifted.where("drift = 'drifted'"), rebuilt))
-    return spark.createDataFrame([("entries", total), ("frozen", frozen), ("drifted", bad), ("rebuilt", new), ("cached", total - new)], "name string, n bigint")
+    """(name, n): entries, frozen, drifted, rebuilt, cached; one aggregate for each table."""
+    first = entries.agg(F.count("*").alias("entries"), F.count_if(F.col("freeze_status") != "auto").alias("frozen"))
+    second, third = drifted.agg(F.count_if(F.col("drift") == "drifted").alias("drifted")), rebuilt.agg(F.count("*").alias("rebuilt"))
+    one = lambda d: d.withColumn("_one", F.lit(1))
+    row = one(first).join(one(second), "_one").join(one(third), "_one")
+    return row.selectExpr("stack(5, 'entries', entries, 'frozen', frozen, 'drifted', drifted, 'rebuilt', rebuilt, 'cached', entries - rebuilt) as (name, n)")

@@ -39,14 +39,20 @@ def anchor_gold(located: DataFrame, most: int = 3) -> DataFrame:
     return picked.select(F.lit("anchor_gold").alias("task"), F.col("id").alias("record_id"), faction.alias("faction"), _pass_ratio(), F.col("canon.assertion_count").alias("assertion_count"), "asset_path")
 
 
-def forbidden_drift(located: DataFrame, most: int = 20) -> DataFrame:
-    """Rejected and borderline records with violations or an explanation, most violations first."""
+def _violations() -> Column:
     none = F.array().cast("array<string>")
     failed = F.coalesce(F.filter("canon.assertions", lambda a: a["verdict"] == "fail")["rule_id"], none)
-    violations = F.array_union(F.coalesce("judgment.failure_modes", none), failed)
-    said = truthy(F.col("judgment.explanation"))
-    pool = located.where(F.col("judgment.status").isin("rejected", "borderline")).withColumn("violations", violations).withColumn("said", said)
-    pool = pool.where((F.size("violations") > 0) | F.col("said").isNotNull())
+    return F.array_union(F.coalesce("judgment.failure_modes", none), failed)
+
+
+def _shows_drift() -> Column:
+    return (F.size(_violations()) > 0) | truthy(F.col("judgment.explanation")).isNotNull()
+
+
+def forbidden_drift(located: DataFrame, most: int = 20) -> DataFrame:
+    """Rejected and borderline records with violations or an explanation, most violations first."""
+    pool = located.where(F.col("judgment.status").isin("rejected", "borderline") & _shows_drift())
+    pool = pool.withColumn("violations", _violations()).withColumn("said", truthy(F.col("judgment.explanation")))
     return pool.orderBy(F.size("violations").desc(), _file_order()).limit(most).select(F.lit("forbidden_drift").alias("task"), F.col("id").alias("record_id"), F.col("judgment.status").alias("status"), "violations", F.col("said").alias("explanation"), "asset_path")
 
 
@@ -65,9 +71,16 @@ def subject_continuity(located: DataFrame, most: int = 10) -> DataFrame:
 
 
 def pool_sizes(located: DataFrame, **sampled: DataFrame) -> DataFrame:
-    """(task, available): what each task could have drawn from."""
+    """(task, available): what each task could have drawn from; with the tasks' relations by name also sampled, what they have drawn."""
     ok = (F.col("judgment.status") == "approved") & (F.coalesce(F.size("canon.assertions"), F.lit(0)) > 0)
-    drift = F.col("judgment.status").isin("rejected", "borderline")
+    drift = F.col("judgment.status").isin("rejected", "borderline") & _shows_drift()
     row = located.agg(F.count_if(ok).alias("lane_coverage"), F.count_if(ok).alias("anchor_gold"), F.count_if(drift).alias("forbidden_drift"), F.count_distinct(truthy(F.col("identity.subject_name"))).alias("subject_continuity"))
     names = ", ".join(f"'{n}', {n}" for n in row.columns)
-    return row.selectExpr(f"stack({len(row.columns)}, {names}) as (task, available)")
+    sizes = row.selectExpr(f"stack({len(row.columns)}, {names}) as (task, available)")
+    if not sampled:
+        return sizes
+    drawn = None
+    for task, rows in sampled.items():
+        one = rows.agg(F.count("*").alias("sampled")).select(F.lit(task).alias("task"), "sampled")
+        drawn = one if drawn is None else drawn.unionByName(one)
+    return sizes.join(drawn, "task", "left").select("task", "available", F.coalesce("sampled", F.lit(0)).alias("sampled"))

@@ -5,20 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomery.functions.scalars import strip_version, truthy
+from loomery.schema import RECORD_SCHEMA_VERSION
 
 
-def parse_scores(text: Column) -> Column:
-    """'a:0.9,b:0.4' as a map; pairs without a key or a number are left out."""
-    pairs = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.struct(F.trim(F.split(p, ":")[0]).alias("k"), F.try_element_at(F.split(p, ":"), F.lit(2)).try_cast("double").alias("v")))
-    kept = F.filter(pairs, lambda p: (p["k"] != "") & p["v"].isNotNull())
-    return F.map_from_entries(F.array_distinct(kept))
+#: The number that a text begins with, after blanks.
+NUMBER = r"\A\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+
+
+def leading_number(text: Column) -> Column:
+    """The number at the beginning of a text, null where there is none."""
+    return F.regexp_extract(text, NUMBER, 1).try_cast("double")
+
+
+def _last_wins(pairs: Column, kind: str) -> Column:
+    """Pairs (k, v) as a map; of repeated keys the last one counts."""
+    none = F.array().cast(f"array<struct<k:string,v:{kind}>>")
+    return F.map_from_entries(F.aggregate(pairs, none, lambda seen, p: F.array_append(F.filter(seen, lambda q: q["k"] != p["k"]), p)))
+
+
+def parse_scores(text: Column, strict: bool = False) -> Column:
+    """'a:0.9,b:0.4' as a map, the last of repeated keys. Pairs without a key or a value are left out; so are those without a number, which ``strict`` makes errors."""
+    pairs = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.struct(F.trim(F.split(p, ":")[0]).alias("k"), F.try_element_at(F.split(p, ":"), F.lit(2)).alias("t")))
+    given = F.filter(pairs, lambda p: (p["k"] != "") & (F.coalesce(p["t"], F.lit("")) != ""))
+
+    def read(p: Column) -> Column:
+        number = leading_number(p["t"])
+        wrong = F.raise_error(F.concat(F.lit("score of "), p["k"], F.lit(" is not a number: "), p["t"])).cast("double")
+        return F.struct(p["k"].alias("k"), (F.coalesce(number, wrong) if strict else number).alias("v"))
+
+    return _last_wins(F.filter(F.transform(given, read), lambda p: p["v"].isNotNull()), "double")
 
 
 def parse_pair_scores(text: Column) -> Column:
     """'a:0.9/0.6' pairs as a map of structs a, b."""
-    half = lambda p, i: F.try_element_at(F.split(F.try_element_at(F.split(p, ":"), F.lit(2)), "/"), F.lit(i)).try_cast("double")
+    half = lambda p, i: leading_number(F.try_element_at(F.split(F.try_element_at(F.split(p, ":"), F.lit(2)), "/"), F.lit(i)))
     pairs = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.struct(F.trim(F.split(p, ":")[0]).alias("k"), F.struct(half(p, 1).alias("a"), half(p, 2).alias("b")).alias("v")))
-    return F.map_from_entries(F.filter(pairs, lambda p: (p["k"] != "") & p["v"]["a"].isNotNull() & p["v"]["b"].isNotNull()))
+    return _last_wins(F.filter(pairs, lambda p: (p["k"] != "") & p["v"]["a"].isNotNull() & p["v"]["b"].isNotNull()), "struct<a:double,b:double>")
 
 
 def curate(records: DataFrame, judgments: DataFrame) -> DataFrame:
@@ -28,6 +50,19 @@ def curate(records: DataFrame, judgments: DataFrame) -> DataFrame:
     return out.withColumn("judgment", F.when(F.col("_id").isNotNull(), F.col("_new")).otherwise(F.col("judgment"))).select(*records.columns)
 
 
+def base(records: DataFrame, created_at: str) -> DataFrame:
+    """Base records from (id, asset_path, width, height, bytes, provenance): format png, 1024 pixels and 0 bytes by default, nothing judged yet."""
+    size = lambda name, default: F.coalesce(F.nullif(F.col(name), F.lit(0)), F.lit(default))
+    image = F.struct(F.lit("png").alias("format"), size("width", 1024).alias("width"), size("height", 1024).alias("height"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
+    none = [F.lit(None).cast("string").alias(n) for n in ("judgment", "canon", "iteration")]
+    return records.select("id", F.lit(RECORD_SCHEMA_VERSION).alias("schema_version"), F.lit(created_at).alias("created_at"), "asset_path", image.alias("image"), "provenance", *none)
+
+
+def with_identity(base_records: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Base records with the identity and lineage of ``blocks`` (id, identity, lineage)."""
+    return base_records.join(blocks.select("id", "identity", "lineage"), "id", "left")
+
+
 def uncurated(records: DataFrame) -> DataFrame:
     return records.where(F.col("judgment").isNull())
 

@@ -44,6 +44,17 @@ def distributions(evaluated: DataFrame) -> DataFrame:
     return each.unionByName(zeros).groupBy("kind", "name").agg(F.sum("one").cast("bigint").alias("n"))
 
 
+def verdict_counts(elements: DataFrame, verdict: Column, record: Column) -> DataFrame:
+    """(verdict, n, records): elements of each verdict, and the records they are of."""
+    return elements.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.count_distinct(record).alias("records"))
+
+
+def marked_difference(marked: DataFrame, key: str = "record_id") -> DataFrame:
+    """The difference of two selections of one table, whose rows are marked ``before`` and ``after``; ids in neither fall out."""
+    sides = marked.groupBy(key).agg(F.max("before").alias("before"), F.max("after").alias("after")).where(F.col("before") | F.col("after"))
+    return sides.select(key, F.when(~F.col("after"), "removed").when(~F.col("before"), "added").otherwise("shared").alias("change"))
+
+
 def difference(before: DataFrame, after: DataFrame, key: str = "record_id") -> DataFrame:
     """(record_id, change): removed, added or shared, each id once."""
     a = before.select(key).distinct().withColumn("_a", F.lit(True))

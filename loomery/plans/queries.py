@@ -11,6 +11,7 @@ from loomery.functions import captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
 from loomery.operators import binding, boxes, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import testbed as t
+from loomery.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,14 +124,15 @@ def snapshot_distribution(spark, sf_dir):
 @query("select case l_returnflag when 'A' then 'pass' when 'R' then 'fail' else 'partial' end as verdict, count(*)::bigint as n, count(distinct l_orderkey)::bigint as records from lineitem group by 1")
 def verdict_distribution(spark, sf_dir):
     verdict = F.when(F.col("l_returnflag") == "A", "pass").when(F.col("l_returnflag") == "R", "fail").otherwise("partial")
-    return table(spark, sf_dir, "lineitem").groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("records"))
+    return snapshot.verdict_counts(table(spark, sf_dir, "lineitem"), verdict, F.col("l_orderkey"))
 
 
 @query(t.with_records("select coalesce(a.id, b.id) as record_id, case when b.id is null then 'removed' when a.id is null then 'added' else 'shared' end as change from (select id from elig where len(codes) = 0) a full join (select id from elig where status in ('approved', 'borderline')) b on a.id = b.id"))
 def snapshot_diff(spark, sf_dir):
-    bound = bound_records(spark, sf_dir)
-    sides = [eligibility.evaluate(bound, t.PROJECT, p).where("eligible").select(F.col("id").alias("record_id")) for p in (t.STRICT, t.LOOSE)]
-    return snapshot.difference(*sides)
+    # both selections in one pass over the records: no join is needed
+    first = eligibility.evaluate(bound_records(spark, sf_dir), t.PROJECT, t.STRICT)
+    both = eligibility.evaluate(first.select(*(c for c in first.columns if c not in ("eligible", "reasons")), F.col("eligible").alias("was")), t.PROJECT, t.LOOSE)
+    return snapshot.marked_difference(both.select(F.col("id").alias("record_id"), F.col("was").alias("before"), F.col("eligible").alias("after")))
 
 
 # ---- lineage and split ----------------------------------------------------------------------
@@ -257,19 +259,29 @@ def eval_subject_continuity(spark, sf_dir):
     return evalpack.subject_continuity(located(spark, sf_dir)).withColumn("record_ids", joined(F.col("record_ids"), ","))
 
 
-@query(t.with_records("select task, available from (select count_if(status = 'approved' and an > 0)::bigint as lane_coverage, count_if(status = 'approved' and an > 0)::bigint as anchor_gold, count_if(status in ('rejected', 'borderline'))::bigint as forbidden_drift, count(distinct subject)::bigint as subject_continuity from bound) unpivot (available for task in (lane_coverage, anchor_gold, forbidden_drift, subject_continuity))"))
+APPROVED_POOL = "(select count_if(status = 'approved' and an > 0) from bound)::bigint"
+POOLS = (
+    ("lane_coverage", APPROVED_POOL, "(select count(*) from " + BEST.format(by="lane", src="bound") + " where r <= 5)::bigint"),
+    ("anchor_gold", APPROVED_POOL, "(select count(*) from " + BEST.format(by="coalesce(grp, 'unknown')", src="bound") + " where r <= 3)::bigint"),
+    ("forbidden_drift", f"(select count(*) from {DRIFT} where len(violations) > 0 or spoken is not null)::bigint", f"(select least(count(*), 20) from {DRIFT} where len(violations) > 0 or spoken is not null)::bigint"),
+    ("subject_continuity", "(select count(distinct subject) from bound)::bigint", "(select least(count(distinct subject), 10) from bound)::bigint"),
+)
+
+
+@query(t.with_records(" union all ".join(f"select '{task}' as task, {available} as available, {sampled} as sampled" for task, available, sampled in POOLS)))
 def eval_pool_sizes(spark, sf_dir):
-    return evalpack.pool_sizes(located(spark, sf_dir))
+    found = located(spark, sf_dir)
+    return evalpack.pool_sizes(found, lane_coverage=evalpack.lane_coverage(found), anchor_gold=evalpack.anchor_gold(found), forbidden_drift=evalpack.forbidden_drift(found), subject_continuity=evalpack.subject_continuity(found))
 
 
 def outputs(spark, sf_dir):
     """Generated outputs: two rows for some ids, of which the last wins."""
     rec = t.records(spark, sf_dir).select("id", F.regexp_extract("id", "doc_([0-9]+)_", 1).cast("bigint").alias("n"))
     both = rec.select(F.col("id").alias("record_id"), F.col("n").alias("pos"), (F.col("n") % 10 != 3).alias("accept")).unionByName(rec.where("n % 3 = 0").select(F.col("id").alias("record_id"), (F.col("n") + 10000000).alias("pos"), (F.col("n") % 4 != 0).alias("accept")))
-    return evalrun.last_outputs(both.where("pos % 19 <> 0"), F.col("pos"))
+    return evalrun.last_outputs(both, F.col("pos"))
 
 
-OUTPUTS_SQL = ", outs as (select record_id, max_by(accept, pos) as accept from (select id as record_id, n as pos, n % 10 <> 3 as accept from rec union all select id, n + 10000000, n % 4 <> 0 from rec where n % 3 = 0) where pos % 19 <> 0 group by 1)"
+OUTPUTS_SQL = ", outs as (select record_id, max_by(accept, pos) as accept from (select id as record_id, n as pos, n % 10 <> 3 as accept from rec union all select id, n + 10000000, n % 4 <> 0 from rec where n % 3 = 0) group by 1)"
 CARD = "select '{task}' as task, count(*)::bigint as total, count_if(ok)::bigint as good, round(count_if(ok) / count(*)::double, 3) as score, count_if(ok) / count(*)::double >= {least} as passed, coalesce(array_to_string(list_slice(list_sort(list({key}) filter (not ok)), 1, 5), ','), '') as samples from ({hits})"
 HITS = "select x.record_id, {sign} coalesce(o.accept, false) as ok from ({tasks}) x left join outs o using (record_id)"
 CARDS_SQL = " union all ".join(
@@ -375,7 +387,7 @@ def parted(spark, sf_dir):
     return located(spark, sf_dir).withColumn("part", F.when(n < 8, "train").when(n == 8, "val").otherwise("test"))
 
 
-@query(t.with_records("select id as record_id, lane, coalesce(grp, 'unknown') as \"group\", prompt, coalesce(round(pn / an::double, 3), 0) as pass_ratio, asset_path, 'Use as '||lane||' reference for '||coalesce(grp, 'general')||' style' as usage_note from (select *, row_number() over (partition by lane order by o, id||'.json') as r from pool where status = 'approved' and lane in ('hull', 'costume')) where r <= 3", PART_SQL))
+@query(t.with_records("select id as record_id, lane, coalesce(grp, 'unknown') as \"group\", substring(prompt, 1, 500) as prompt, coalesce(round(pn / an::double, 3), 0) as pass_ratio, asset_path, 'Use as '||lane||' reference for '||coalesce(grp, 'general')||' style' as usage_note from (select *, row_number() over (partition by lane order by o, id||'.json') as r from pool where status = 'approved' and lane in ('hull', 'costume')) where r <= 3", PART_SQL))
 def implementation_prompts(spark, sf_dir):
     return export.prompt_examples(parted(spark, sf_dir), t.TRAINING)
 
@@ -435,7 +447,7 @@ def freeze_events_since(spark, sf_dir):
 
 @query(f"with {LOG_SQL} select * from lg where entity_id = 'entity_7'")
 def freeze_events_of_entity(spark, sf_dir):
-    return event_log(spark, sf_dir).where("entity_id = 'entity_7'")
+    return canon.events_of(event_log(spark, sf_dir), "entity_7")
 
 
 PART_HASH = "sha256('{\"schema_version\":\"v1\",\"watched\":{\"brand\":\"'||p_brand||'\",\"size\":'||{size}||'}}')"
@@ -584,17 +596,18 @@ def next_sequence(spark, sf_dir):
   select n_name, case when d <= case when length(needle) <= 3 then 1 else 2 end then name end as nearest from (select *, levenshtein(lower(needle), lower(name)) as d, row_number() over (partition by n_name order by levenshtein(lower(needle), lower(name)), i) as r from (select n_name, needle, unnest(list_transform(names, lambda x: substring(x, 1, 4))) as name, unnest(range(1, len(names) + 1)) as i from q)) where r = 1""")
 def closest_match(spark, sf_dir):
     # five regions, a list of fixed size
-    names = [r[0] for r in table(spark, sf_dir, "region").orderBy("r_regionkey").select(F.substring("r_name", 1, 4)).collect()]
-    return table(spark, sf_dir, "nation").select("n_name", closest(F.substring("n_name", 1, 4), F.array(*map(F.lit, names))).alias("nearest"))
+    ordered = F.sort_array(F.collect_list(F.struct("r_regionkey", F.substring("r_name", 1, 4).alias("name"))))
+    names = table(spark, sf_dir, "region").agg(F.transform(ordered, lambda r: r["name"]).alias("names")).withColumn("one", F.lit(1))
+    return table(spark, sf_dir, "nation").withColumn("one", F.lit(1)).join(names, "one").select("n_name", closest(F.substring("n_name", 1, 4), F.col("names")).alias("nearest"))
 
 
-@query("""select "check", problems, problems = 0 as ok from (select 'line_order' as "check", (select count(*) from (select distinct l_orderkey from lineitem where l_orderkey % 100 <> 0) where l_orderkey not in (select o_orderkey from orders where o_orderkey % 50 <> 1))::bigint as problems
+@query("""select "check", problems, problems = 0 as ok from (select 'line_order' as "check", (select count(distinct l_orderkey) from lineitem where l_linenumber = 7)::bigint as problems
   union all select 'line_part', (select count(*) from (select distinct l_partkey from lineitem) where l_partkey not in (select p_partkey from part))::bigint
   union all select 'line_keys', (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1))::bigint)""")
 def doctor_referential(spark, sf_dir):
     lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
     return doctor.checks(
-        spark, line_order=doctor.dangling(lines.where("l_orderkey % 100 <> 0"), orders.where("o_orderkey % 50 <> 1"), "l_orderkey", "o_orderkey"), line_part=doctor.dangling(lines, parts, "l_partkey", "p_partkey"), line_keys=doctor.duplicates(lines, "l_orderkey", "l_linenumber")
+        spark, line_order=doctor.dangling(lines.withColumn("l_orderkey", F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))), orders, "l_orderkey", "o_orderkey"), line_part=doctor.dangling(lines, parts, "l_partkey", "p_partkey"), line_keys=doctor.duplicates(lines, "l_orderkey", "l_linenumber")
     )
 
 
@@ -624,13 +637,13 @@ def box_placement(spark, sf_dir):
 
 @query("select user_id, max(ts) as created_at, arg_max(event_id, epoch_us(ts)::hugeint * 100000000 + event_id)::bigint as event_id from events group by 1")
 def latest_manifest(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return ev.groupBy("user_id").agg(F.max("ts").alias("created_at"), F.max(F.struct("ts", "event_id"))["event_id"].alias("event_id"))
+    newest = readers.latest(table(spark, sf_dir, "events"), "user_id", "ts", "event_id")
+    return newest.select("user_id", F.col("ts").alias("created_at"), "event_id")
 
 
-@query("select event_id, event_type from events where event_type <> 'click' order by ts desc, event_id limit 25")
+@query("select event_id, event_type from events where event_type <> 'click' ")
 def list_artifacts(spark, sf_dir):
-    return table(spark, sf_dir, "events").where("event_type <> 'click'").orderBy(F.col("ts").desc(), "event_id").limit(25).select("event_id", "event_type")
+    return readers.newest_first(table(spark, sf_dir, "events").where("event_type <> 'click'"), "ts", "event_id").select("event_id", "event_type")
 
 
 @query("""select c_custkey as id, case when c_custkey % 5 = 0 then 'skip-identity' when c_custkey % 3 = 0 then 'migrated' when c_custkey % 2 = 0 and c_custkey % 7 <> 0 then 'path-fix-only' else 'skip-standard' end as action,
@@ -650,24 +663,24 @@ def bulk_curation(spark, sf_dir):
     return t.records(spark, sf_dir).select("id", upkeep.bulk_status(F.col("id"), ["doc_3", "doc_14", "doc_15"], "doc_9").alias("status"), upkeep.profile_by_prefix(F.col("id"), {"doc_1": "hull", "doc_12": "never", "doc_2": "tool"}).alias("profile"))
 
 
-@query("""select o_orderkey as pair_id, a_id, b_id, case when a_id <= 900 then 'p/'||a_id end as a_path, case when b_id <= 900 then 'p/'||b_id end as b_path, a_id <= 900 and b_id <= 900 and a_id <> b_id and o_orderkey % 4 <> 3 as valid
-  from (select o_orderkey, o_custkey as a_id, (o_orderkey % 1000 + 1)::bigint as b_id from orders)""")
+@query("""select o_orderkey as pair_id, a_id, b_id, case when a.c_custkey is not null then 'p/'||a_id end as a_path, case when b.c_custkey is not null then 'p/'||b_id end as b_path, a.c_custkey is not null and b.c_custkey is not null and a_id <> b_id and o_orderkey % 4 <> 3 as valid
+  from (select o_orderkey, o_custkey as a_id, case when o_orderkey % 5 = 0 then -o_custkey else o_custkey + o_orderkey % 3 end::bigint as b_id from orders) left join customer a on a.c_custkey = a_id left join customer b on b.c_custkey = b_id""")
 def comparisons(spark, sf_dir):
     n = F.col("o_orderkey")
-    pairs = table(spark, sf_dir, "orders").select(n.alias("pair_id"), F.col("o_custkey").alias("a_id"), (n % 1000 + 1).alias("b_id"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("tie"), F.lit("nobody")), (n % 4 + 1).cast("int")).alias("chosen"))
-    have = table(spark, sf_dir, "customer").where("c_custkey <= 900").select(F.col("c_custkey").alias("id"), F.concat(F.lit("p/"), F.col("c_custkey").cast("string")).alias("asset_path"))
+    pairs = table(spark, sf_dir, "orders").select(n.alias("pair_id"), F.col("o_custkey").alias("a_id"), F.when(n % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey") + n % 3).alias("b_id"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("tie"), F.lit("nobody")), (n % 4 + 1).cast("int")).alias("chosen"))
+    have = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("p/"), F.col("c_custkey").cast("string")).alias("asset_path"))
     return upkeep.compare(pairs, have).select("pair_id", "a_id", "b_id", "a_path", "b_path", "valid")
 
 
-@query("select p_partkey as id, (p_size % 10) / 10.0::double as a, case when p_partkey % 2 = 0 then 0.5::double end as b from part")
+@query("select p_partkey as id, (p_size % 10) / 10.0::double as a, case when p_partkey % 2 = 0 then 0.25::double end as b from part")
 def parse_scores(spark, sf_dir):
-    text = F.concat(F.lit("clarity: 0."), (F.col("p_size") % 10).cast("string"), F.when(F.col("p_partkey") % 2 == 0, ",detail:0.5,bad:x,:1").otherwise(",detail:none"))
+    text = F.concat(F.lit("clarity: 0."), (F.col("p_size") % 10).cast("string"), F.when(F.col("p_partkey") % 2 == 0, ",detail:0.5,bad:x,:1,detail: .25e0x").otherwise(",detail:none"))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), upkeep.parse_scores(text).alias("m")).select("id", F.try_element_at("m", F.lit("clarity")).alias("a"), F.try_element_at("m", F.lit("detail")).alias("b"))
 
 
-@query("select page_id as id, replace(replace(replace(replace(substring(html, 1, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped, not (url like '/%' or url like '%..%') and url <> '' and not regexp_matches(url, '^[A-Za-z]:') as safe from pages")
+@query("select page_id as id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped, not (url like '/%' or url like '%..%') and url <> '' and not regexp_matches(url, '^[A-Za-z]:') as safe from pages")
 def safe_names(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), html_escaped(F.substring("html", 1, 300)).alias("escaped"), safe_path(F.col("url")).alias("safe"))
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), html_escaped(F.col("html")).alias("escaped"), safe_path(F.col("url")).alias("safe"))
 
 
 def queries() -> dict[str, Query]:

@@ -57,7 +57,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = lambda kind: F.lit(None).cast(kind)
     return joined.select(
         record_id(d).alias("id"), F.when(d % 17 != 3, F.concat(F.lit("images/"), record_id(d), F.lit(".png"))).alias("asset_path"),
-        F.struct(F.concat(F.lit("a scene, lang "), F.col("lang"), F.lit(", "), F.substring("text", 1, 230)).alias("prompt"), (d * 7 % 1000).alias("seed")).alias("provenance"),
+        F.struct(F.concat(F.lit("a scene, lang "), F.col("lang"), F.lit(", "), F.coalesce("text", F.lit(""))).alias("prompt"), (d * 7 % 1000).alias("seed")).alias("provenance"),
         F.when(F.col("toxic").isNotNull(), F.struct(status.alias("status"), said.alias("explanation"), scores.alias("criteria_scores"), modes.alias("failure_modes"))).alias("judgment"),
         F.struct(F.when(d % 4 == 0, F.concat(F.lit("subject_"), (d % 97).cast("string"))).alias("subject_name"), F.when(d % 8 == 0, F.lit("person")).alias("subject_type"), F.col("lang").alias("faction"), none("string").alias("kind")).alias("identity"),
         F.struct(parent.alias("derived_from_record_id")).alias("lineage"),
@@ -77,7 +77,7 @@ RECORDS_SQL = """
 rec as (
   select d.doc_id as n, 'doc_'||d.doc_id||'_v'||(d.doc_id % 3 + 1) as id,
     case when d.doc_id % 17 <> 3 then 'images/doc_'||d.doc_id||'_v'||(d.doc_id % 3 + 1)||'.png' end as asset_path,
-    'a scene, lang '||d.lang||', '||substring(d.text, 1, 230) as prompt,
+    'a scene, lang '||d.lang||', '||coalesce(d.text, '') as prompt,
     case when l.toxic is null then null when l.toxic = 1 then 'rejected' when l.quality = 1 then 'approved' else 'borderline' end as status,
     case when d.doc_id % 6 = 0 then 'seen in '||d.source when d.doc_id % 6 = 1 then '' end as said,
     (d.n_chars % 100) / 100.0::double as clarity, (d.doc_id * 37 % 100) / 100.0::double as balance,

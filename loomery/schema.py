@@ -19,6 +19,7 @@ TRAINING_ROW = """
 schema_version string, generated_from string, entity_id string, schema_kind string, entity_type string, lane string, partition string,
 asset_path string, caption string, trigger string, subject_filter_key string, forbidden_tokens array<string>, entry_hash string, pass_ratio double, group string
 """
+RECORD_SCHEMA_VERSION = "2.0.0"
 ROW_SCHEMA_VERSION = "canon-build-dataset-1.0"
 
 EVAL_OUTPUT = "record_id string, generated_path string, accept boolean, notes string"

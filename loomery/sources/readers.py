@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loomery import schema
+from loomery.config import InputError
 from loomery.functions.scalars import either
 
 _CORRUPT = "_corrupt_record"
+#: Schema version that manifests state.
+MANIFEST_VERSION = "2.2.0"
 
 
 def records(spark: SparkSession, path: str, on_error: str = "collect") -> DataFrame:
@@ -45,7 +49,31 @@ def json_lines(spark: SparkSession, path: str, ddl: str, strict: bool = False) -
 def manifests(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     """Every */manifest.json below root, malformed ones skipped, newest first."""
     read = spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").schema(ddl).json(f"{root.rstrip('/')}/*/manifest.json")
-    return read.orderBy(F.col("created_at").desc()) if "created_at" in read.columns else read
+    return newest_first(read, "created_at") if "created_at" in read.columns else read
+
+
+def manifest(spark: SparkSession, path: str, expected: str = MANIFEST_VERSION) -> dict:
+    """One manifest file. Another schema version than expected, or none, only gives a warning."""
+    rows = spark.read.text(path, wholetext=True).head(1)
+    try:
+        found = json.loads(rows[0][0]) if rows else None
+    except ValueError as e:
+        raise InputError("MANIFEST_INVALID", f"{path} is not valid JSON ({e})") from e
+    if not isinstance(found, dict):
+        raise InputError("MANIFEST_INVALID", f"{path} is not a JSON object")
+    if found.get("schema_version") != expected:
+        logging.getLogger(__name__).warning("%s has schema_version %s, expected %s", path, found.get("schema_version"), expected)
+    return found
+
+
+def newest_first(rows: DataFrame, time: str, *ties: str) -> DataFrame:
+    return rows.orderBy(F.col(time).desc(), *ties)
+
+
+def latest(rows: DataFrame, by: str, time: str, tie: str) -> DataFrame:
+    """(by, time, tie) of the newest row of each key, the greatest ``tie`` where times are equal."""
+    newest = F.max(F.struct(time, tie)).alias("newest")
+    return rows.groupBy(by).agg(newest).select(by, f"newest.{time}", f"newest.{tie}")
 
 
 def images(spark: SparkSession, path: str, content: bool = False) -> DataFrame:

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to spark.checkpoint.dir; a temporary folder is set only where none is configured (tests)."""
+    """``df`` written to spark.checkpoint.dir. A temporary folder is set only on a single machine where none is configured; a cluster must name one."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomery-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomery-"))
     return df.checkpoint()

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomery.config import InputError, TrainingProfile
+from loomery.functions.scalars import truthy
 from loomery.operators import rows as row_ops
 from loomery.operators.export import checksum_lines
 
@@ -39,15 +43,25 @@ def dataset(path: str, training_rows: DataFrame) -> None:
 
 
 def swapped(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Write to a fresh folder beside ``path`` and rename it into place; a failed write leaves the old one."""
+    """Write to a fresh folder beside ``path`` and rename it into place.
+
+    The old folder is renamed aside first and deleted last: a failed write or rename leaves it, in place or beside.
+    """
     jvm = spark.sparkContext._jvm
-    to = jvm.org.apache.hadoop.fs.Path(path)
-    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    nonce = uuid.uuid4().hex[:8]
+    staged, aside = (f"{path.rstrip('/')}.{what}-{nonce}" for what in ("staging", "old"))
     write(staged)
-    if fs.exists(to):
-        fs.delete(to, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), to)
+    there = fs.exists(at(path))
+    if there and not fs.rename(at(path), at(aside)):
+        raise OSError(f"could not move {path} aside; the new data are in {staged}")
+    if not fs.rename(at(staged), at(path)):
+        if there:
+            fs.rename(at(aside), at(path))
+        raise OSError(f"could not move {staged} to {path}")
+    if there:
+        fs.delete(at(aside), True)
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
@@ -57,22 +71,56 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return checksum_lines(files, name, F.col("content")).orderBy("name")
 
 
-def _captioned(rows: DataFrame) -> DataFrame:
-    return rows.select("partition", F.col("asset_path").alias("file_name"), F.col("caption").alias("text"))
+def write_files(files: DataFrame, root: str) -> int:
+    """Write (name, content binary) as files below ``root`` and give their number.
+
+    Tasks write, in any filesystem that pyarrow opens; a task that runs again writes the same bytes to the same names.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{os.path.abspath(root)}")
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                place = f"{base.rstrip('/')}/{name}"
+                target.create_dir(place.rpartition("/")[0], recursive=True)
+                with target.open_output_stream(place) as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return files.select("name", "content").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def placed_rows(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """Training rows whose asset is in ``listing`` (path), with the file they get: dataset/<partition>/<entity_id><extension>."""
+    there = listing.select(F.col("path").alias("asset_path")).distinct()
+    extension = F.regexp_extract("asset_path", r"(\.[^./\\]+)\z", 1)
+    stem = F.concat(F.lit("dataset/"), F.coalesce("partition", F.lit("other")), F.lit("/"), F.col("entity_id"))
+    return rows.where(truthy(F.col("asset_path")).isNotNull()).join(there, "asset_path", "left_semi").withColumns({"file": F.concat(stem, extension), "caption_file": F.concat(stem, F.lit(".txt"))})
+
+
+def sidecars(placed: DataFrame) -> DataFrame:
+    """(name, content): a text file with each row's caption."""
+    return placed.select(F.col("caption_file").alias("name"), F.concat(F.col("caption"), F.lit("\n")).cast("binary").alias("content"))
 
 
-def _with_subject(rows: DataFrame) -> DataFrame:
-    return rows.select("partition", F.col("asset_path").alias("file_name"), F.col("caption").alias("text"), F.col("subject_filter_key").alias("subject"))
+def _audit(*more: str) -> Callable[[DataFrame], DataFrame]:
+    """Audit rows of an adapter; ``more`` are columns that only some adapters have."""
+    columns = {"file": "file", "caption_file": "caption_file", "record_id": "entity_id", "caption": "caption", "lane": "lane", "group": "group", "subject": "subject_filter_key", "pass_ratio": "pass_ratio"}
+    kept = [n for n in columns if n not in ("caption_file", "subject") or n in more]
+    return lambda placed: placed.select(F.coalesce("partition", F.lit("other")).alias("partition"), *(F.col(columns[n]).alias(n) for n in kept))
 
 
-#: Adapters by name: what a package's metadata holds.
-ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {"generic-image-caption": _captioned, "diffusers-lora": _with_subject, "ai-toolkit": _with_subject}
+#: Adapters by name: the audit rows of a package, of rows that ``placed_rows`` gives.
+ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {"generic-image-caption": _audit(), "diffusers-lora": _audit("caption_file", "subject"), "ai-toolkit": _audit("caption_file", "subject")}
+#: Adapters whose captions are files of their own.
+WITH_SIDECARS = ("diffusers-lora", "ai-toolkit")
 
 
-def adapted(rows: DataFrame, profile: TrainingProfile) -> DataFrame:
-    """Metadata rows by the profile's adapter. One of them takes only one family of base models."""
+def adapted(rows: DataFrame, profile: TrainingProfile, listing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(placed rows, audit rows) by the profile's adapter; one of them takes only one family of models."""
     if profile.adapter not in ADAPTERS:
         raise InputError("ADAPTER_UNKNOWN", f"no adapter {profile.adapter!r}", f"known: {', '.join(ADAPTERS)}")
-    if profile.adapter == "ai-toolkit" and "flux" not in (profile.base_model or "").lower():
-        raise InputError("ADAPTER_MODEL", "ai-toolkit takes flux models only")
-    return ADAPTERS[profile.adapter](row_ops.for_profile(rows, profile))
+    if profile.adapter == "ai-toolkit" and profile.target_family != "flux":
+        raise InputError("ADAPTER_TARGET_FAMILY_MISMATCH", f"ai-toolkit takes target_family flux, not {profile.target_family!r}", "take diffusers-lora for other families")
+    placed = placed_rows(row_ops.for_profile(rows, profile), listing)
+    return placed, ADAPTERS[profile.adapter](placed)

@@ -1,15 +1,17 @@
 import dataclasses
+import datetime
 import json
 import math
 
 import pytest
+import yaml
 from pyspark.sql import functions as F
 
 from loomery import config, schema
 from loomery.functions import captions, detect, prng, scalars
 from loomery.operators import binding, boxes, canon, doctor, eligibility, evalpack, evalrun, lineage, production, records, rows, snapshot, split
 from loomery.plans import testbed as t
-from loomery.sources import readers, writers
+from loomery.sources import packages, readers, writers
 from loomery.streaming import logs
 
 
@@ -250,9 +252,126 @@ def test_packages(spark, tmp_path):
     assert spark.read.text(target).count() == 6
     lines = writers.checksums(spark, target).collect()
     assert lines and all(r["line"].startswith(f"SHA256 ({r['name']}) = ") for r in lines)
-    assert writers.adapted(made, t.TRAINING).columns == ["partition", "file_name", "text"]
+    listing = located.select(F.col("asset_path").alias("path")).where("path <> 'img/doc_5_v1.png'")
+    placed, audit = writers.adapted(made, t.TRAINING, listing)
+    assert audit.columns == ["partition", "file", "record_id", "caption", "lane", "group", "pass_ratio"] and audit.count() == 5
+    files = {r["name"]: bytes(r["content"]).decode() for r in writers.sidecars(placed).collect()}
+    captions_of = {r["entity_id"]: r["caption"] for r in made.collect()}
+    assert files["dataset/test/doc_0_v1.txt"] == captions_of["doc_0_v1"] + "\n"
+    for family in (None, "sdxl"):
+        with pytest.raises(config.InputError, match="target_family"):
+            writers.adapted(made, dataclasses.replace(t.TRAINING, adapter="ai-toolkit", target_family=family), listing)
+
+
+def test_swap_leaves_the_old_folder_where_writing_fails(spark, tmp_path):
+    target = tmp_path / "data"
+    target.mkdir()
+    (target / "old").write_text("old")
+
+    def fail(path):
+        raise RuntimeError("no space")
+
+    with pytest.raises(RuntimeError):
+        writers.swapped(spark, str(target), fail)
+    assert (target / "old").read_text() == "old"
+    writers.swapped(spark, str(target), lambda path: spark.range(1).write.json(path))
+    assert not (target / "old").exists() and [p.name for p in tmp_path.iterdir()] == ["data"]
+
+
+def test_export_package(spark, tmp_path):
+    located = records_of(spark, [record(f"doc_{i}_v1") for i in range(4)]).withColumns({"lane": F.lit("hull"), "grp": F.lit(None).cast("string")})
+    included = located.select(F.col("id").alias("record_id"))
+    assigned = included.select("record_id", F.lit("fam").alias("family"), F.lit("hull").alias("lane"), F.when(F.col("record_id") == "doc_0_v1", "val").otherwise("train").alias("part"))
+    images = located.where("id <> 'doc_3_v1'").select(F.col("asset_path").alias("path"), F.encode("id", "utf-8").alias("content"))
+    ids, profile = {"export_id": "export-1", "snapshot_id": "s", "split_id": "p"}, config.ExportProfile(image_strategy="copy")
+    build = lambda path, **k: packages.export_package(spark, str(path), included, located, assigned, profile, ids, "f" * 64, k.get("now", "f" * 64), images, "# card\n")
+    made = build(tmp_path / "one")
+    assert made["counts"] == {"records": 4, "images": 3, "images_expected": 4, "images_actual": 3, "images_failed": 1}
+    assert made["images_failed"] == [{"record_id": "doc_3_v1", "reason": "source_missing"}] and made["warnings"]
+    assert (tmp_path / "one/images/doc_0_v1.png").read_bytes() == b"doc_0_v1" and readers.manifest(spark, str(tmp_path / "one/manifest.json"))["export_id"] == "export-1"
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "one/checksums")).collect()]
+    assert any(line.startswith("SHA256 (images/doc_1_v1.png) = ") for line in lines) and any("(manifest.json)" in line for line in lines)
+    assert spark.read.json(str(tmp_path / "one/splits")).groupBy("part").count().orderBy("part").collect()[0][1] == 3
+    with pytest.raises(config.InputError, match="there already"):
+        build(tmp_path / "one")
+    with pytest.raises(config.InputError) as wrong:
+        build(tmp_path / "two", now="0" * 64)
+    assert wrong.value.code == "FINGERPRINT_DRIFT" and not (tmp_path / "two").exists()
+    for bad in ("/etc/x.png", "../x.png"):
+        assert packages.unsafe_assets(located.withColumn("asset_path", F.lit(bad))).count() == 4
+
+
+def test_training_package(spark, tmp_path):
+    located = records_of(spark, [record(f"doc_{i}_v1") for i in range(4)]).withColumns({"lane": F.lit("hull"), "grp": F.lit(None).cast("string")})
+    profile = dataclasses.replace(t.TRAINING, adapter="ai-toolkit", target_family="flux", training_hyperparameters={"rank": 16, "steps": 2000}, eligible_lanes=())
+    made = rows.from_records(located, profile, F.when(F.col("id") == "doc_0_v1", "val").otherwise("train"))
+    images = located.select(F.col("asset_path").alias("path"), F.encode("id", "utf-8").alias("content"))
+    out = packages.training_package(spark, str(tmp_path / "pkg"), made, profile, images, {"training_package_id": "p1", "source_export_id": "e1"}, "f")
+    assert out["counts"] == {"total_records": 4, "train": 3, "val": 1, "test": 0, "images": 4}
+    job = yaml.safe_load((tmp_path / "pkg/ai-toolkit-config.yaml").read_text())["config"]
+    assert job["name"] == f"{profile.profile_id}-e1" and job["process"][0]["network"] == {"type": "lora", "linear": 16, "linear_alpha": 16} and job["process"][0]["train"]["steps"] == 2000
+    assert (tmp_path / "pkg/dataset/val/doc_0_v1.txt").read_text().endswith("\n") and (tmp_path / "pkg/dataset/train/doc_1_v1.png").exists()
+    assert {r["record_id"] for r in spark.read.json(str(tmp_path / "pkg/metadata")).where("partition = 'train'").collect()} == {"doc_1_v1", "doc_2_v1", "doc_3_v1"}
+
+
+def test_manifest_versions_only_warn(spark, tmp_path, caplog):
+    (tmp_path / "m.json").write_text('{"schema_version": "1.0.0", "x": 1}')
+    assert readers.manifest(spark, str(tmp_path / "m.json"))["x"] == 1 and "expected" in caplog.text
+    (tmp_path / "bad.json").write_text("[1]")
     with pytest.raises(config.InputError):
-        writers.adapted(made, dataclasses.replace(t.TRAINING, adapter="ai-toolkit", base_model="sdxl"))
+        readers.manifest(spark, str(tmp_path / "bad.json"))
+
+
+def test_build_configuration(tmp_path):
+    good = {"project_id": "p", "canon_root": "canon", "schema_dir": "/abs", "entity_dirs": {"hero.schema.json": "heroes"}, "schema_to_lane": {"hero.schema.json": {"source": "field", "field": "visual.lane"}, "ship": {"source": "constant", "value": "hull"}}}
+    (tmp_path / "c.json").write_text(json.dumps(good))
+    found = config.load_build_config(tmp_path / "c.json", tmp_path)
+    assert found.canon_root == str(tmp_path / "canon") and found.schema_dir == "/abs" and found.lane_rules() == {"hero": {"field": "visual.lane"}, "ship": {"lane": "hull"}}
+    (tmp_path / "c.json").write_text(json.dumps(good | {"project_id": "", "entity_dirs": [], "schema_to_lane": {"a": {"source": "field"}, "b": {"source": "x"}, "c": 1}}))
+    with pytest.raises(config.InputError) as wrong:
+        config.load_build_config(tmp_path / "c.json", tmp_path)
+    assert all(word in str(wrong.value) for word in ("project_id", "entity_dirs", "of a ", "of b ", "of c "))
+    with pytest.raises(config.InputError):
+        config.load_build_config(tmp_path / "none.json", tmp_path)
+    assert config.time_id("export", datetime.datetime(2026, 1, 31, 23, 59, 58, tzinfo=datetime.timezone.utc), "ab12") == "export-20260131-235958-ab12"
+
+
+def test_freezes(spark):
+    rows_ = [("a", "hero", "auto", '{"visual":{"reference_plate_uri":"x\\\\a.png"}}'), ("b", "ship", "soft-advisory", '{"reference_plate_uri":"y/b.png"}'), ("c", "ship", "frozen", "{}")]
+    entries = spark.createDataFrame(rows_, "id string, schema_kind string, freeze_status string, entry string")
+    events = canon.freeze_events(entries, "frozen", "done", "me", "2026-01-01").collect()
+    assert {(e["entity_id"], e["prior_status"], e["type"]) for e in events} == {("a", "auto", "freeze"), ("b", "soft-advisory", "freeze")}
+    assert {e["type"] for e in canon.freeze_events(entries, "auto", "why", "me", "t").collect()} == {"unfreeze"}
+    with pytest.raises(config.InputError):
+        canon.freeze_events(entries, "frozen", "", "me", "t")
+    passed = canon.bypass_events(canon.gate(entries, True, "why"), "why", "me", "2026-01-01", entries).collect()
+    assert [(e["entity_id"], e["type"], e["schema_kind"], e["reason"], e["new_status"]) for e in passed] == [("b", "bypass", "ship", "why", "soft-advisory")]
+    assets = spark.createDataFrame([("x/a.png",), ("y\\b.png",), ("z",), (None,)], "asset_path string")
+    assert {r["asset_path"]: r["id"] for r in canon.of_assets(assets, entries).collect()} == {"x/a.png": "a", "y\\b.png": "b", "z": None, None: None}
+    assert {r["subject"]: r["freeze_status"] for r in canon.of_subjects(spark.createDataFrame([("c",), ("q",)], "subject string"), entries).collect()} == {"c": "frozen", "q": None}
+
+
+@pytest.mark.parametrize(
+    ("value", "text"),
+    [(1e-7, "1e-7"), (1e-5, "0.00001"), (1.5e-6, "0.0000015"), (123456789012345678901, "123456789012345680000"), (1e21, "1e+21"), (1.25e22, "1.25e+22"), (-0.0, "0"), (-2.5, "-2.5"), (100.0, "100"), (0.1, "0.1"), (5e-324, "5e-324"), (math.inf, "null")],
+)
+def test_numbers_as_text(value, text):
+    assert canon.number_text(value) == text and canon.canonical({"v": value}) == f'{{"v":{text}}}'
+
+
+def test_numbers_of_texts(spark):
+    read = lambda text: one(spark, records.parse_scores(F.lit(text)))
+    assert read("a:0.9,a:0.4") == {"a": 0.4} and read("a:0.9x, b: .5e1 ,c:-3.") == {"a": 0.9, "b": 5.0, "c": -3.0} and read("a:x,:1,b,c:,") == {}
+    with pytest.raises(Exception, match="not a number"):
+        one(spark, records.parse_scores(F.lit("a:x"), strict=True))
+    pairs = one(spark, records.parse_pair_scores(F.lit("a:0.9/0.6,a:0.1/0.2x,b:1")))
+    assert {k: tuple(v) for k, v in pairs.items()} == {"a": (0.1, 0.2)}
+
+
+def test_base_records(spark):
+    given = spark.createDataFrame([("a", "x.png", 0, None, 7, "p")], "id string, asset_path string, width int, height int, bytes int, provenance string")
+    made = records.with_identity(records.base(given, "2026-01-01"), spark.createDataFrame([("a", "i", "l")], "id string, identity string, lineage string")).first()
+    assert (made["schema_version"], made["image"].asDict(), made["judgment"], made["identity"]) == ("2.0.0", {"format": "png", "width": 1024, "height": 1024, "bytes": 7}, None, "i")
 
 
 def test_event_stream(spark, tmp_path):
