@@ -1,14 +1,17 @@
-"""Line dedup: documents probe sharded minimal perfect hashes of repeated lines.
+"""Line dedup: documents probe sharded minimal perfect hashes of their lines.
 
 1. Every line becomes a 128-bit hash of its key. A shuffle with partial sums
-   keeps, for each hash, its smallest and largest doc_id and its count.
-2. Hashes seen in two documents or more are dealt to shards. Each shard builds a
-   minimal perfect hash (levels of bit arrays, rank by prefix popcounts) that
-   indexes three flat arrays: 64-bit fingerprint, count, and first document.
-   A line seen in one document needs no slot: its fingerprint won't match.
+   keeps, for each distinct hash, its smallest doc_id and its count.
+2. The distinct hashes are dealt to shards. Each shard builds a minimal perfect
+   hash (levels of bit arrays, rank by prefix popcounts) that indexes three flat
+   arrays: 64-bit fingerprint, count, and first document.
 3. Documents probe the arrays: (document, hash) probes are routed to shards, a
    shard with a very common line is served by several copies of its arrays, and
-   only hits come back. Lines themselves are never shuffled or joined.
+   only hits come back: lines counted more than once whose first document is
+   another. Lines themselves are never shuffled or joined.
+
+Every probe is a key of the index, so the 128-bit hash alone finds its slot; the
+fingerprint there guards against arrays of another state.
 """
 
 from __future__ import annotations
@@ -93,10 +96,12 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 def _probe(probes: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
     if probes.empty or arrays.empty:
         return pd.DataFrame({"doc_id": pd.Series(dtype="int64"), "key": pd.Series(dtype="object")})
-    index, prints, _, first = pickle.loads(arrays["arrays"].iloc[0])
+    index, prints, counts, first = pickle.loads(arrays["arrays"].iloc[0])
     h1, h2, doc = probes.h1.to_numpy().view(np.uint64), probes.h2.to_numpy().view(np.uint64), probes.doc_id.to_numpy()
     slot = index.slots(h1, h2)
-    hit = (slot >= 0) & (prints[slot] == h2) & (first[slot] != doc)
+    if (slot < 0).any() or (prints[slot] != h2).any():
+        raise ValueError("a line is not in its shard's index")
+    hit = (counts[slot] > 1) & (first[slot] != doc)
     pairs = np.stack([h1[hit], h2[hit]], axis=1).astype("<u8")
     return pd.DataFrame({"doc_id": doc[hit], "key": [row.tobytes() for row in pairs]})
 
@@ -117,11 +122,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     lines = written(given.mapInArrow(hashed, "doc_id bigint, h1 bigint, h2 bigint"), "lines")
-    known = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    known = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     shards = max(64, math.ceil(lines.count() / shard_rows))
     shard = F.pmod("h1", F.lit(shards)).cast("int").alias("shard")
     arrays = written(
-        known.where("first <> last").select("h1", "h2", "first", "n", shard).groupBy("shard").applyInPandas(_build, "shard int, arrays binary"), "arrays"
+        known.select("h1", "h2", "first", "n", shard).groupBy("shard").applyInPandas(_build, "shard int, arrays binary"), "arrays"
     )
     # a shard with very common lines gets as many copies of its arrays as level the probes; one row a shard
     load = {r["shard"]: r["count"] for r in lines.groupBy(shard).count().collect()}
@@ -147,7 +152,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = repeated_lines(docs, id_col, text_col, min_chars, shard_rows)
     own = [] if digest_only else [F.struct("*").alias("row")]
     given = docs.select(*own, F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    joined = given.join(drops, "doc_id", "left").select(*[c for c in ("row", "doc_id", "text", "drops") if c in {*given.columns, "drops"}])
+    columns = [c for c in ("row", "doc_id", "text", "drops") if c in {*given.columns, "drops"}]
+    # rows without an id have nothing to join, and would all meet in one task
+    alone = given.where("doc_id is null").withColumn("drops", F.lit(None).cast("array<binary>"))
+    joined = given.where("doc_id is not null").join(drops, "doc_id", "left").select(*columns).unionByName(alone.select(*columns))
     schema = fields_and([f for f in joined.schema.fields if f.name in ("row", "doc_id")], "n_lines bigint, n_dropped bigint, kept string")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
