@@ -160,7 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, prior: float
     rows = written(rows.repartition(max(12, rows.sparkSession.sparkContext.defaultParallelism)), "training")
     seen = rows.mapInArrow(_contexts, "feature string, context int, toxic int").distinct()
     counts = seen.groupBy("feature").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("c"))
-    totals = seen.agg(F.sum("toxic").cast("double"), F.sum(1 - F.col("toxic")).cast("double")).first()
+    counts = written(counts, "counts")
+    totals = counts.agg(F.sum("a"), F.sum("c")).first()
     n1, n0 = (totals[0] or 0.0), (totals[1] or 0.0)
     base = math.log(max(rate, 1e-6) / max(1 - rate, 1e-6)) if 0 < rate < 1 else (20.0 if rate == 1 else -20.0)
     if not n1 or not n0:
