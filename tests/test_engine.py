@@ -64,8 +64,10 @@ def record(record_id, status="approved", passes=5, of=5, **more):
 @pytest.fixture(scope="module")
 def project_dir(tmp_path_factory):
     root = tmp_path_factory.mktemp("project")
-    lanes = {"default_lane": "concept", "lanes": [{"id": "concept", "id_patterns": ["concept", "subj_[0-9]*[02468]_"]}, {"id": "portrait", "id_patterns": ["portrait", "subj_[0-9]*[13579]_", "subject_[0-9]*[13579]_"]}]}
-    for name, value in (("project", {"meta": {"name": "x"}}), ("constitution", {"version": "1.0.0", "rules": []}), ("lanes", lanes), ("rubric", {"dimensions": [], "thresholds": {"pass": 0.6}}), ("terminology", {"groups": []})):
+    lanes = {"default_lane": "boats", "lanes": [{"id": "coats", "id_patterns": ["^coat_", "_coat$"]}, {"id": "boats", "id_patterns": ["^boat_"]}]}
+    rule = {"id": "SIL-1", "category": "outline", "dims": ["clarity"]}
+    rubric = {"dimensions": ["clarity"], "thresholds": {"approved": {"pass": 0.8, "partial": 0.4}}}
+    for name, value in (("project", {"meta": {"name": "harbour"}}), ("constitution", {"version": "3.1.0", "rules": [rule]}), ("lanes", lanes), ("rubric", rubric), ("terminology", {"groups": []})):
         (root / f"{name}.json").write_text(json.dumps(value))
     return root
 
@@ -76,7 +78,7 @@ def records_of(spark, rows_):
 
 def test_configuration(project_dir, tmp_path):
     project = config.load_project(project_dir)
-    assert project.lanes.default == "concept" and project.rubric.thresholds["approved"] == (0.7, 0.5)
+    assert project.lanes.default == "boats" and project.rubric.thresholds["approved"] == (0.8, 0.4) and project.rubric.thresholds["rejected"] == (0.6, 0.4) and project.rules[0].id == "SIL-1"
     before = config.fingerprint(project_dir)
     assert before == config.fingerprint(project_dir) and len(before) == 64
     (tmp_path / "selection-profiles").mkdir()
@@ -89,13 +91,13 @@ def test_configuration(project_dir, tmp_path):
 
 def test_eligibility_reasons(spark, project_dir):
     project = config.load_project(project_dir)
-    profile = config.SelectionProfile(exclude_lanes=("portrait",), rights_filter="cleared", exclude_tags=("wip",), minimum_pass_ratio=0.5)
+    profile = config.SelectionProfile(exclude_lanes=("coats",), rights_filter="cleared", exclude_tags=("wip",), minimum_pass_ratio=0.5)
     rows_ = [
-        record("subj_2_v1", rights_status="cleared"), record("subj_4_v1", status=None, of=0, rights_status="", training_rights_status="cleared"), record("subj_6_v1", status="rejected", passes=2, rights_status="no"),
-        record("subj_1_v1", rights_status="cleared", dataset_tags=["a", "wip"]), record("subj_8_v1", rights_status=None),
+        record("boat_2_v1", rights_status="cleared"), record("boat_4_v1", status=None, of=0, rights_status="", training_rights_status="cleared"), record("boat_6_v1", status="rejected", passes=2, rights_status="no"),
+        record("coat_1_v1", rights_status="cleared", dataset_tags=["a", "wip"]), record("boat_8_v1", rights_status=None),
     ]
     out = {r["id"]: [x["code"] for x in r["reasons"]] for r in eligibility.evaluate(records_of(spark, rows_), project, profile).collect()}
-    assert out == {"subj_2_v1": [], "subj_4_v1": ["no_judgment", "not_canon_bound"], "subj_6_v1": ["wrong_status", "low_pass_ratio", "rights_filter"], "subj_1_v1": ["excluded_lane", "excluded_tags"], "subj_8_v1": ["rights_filter"]}
+    assert out == {"boat_2_v1": [], "boat_4_v1": ["no_judgment", "not_canon_bound"], "boat_6_v1": ["wrong_status", "low_pass_ratio", "rights_filter"], "coat_1_v1": ["excluded_lane", "excluded_tags"], "boat_8_v1": ["rights_filter"]}
     messages = eligibility.evaluate(records_of(spark, rows_[2:3]), project, profile).first()["reasons"]
     assert [m["message"] for m in messages] == ['status "rejected" not in [approved]', "pass ratio 40% below minimum 50%", 'rights "no" does not match required "cleared"']
     nothing = config.SelectionProfile(require_judgment=False, require_status=(), require_canon_bound=False, minimum_pass_ratio=None)
@@ -134,7 +136,7 @@ def test_allocation(n, ratios, expected):
 
 
 def families_frame(spark, n, versions):
-    rows_ = [(f"subject_{i:03}_v{v}", f"subject_{i:03}", "portrait" if i % 2 else "concept") for i in range(n) for v in range(1, versions + 1)]
+    rows_ = [(f"item_{i:03}_v{v}", f"item_{i:03}", "coats" if i % 2 else "boats") for i in range(n) for v in range(1, versions + 1)]
     return spark.createDataFrame(rows_, "id string, family string, lane string")
 
 
