@@ -12,17 +12,8 @@ def own_family(record_id: Column, subject: Column, parent: Column) -> Column:
     return F.coalesce(truthy(subject), truthy(parent), strip_version(record_id))
 
 
-def roots(edges: DataFrame) -> DataFrame:
-    """(id, root) for every row of ``edges`` (id, parent; ids unique).
-
-    The root is the first ancestor without a parent in the data, or where the
-    chain runs in a circle the first node met twice. Pointer doubling settles
-    open chains, however long, in the logarithm of their length; nodes that never
-    end lead into a circle, and only those walk on step by step.
-    """
-    start = edges.where(truthy(F.col("parent")).isNotNull()).select("id", "parent")
-    known = start.select(F.col("id").alias("_k"))
-    state = start.join(known, F.col("parent") == F.col("_k"), "left").select("id", F.col("parent").alias("at"), F.col("_k").isNull().alias("done"))
+def _doubled(state: DataFrame) -> DataFrame:
+    """(id, at, done): pointers followed until they are done, or for more steps than there are nodes."""
     state, length = checkpointed(state), 1
     size = state.count()
     # after a round every open node has jumped twice as far; beyond the number of nodes it can only be in a circle
@@ -30,18 +21,30 @@ def roots(edges: DataFrame) -> DataFrame:
         jump = state.select(F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("done").alias("_done"))
         moved = state.where("not done").join(jump, F.col("at") == F.col("_id")).select("id", F.col("_at").alias("at"), F.col("_done").alias("done"))
         state, length = checkpointed(state.where("done").unionByName(moved)), 2 * length
-    open_ = state.where("done").select("id", F.col("at").alias("root"))
-    stuck = state.where("not done").select("id").join(start, "id")
-    # in or before a circle: the way there is walked with the nodes seen so far
-    walk = checkpointed(stuck.select("id", F.col("parent").alias("at"), F.array("id").alias("seen")))
-    found: DataFrame | None = None
-    while not walk.isEmpty():
-        ended = walk.where(F.array_contains("seen", F.col("at"))).select("id", F.col("at").alias("root"))
-        found = ended if found is None else found.unionByName(ended)
-        step = walk.where(~F.array_contains("seen", F.col("at"))).withColumn("seen", F.array_append("seen", F.col("at")))
-        step = step.join(start.select(F.col("id").alias("_id"), "parent"), F.col("at") == F.col("_id"))
-        walk = checkpointed(step.select("id", F.col("parent").alias("at"), "seen"))
-    return open_ if found is None else open_.unionByName(found)
+    return state
+
+
+def roots(edges: DataFrame) -> DataFrame:
+    """(id, root) for every row of ``edges`` (id, parent; ids unique).
+
+    The root is the first ancestor without a parent in the data, or where the
+    chain runs in a circle the first node met twice: a circle's node is its own
+    root, and a node before a circle has the one where it enters. Pointer doubling
+    settles chains, however long, in the logarithm of their length. What is open
+    after more steps than there are nodes points into a circle, and at all of its
+    nodes; these end the chains of a second doubling.
+    """
+    start = edges.where(truthy(F.col("parent")).isNotNull()).select("id", "parent")
+    known = start.select(F.col("id").alias("_k"))
+    state = _doubled(start.join(known, F.col("parent") == F.col("_k"), "left").select("id", F.col("parent").alias("at"), F.col("_k").isNull().alias("done")))
+    ended, stuck = state.where("done").select("id", F.col("at").alias("root")), state.where("not done")
+    if stuck.isEmpty():
+        return ended
+    circle = checkpointed(stuck.select(F.col("at").alias("id")).distinct())
+    before = start.join(stuck.select("id"), "id", "left_semi").join(circle, "id", "left_anti")
+    entry = circle.select(F.col("id").alias("_c"))
+    walked = _doubled(before.join(entry, F.col("parent") == F.col("_c"), "left").select("id", F.col("parent").alias("at"), F.col("_c").isNotNull().alias("done")))
+    return ended.unionByName(circle.select("id", F.col("id").alias("root"))).unionByName(walked.select("id", F.col("at").alias("root")))
 
 
 def families(records: DataFrame) -> DataFrame:

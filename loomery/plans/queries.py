@@ -12,6 +12,7 @@ from loomery.functions.scalars import closest, html_escaped, joined, row_hash, s
 from loomery.operators import binding, boxes, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import testbed as t
 from loomery.sources import readers
+from loomery.sources.shared import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -270,7 +271,7 @@ POOLS = (
 
 @query(t.with_records(" union all ".join(f"select '{task}' as task, {available} as available, {sampled} as sampled" for task, available, sampled in POOLS)))
 def eval_pool_sizes(spark, sf_dir):
-    found = located(spark, sf_dir)
+    found = checkpointed(located(spark, sf_dir))
     return evalpack.pool_sizes(found, lane_coverage=evalpack.lane_coverage(found), anchor_gold=evalpack.anchor_gold(found), forbidden_drift=evalpack.forbidden_drift(found), subject_continuity=evalpack.subject_continuity(found))
 
 
@@ -295,7 +296,8 @@ CARDS_SQL = " union all ".join(
 
 
 def cards(spark, sf_dir):
-    loc, out = located(spark, sf_dir), outputs(spark, sf_dir)
+    # four cards read both: bound once, written once
+    loc, out = checkpointed(located(spark, sf_dir)), checkpointed(outputs(spark, sf_dir))
     return (
         evalrun.lane_coverage(evalpack.lane_coverage(loc), out).unionByName(evalrun.forbidden_drift(evalpack.forbidden_drift(loc), out))
         .unionByName(evalrun.anchor_gold(evalpack.anchor_gold(loc), out)).unionByName(evalrun.subject_continuity(evalpack.subject_continuity(loc), out))

@@ -135,6 +135,22 @@ def test_allocation(n, ratios, expected):
     assert sum(got) == n and got == expected
 
 
+def test_roots_of_circles_and_long_ways_to_them(spark):
+    """A circle of 40 nodes, a chain of 60 into it, an open chain, a node that is its own parent: against a plain walk."""
+    parent = {f"c{i}": f"c{(i + 1) % 40}" for i in range(40)} | {f"t{i}": f"t{i + 1}" if i < 59 else "c7" for i in range(60)} | {f"o{i}": f"o{i + 1}" for i in range(30)} | {"self": "self", "s1": "self", "c7b": "t3"}
+
+    def walk(node):
+        seen = [node]
+        while parent.get(seen[-1]) is not None:
+            if parent[seen[-1]] in seen:
+                return parent[seen[-1]]
+            seen.append(parent[seen[-1]])
+        return seen[-1]
+
+    found = {r["id"]: r["root"] for r in lineage.roots(spark.createDataFrame([*parent.items(), ("none", None)], "id string, parent string")).collect()}
+    assert found == {n: walk(n) for n in parent}
+
+
 def families_frame(spark, n, versions):
     rows_ = [(f"item_{i:03}_v{v}", f"item_{i:03}", "coats" if i % 2 else "boats") for i in range(n) for v in range(1, versions + 1)]
     return spark.createDataFrame(rows_, "id string, family string, lane string")
