@@ -77,6 +77,11 @@ def run_summary(outputs: DataFrame, by: str = "run_id") -> DataFrame:
     return outputs.groupBy(by).agg(F.count("*").alias("outputs"), F.count_if(ok).alias("ok"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("failed"), F.coalesce(F.sum(took), F.lit(0)).cast("bigint").alias("total_ms"), F.floor(F.avg(took) + 0.5).cast("bigint").alias("mean_ms"))
 
 
+def successful(outputs: DataFrame) -> DataFrame:
+    """Outputs that a critique can look at: made, or made in a dry run."""
+    return outputs.where(F.col("status").isin("ok", "dry_run"))
+
+
 # ---- critique ------------------------------------------------------------------------
 
 # Dimensions in order, with the canon focus and the guard words that call for them.
@@ -123,7 +128,7 @@ def recommend(candidates: DataFrame, by: str = "run_id") -> DataFrame:
     first = F.min(F.when(fit == "strong", F.struct("pos", "filename")))["filename"]
     fewest = F.min(F.when(fit == "usable", F.struct("n_issues", "pos", "filename")))["filename"]
     mode = F.when(strong > 0, "accept_one").when(usable > 0, "refine_from_one").when(off == n, "discard_run").otherwise("rerun_broader")
-    return candidates.groupBy(by).agg(mode.alias("mode"), F.when(strong > 0, first).when(usable > 0, fewest).alias("preferred"), strong.alias("strong"), usable.alias("usable"), off.alias("off_model"))
+    return candidates.groupBy(by).agg(mode.alias("mode"), F.when(strong > 0, first).when(usable > 0, fewest).alias("preferred"), strong.alias("strong"), usable.alias("usable"), F.count_if(fit == "weak").alias("weak"), off.alias("off_model"))
 
 
 def refine_delta(preserve: Column, correct: Column, drift: Column) -> Column:

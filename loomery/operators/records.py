@@ -67,6 +67,12 @@ def uncurated(records: DataFrame) -> DataFrame:
     return records.where(F.col("judgment").isNull())
 
 
+def curated_counts(records: DataFrame) -> DataFrame:
+    """(judged, n): records in all, curated, uncurated."""
+    row = records.agg(F.count("*").alias("total"), F.count_if(F.col("judgment").isNotNull()).alias("curated"), F.count_if(F.col("judgment").isNull()).alias("uncurated"))
+    return row.selectExpr("stack(3, 'total', total, 'curated', curated, 'uncurated', uncurated) as (judged, n)")
+
+
 def compare(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairwise preferences (a_id, b_id, chosen) with both assets' paths; ``valid`` where both exist, differ and one of them, or a tie, was chosen."""
     a = records.select(F.col("id").alias("a_id"), F.col("asset_path").alias("a_path"), F.lit(True).alias("_a"))

@@ -10,8 +10,8 @@ from loomery.config import ExportProfile, SplitProfile, TrainingProfile
 from loomery.functions import captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
 from loomery.operators import binding, boxes, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
-from loomery.plans import testbed as t
-from loomery.sources import readers
+from loomery.plans import briefs, testbed as t
+from loomery.sources import packages, readers, writers
 from loomery.sources.shared import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -513,8 +513,8 @@ def slot_delta(spark, sf_dir):
 
 
 @query("""with c as (select l_orderkey as run_id, l_linenumber as pos, 'out_'||l_linenumber||'.png' as filename, case l_returnflag when 'A' then case when l_quantity > 45 then 'strong' else 'usable' end when 'R' then 'off-model' else 'weak' end as fit, (l_partkey % 5)::int as n_issues from lineitem),
-  g as (select run_id, count(*) as n, count_if(fit = 'strong')::bigint as strong, count_if(fit = 'usable')::bigint as usable, count_if(fit = 'off-model')::bigint as off_model, arg_min(filename, pos) filter (fit = 'strong') as first_strong, arg_min(filename, n_issues * 1000 + pos) filter (fit = 'usable') as best from c group by 1)
-  select run_id, case when strong > 0 then 'accept_one' when usable > 0 then 'refine_from_one' when off_model = n then 'discard_run' else 'rerun_broader' end as mode, case when strong > 0 then first_strong when usable > 0 then best end as preferred, strong, usable, off_model from g""")
+  g as (select run_id, count(*) as n, count_if(fit = 'strong')::bigint as strong, count_if(fit = 'usable')::bigint as usable, count_if(fit = 'weak')::bigint as weak, count_if(fit = 'off-model')::bigint as off_model, arg_min(filename, pos) filter (fit = 'strong') as first_strong, arg_min(filename, n_issues * 1000 + pos) filter (fit = 'usable') as best from c group by 1)
+  select run_id, case when strong > 0 then 'accept_one' when usable > 0 then 'refine_from_one' when off_model = n then 'discard_run' else 'rerun_broader' end as mode, case when strong > 0 then first_strong when usable > 0 then best end as preferred, strong, usable, weak, off_model from g""")
 def critique_recommend(spark, sf_dir):
     flag = F.col("l_returnflag")
     fit = F.when(flag == "A", F.when(F.col("l_quantity") > 45, "strong").otherwise("usable")).when(flag == "R", "off-model").otherwise("weak")
@@ -591,6 +591,77 @@ def next_sequence(spark, sf_dir):
     return production.next_sequence(names.unionByName(spark.createDataFrame([("customer_9999",), ("other_500",)], "name string")), "name", "customer_")
 
 
+# ---- packages, references, freezes ----------------------------------------------------------------------
+
+
+@query("select l_linestatus as by_status, count_if(l_returnflag <> 'R')::bigint as n from lineitem group by 1 having n > 0")
+def successful_outputs(spark, sf_dir):
+    status = F.when(F.col("l_returnflag") == "A", "ok").when(F.col("l_returnflag") == "N", "dry_run").otherwise("failed")
+    kept = production.successful(table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("by_status"), status.alias("status")))
+    return kept.groupBy("by_status").agg(F.count("*").alias("n"))
+
+
+@query(t.with_records("select w.n as brief_id, r.id as record_id, case when r.status is null then 'not approved: none' when r.status <> 'approved' then 'not approved: '||r.status end as problem from rec w join rec r on r.id = w.parent union all select n, parent, 'not found' from rec where parent is not null and parent not in (select id from rec)"))
+def brief_references(spark, sf_dir):
+    records = t.records(spark, sf_dir)
+    wanted = records.where(F.col("lineage.derived_from_record_id").isNotNull()).select(F.regexp_extract("id", "doc_([0-9]+)_", 1).cast("bigint").alias("brief_id"), F.col("lineage.derived_from_record_id").alias("id"))
+    made = records.withColumn("lineage", F.col("lineage").withField("generation_role", F.lit(None).cast("string")))
+    return wanted.join(briefs.references(wanted, made), F.col("id") == F.col("record_id")).select("brief_id", "record_id", "problem")
+
+
+@query(t.with_records("select n as brief_id, parent as record_id, 'reference' as role from rec where parent is not null union all select n, id, 'anchor' from rec where parent is null or parent <> id"))
+def brief_reference_selection(spark, sf_dir):
+    records = t.records(spark, sf_dir).select(F.regexp_extract("id", "doc_([0-9]+)_", 1).cast("bigint").alias("brief_id"), "id", F.col("lineage.derived_from_record_id").alias("parent"))
+    explicit = records.where("parent is not null").select("brief_id", F.col("parent").alias("record_id"), F.lit("reference").alias("role"))
+    return briefs.with_anchors(explicit, records.select("brief_id", F.col("id").alias("record_id")), "brief_id")
+
+
+@query(t.with_records("select judged, n from (select count(*)::bigint as total, count_if(status is not null)::bigint as curated, count_if(status is null)::bigint as uncurated from rec) unpivot (n for judged in (total, curated, uncurated))"))
+def curated_counts(spark, sf_dir):
+    return upkeep.curated_counts(t.records(spark, sf_dir))
+
+
+def plates(spark, sf_dir):
+    """Entries of parts: some with a plate below visual, some with one of their own, with slashes of either kind."""
+    k, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    plate = F.concat(F.lit("plates"), F.when(k % 2 == 0, F.lit("/")).otherwise(F.lit("\\")), text, F.lit(".png"))
+    entry = F.when(k % 3 == 0, F.to_json(F.struct(F.struct(plate.alias("reference_plate_uri")).alias("visual")))).when(k % 3 == 1, F.to_json(F.struct(plate.alias("reference_plate_uri")))).otherwise("{}")
+    status = F.when(k % 4 == 0, "frozen").when(k % 4 == 1, "soft-advisory").otherwise("auto")
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("part-"), text).alias("id"), F.lit("relic").alias("schema_kind"), status.alias("freeze_status"), entry.alias("entry"))
+
+
+FREEZE_SQL = "case p_partkey % 4 when 0 then 'frozen' when 1 then 'soft-advisory' else 'auto' end"
+
+
+@query(f"select 'plates/'||p_partkey||'.png' as asset_path, case when p_partkey % 3 <> 2 then 'part-'||p_partkey end as id, case when p_partkey % 3 <> 2 then 'relic' end as schema_kind, case when p_partkey % 3 <> 2 then {FREEZE_SQL} end as freeze_status from part")
+def entries_of_plates(spark, sf_dir):
+    assets = table(spark, sf_dir, "part").select(F.concat(F.lit("plates/"), F.col("p_partkey").cast("string"), F.lit(".png")).alias("asset_path"))
+    return canon.of_assets(assets, plates(spark, sf_dir))
+
+
+@query(f"select 'part-'||p_partkey as entity_id, 'freeze' as type, {FREEZE_SQL} as prior_status, 'frozen' as new_status, 'final' as reason from part where p_partkey % 4 <> 0 union all select 'part-'||p_partkey, 'bypass', 'soft-advisory', 'soft-advisory', 'fix' from part where p_partkey % 4 = 1")
+def freeze_log_entries(spark, sf_dir):
+    entries = plates(spark, sf_dir)
+    frozen = canon.freeze_events(entries, "frozen", "final", "me", "2026-01-01T00:00:00Z")
+    passed = canon.bypass_events(canon.gate(entries, True, "fix"), "fix", "me", "2026-01-01T00:00:00Z", entries)
+    return frozen.unionByName(passed).select("entity_id", "type", "prior_status", "new_status", "reason")
+
+
+@query(t.with_records("select id, case when asset_path is null then 'no_asset' when n % 4 = 1 then 'source_missing' else 'placed' end as status, case when asset_path is not null and n % 4 <> 1 then 'images/'||id||'.png' end as file from rec"))
+def export_image_plan(spark, sf_dir):
+    records = t.records(spark, sf_dir).select("id", "asset_path")
+    there = records.where(F.regexp_extract("id", "doc_([0-9]+)_", 1).cast("bigint") % 4 != 1)
+    return packages.image_plan(records, there.select(F.col("asset_path").alias("path"))).select("id", "status", "file")
+
+
+@query(t.with_records(f"select entity_id as record_id, partition, 'dataset/'||partition||'/'||entity_id||'.png' as file, 'dataset/'||partition||'/'||entity_id||'.txt' as caption_file, caption, lane, subject_filter_key as subject from ({ROWS_SQL}) where lane in ('hull', 'costume')"))
+def adapter_audit_rows(spark, sf_dir):
+    made = training(spark, sf_dir)
+    profile = TrainingProfile(t.TRAINING.profile_id, adapter="diffusers-lora", eligible_lanes=t.TRAINING.eligible_lanes)
+    _, audit = writers.adapted(made, profile, made.select(F.col("asset_path").alias("path")))
+    return audit.select("record_id", "partition", "file", "caption_file", "caption", "lane", "subject")
+
+
 # ---- upkeep, doctor, boxes, scalars --------------------------------------------------------------------
 
 

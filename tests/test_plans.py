@@ -44,3 +44,12 @@ def test_card(spark):
     profile = dataclasses.replace(t.SPLIT)
     text = card.render("set", {"total": 60, "included": 60, "excluded": 0}, split.create(families_frame(spark, 20, 3), profile), profile)
     assert "60 of 60 records (100.0%)" in text and "families in more than one part: 0" in text and card.percent(1, 0) == "—"
+
+
+def test_brief_fingerprints(tmp_path):
+    (tmp_path / "lanes.json").write_text("{}")
+    base = briefs.fingerprint(tmp_path, {"b": 1, "a": [1.5]}, ["r2", "r1"])
+    assert base == briefs.fingerprint(tmp_path, {"a": [1.5], "b": 1}, ["r1", "r2"]) and len(base) == 64
+    assert base != briefs.fingerprint(tmp_path, {"b": 2, "a": [1.5]}, ["r1", "r2"]) and base != briefs.fingerprint(tmp_path, {"b": 1, "a": [1.5]}, [])
+    (tmp_path / "lanes.json").write_text("[]")
+    assert base != briefs.fingerprint(tmp_path, {"b": 1, "a": [1.5]}, ["r1", "r2"])
