@@ -30,9 +30,9 @@ from tokenizers import Tokenizer, models
 from loomery.llm.store import fields_and
 
 #: Bytes of pieces and results that a worker keeps, and of the longest piece it keeps.
-CACHE_BYTES, LONGEST = 160_000_000, 256
+CACHE_BYTES, LONGEST = 64_000_000, 256
 #: What a kept piece costs beside its text and its results.
-OVERHEAD = 250
+OVERHEAD = 400
 
 
 @lru_cache(maxsize=1)
@@ -191,12 +191,17 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            results = [bpe.results(text or "") for text in batch.column(1).to_pylist()]
-            made = [b"".join([r[0] for r in each]) for each in results]
-            digests = [[hashlib.sha256(x).hexdigest() for x in values] for values in (made, map(bpe.decode, made))]
-            columns = [pa.array([len(i) // 4 for i in made], pa.int64()), *(pa.array(d, pa.string()) for d in digests), pa.array([sum([r[2] for r in each]) for each in results], pa.int64())]
-            if ids:
-                columns.append(pa.array([np.frombuffer(i, "<i4") for i in made], pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.fieldNames())
+            for at in range(0, len(batch), 512):  # few texts and results at a time
+                part = batch.slice(at, 512)
+                made, split = [], []
+                for text in part.column(1):
+                    results = bpe.results(text.as_py() or "")
+                    made.append(b"".join([r[0] for r in results]))
+                    split.append(sum([r[2] for r in results]))
+                digests = [[hashlib.sha256(x).hexdigest() for x in values] for values in (made, map(bpe.decode, made))]
+                columns = [pa.array([len(i) // 4 for i in made], pa.int64()), *(pa.array(d, pa.string()) for d in digests), pa.array(split, pa.int64())]
+                if ids:
+                    columns.append(pa.array([np.frombuffer(i, "<i4") for i in made], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.fieldNames())
 
     return given.mapInArrow(run, schema)

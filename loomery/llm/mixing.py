@@ -113,14 +113,17 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, sample: int = 6000, round
 def domain_posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row (struct of all input columns), doc_id, n_tokens, p_good, p_poor, p_toxic."""
     text = F.col(text_col).cast("string")
-    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), token_count(text).alias("n_tokens"), text.alias("text"))
+    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), token_count(text).alias("n_tokens"))
     names = [f"p_{d}" for d in DOMAINS]
-    schema = fields_and([f for f in given.schema.fields if f.name != "text"], ", ".join(f"{n} double" for n in names))
+    schema = fields_and(given.schema.fields, ", ".join(f"{n} double" for n in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = classifier.posteriors([t or "" for t in batch.column(3).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(p[:, i].copy()) for i in range(len(names)))], schema.fieldNames())
+            # the text is a field of the row and travels once; few texts at a time are Python strings
+            column = batch.column(0).field(text_col).cast(pa.string())
+            parts = [classifier.posteriors([t or "" for t in column.slice(at, 256).to_pylist()]) for at in range(0, len(column), 256)]
+            p = np.concatenate([np.zeros((0, len(names))), *parts])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, i].copy()) for i in range(len(names)))], schema.fieldNames())
 
     return given.mapInArrow(run, schema)
 

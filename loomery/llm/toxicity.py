@@ -186,12 +186,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, prior: float
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [model.evidence(t or "") for t in batch.column(0).to_pylist()]
+            values = [model.evidence(t.as_py() or "") for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([*(pa.array([v[i] for v in values], pa.float64()) for i in range(3)), batch.column(1)], ["best", "rarity", "strong", "toxic"])
 
     def maxima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.segments(t or "") for t in batch.column(0).to_pylist()]
+            found = [model.segments(t.as_py() or "") for t in batch.column(0)]
             best = [max((s for *_, s in f), default=0.0) for f, _ in found]
             yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array([n for _, n in found], pa.int64())], ["best", "n"])
 
@@ -217,20 +217,21 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     give repeated rows, an empty table none; input columns of any name stay in ``row``.
     """
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
-    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), held.alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), held.alias("held_out"))
     schema = fields_and(
-        [f for f in given.schema.fields if f.name != "text"],
+        given.schema.fields,
         "score double, predicted int" + ", passages array<struct<start:int,end:int,score:double,p_value:double>>" * passages,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            values = [model.score(t or "") for t in texts]
-            out = [*batch.columns[:3], pa.array(values, pa.float64()), pa.array([int(v >= threshold) for v in values], pa.int32())]
+            # the text is a field of the row and travels once; few texts at a time are Python strings
+            column = batch.column(0).field(text_col).cast(pa.string())
+            values = [model.score(t.as_py() or "") for t in column]
+            out = [*batch.columns, pa.array(values, pa.float64()), pa.array([int(v >= threshold) for v in values], pa.int32())]
             if passages:
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("p_value", pa.float64())]))
-                out.append(pa.array([[dict(zip(("start", "end", "score", "p_value"), p)) for p in model.passages(t or "")] for t in texts], kind))
+                out.append(pa.array([[dict(zip(("start", "end", "score", "p_value"), p)) for p in model.passages(t.as_py() or "")] for t in column], kind))
             yield pa.RecordBatch.from_arrays(out, schema.fieldNames())
 
     return given.mapInArrow(run, schema)
