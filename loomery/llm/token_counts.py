@@ -64,29 +64,34 @@ def drops_blanks(file: dict) -> bool:
 
 
 class Encoded:
-    """Tokens of one chunk: ids, places in the document, and where words start."""
+    """Tokens of the chunk [at, end): ids, places in it, and their words."""
 
     def __init__(self, model: Tokenizer, text: str, at: int, end: int) -> None:
         e = model.encode(text[at:end], add_special_tokens=False)
-        self.end, self.ids = end, e.ids
-        self.places = [(a + at, b + at) for a, b in e.offsets]
-        words = e.word_ids
-        self.heads = [i for i, w in enumerate(words) if i == 0 or w is None or w != words[i - 1]]
+        self.at, self.end, self.ids, self.offsets, self.words = at, end, e.ids, e.offsets, e.word_ids
+
+    def heads(self, lo: int, hi: int) -> list[int]:
+        """Tokens that start a word at characters lo to hi of the document."""
+        first, last = (bisect_left(self.offsets, c - self.at, key=lambda o: o[0]) for c in (lo, hi))
+        words = self.words
+        return [i for i in range(first, last) if i == 0 or words[i] is None or words[i] != words[i - 1]]
+
+    def place(self, i: int) -> int:
+        return self.offsets[i][0] + self.at
 
     def same(self, a: int, b: int, other: Encoded, at: int) -> bool:
-        """Whether tokens a to b are those of ``other`` from ``at`` on."""
-        to = at + b - a
-        return 0 <= at and self.ids[a:b] == other.ids[at:to] and self.places[a:b] == other.places[at:to]
+        """Whether tokens a to b are those of ``other`` from ``at`` on, at the same places of the document."""
+        shift = self.at - other.at
+        return at >= 0 and self.ids[a:b] == other.ids[at : at + b - a] and [(x + shift, y + shift) for x, y in self.offsets[a:b]] == other.offsets[at : at + b - a]
 
 
 def boundary(left: Encoded, right: Encoded, cut: int) -> tuple[int, int] | None:
     """First stable boundary of two encodings from ``cut`` on, as a token of each."""
-    heads = left.heads
-    of_place = {right.places[j][0]: j for j in reversed(right.heads)}
-    first = bisect_left(heads, cut, key=lambda i: left.places[i][0])
-    for k in range(max(first, 1), len(heads) - CUT_WORDS - PROOF + 1):
+    heads = left.heads(cut, left.end)
+    of_place = {right.place(j): j for j in reversed(right.heads(cut, left.end))}
+    for k in range(1, len(heads) - CUT_WORDS - PROOF + 1):
         i, before, after = heads[k], heads[k - 1], heads[k + PROOF]
-        j = of_place.get(left.places[i][0])
+        j = of_place.get(left.place(i))
         if j is not None and left.same(before, after, right, j - (i - before)):
             return i, j
     return None
@@ -153,7 +158,7 @@ def counter(path: str) -> TokenCounter:
 
 
 def count_tokens(
-    docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 13, overlap: int = 256
+    docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 14, overlap: int = 256
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row.
 
