@@ -147,7 +147,7 @@ def growth_to_keep(weighed: DataFrame, targets: dict[str, float], least: Column)
     return max([1.0, *(float(v) * all_ / (targets[d] * total) for d, v in zip(names, row[1:]))]) if total else 1.0
 
 
-def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least: Column | float = 0.0, tolerance: float = 1e-9, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
+def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least: Column | float = 0.0, tolerance: float = 1e-6, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
     """Column of rates for a table with n_tokens and posteriors, and the residual.
 
     ``targets`` are weights of a mix of ``growth`` times the tokens there are; no
