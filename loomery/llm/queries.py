@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, token_counts, topk_search, toxicity
+from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, spelling, token_counts, topk_search, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,8 +61,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted_words(_table(spark, sf_dir, "documents"), damage=97))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_spelling_variants)} | {"pipeline": corpus_pipeline.run}
 
 
 ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -120,7 +124,34 @@ select d.doc_id, w.license, coalesce(string_agg(h.name, ',' order by h.name), ''
 """
 
 
+# SQL has no crc32: a table of 256 remainders by rule, and a fold over the bytes.
+CRC_TABLE_SQL = "select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) as steps"
+
+
+def _crc_sql(text: str) -> str:
+    read = f"list_transform(range(0, length(hex(encode({text}))), 2), lambda j: ('0x' || substr(hex(encode({text})), j + 1, 2))::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295, {read}), lambda x, b: xor(x >> 8, steps[xor(x & 255, b) + 1])), 4294967295)"
+
+
+# Near words by what is left when one code point goes, not by a trie.
+SPELLING_SQL = rf"""
+with recursive crc as ({CRC_TABLE_SQL}),
+  run as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), {ALPHABET}) as w from documents),
+  each as (select doc_id, w, count(*) as k from run where length(w) >= 5 group by 1, 2),
+  hashed as (select w, k, {_crc_sql("doc_id || ':' || w")} as h from each, crc),
+  spelt as (select case when h % 97 = 0 then substr(w, 1, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, k from hashed),
+  words as (select word, sum(k)::bigint as n from spelt where length(word) >= 5 group by 1 having sum(k) >= 3),
+  cut as (select word, unnest(range(length(word))) as i from words), less as (select word, i, substr(word, 1, i) || substr(word, i + 2) as rest from cut),
+  near as (select a.word, b.word as other from less a join words b on b.word = a.rest union select b.word, a.word from less a join words b on b.word = a.rest
+    union select a.word, b.word from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word),
+  best as (select near.word, count(*) as n_near, min({{'m': -o.n, 'w': o.word}}) as b from near join words o on o.word = near.other group by 1),
+  formed as (select w.word, w.n, coalesce(b.n_near, 0)::bigint as n_near, case when -b.b.m >= 2 * w.n then b.b.w end as form, case when -b.b.m >= 2 * w.n then (-b.b.m)::bigint end as form_n from words w left join best b using (word)),
+  path as (select word, word as root from formed union all select p.word, f.form from path p join formed f on f.word = p.root where f.form is not null)
+select f.word, f.form, p.root, f.n, f.n_near, f.form_n from formed f join path p using (word) join formed l on l.word = p.root where l.form is null
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Scores, hashes, tokens and fitted weights are beyond SQL; their queries are tested against brute force."""
-    found = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_topk_search": SEARCH_SQL, "op6_license_scan": LICENSE_SQL, "op7_embedding_near_dedup": EMBEDDINGS_SQL}
+    found = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_topk_search": SEARCH_SQL, "op6_license_scan": LICENSE_SQL, "op7_embedding_near_dedup": EMBEDDINGS_SQL, "op11_spelling_variants": SPELLING_SQL}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
