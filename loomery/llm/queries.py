@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, spelling, token_counts, topk_search, toxicity
+from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, spelling, suffix_dedup, token_counts, topk_search, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +65,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.counted_words(_table(spark, sf_dir, "documents"), damage=97))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"), digest_only=True)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.col("kept").alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_spelling_variants)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_spelling_variants, op13_suffix_dedup)} | {"pipeline": corpus_pipeline.run}
 
 
 ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -79,7 +79,8 @@ def test_variants_against_all_pairs(spark):
 
 
 def test_long_words_take_few_levels(spark):
-    word = "".join(random.Random(1).choice("abcdefgh") for _ in range(50_000))
+    rng = random.Random(1)
+    word = "".join(rng.choice("abcdefgh") for _ in range(50_000))
     n = {word: 9, word[:25_000] + "z" + word[25_000:]: 3, word[1:]: 4, word[:-1]: 4}
     got = {r[0]: (r[4], r[2]) for r in found(spark.createDataFrame(list(n.items()), "word string, n bigint"))}
     assert all(got[w][1] == word for w in n) and got[word][0] == 3
