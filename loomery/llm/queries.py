@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomery.llm import bpe, embed_dedup, licenses, line_dedup, mixing, pii, simhash, spelling, suffix_dedup, token_counts, topk_search, toxicity
+from loomery.llm import bpe, conversations, embed_dedup, licenses, line_dedup, mixing, pii, simhash, spelling, suffix_dedup, token_counts, topk_search, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,13 +65,17 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.counted_words(_table(spark, sf_dir, "documents"), damage=97))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"), digest_only=True)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.col("kept").alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_spelling_variants, op13_suffix_dedup)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_line_dedup, op2_topk_search, op3_pii, op4_simhash_near_dedup, op5_byte_bpe, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_spelling_variants, op12_conversation_repair, op13_suffix_dedup)} | {"pipeline": corpus_pipeline.run}
 
 
 ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -156,7 +160,40 @@ select f.word, f.form, p.root, f.n, f.n_near, f.form_n from formed f join path p
 """
 
 
+# Forwards from row to row with the least (cost, audit) of each state: strings instead of ranks and pointers.
+_ENTER = "s0, s1, list_min([u, {c: s0.c + 5, a: s0.a || 'I', t: list_append(s0.t, 'user:')}, {c: s1.c + 5, a: s1.a || 'I', t: list_append(s1.t, 'user:')}, {c: a.c + 5, a: a.a || 'I', t: list_append(a.t, 'user:')}]) as u, a"
+_LEAVE = "s0, s1, u, list_min([a, {c: u.c + 5, a: u.a || 'I', t: list_append(u.t, 'assistant:')}]) as a"
+
+
+def _edit_sql(state: str, cost: str, letter: str, line: str = "") -> str:
+    return f"{{c: {state}.c + {cost}, a: {state}.a || '{letter}', t: " + (f"list_append({state}.t, {line})" if line else f"{state}.t") + "}"
+
+
+def _row_sql(target: str, kept: str, before: tuple[str, ...], rerole: str) -> str:
+    found = [_edit_sql(target, "2", "D")] + [_edit_sql(b, f"stays + if(ini = '{kept}', 0, 1000000000)", "K", "role || ':' || text") for b in before]
+    found += [_edit_sql(b, "stays + 1", "R", f"'{rerole}:' || text") for b in before if rerole]
+    return f"list_min([{', '.join(found)}]) as {target}"
+
+
+REPAIR_SQL = rf"""
+with recursive crc as ({CRC_TABLE_SQL}),
+  given as (select *, coalesce(conv_id::text, ' ') || ':' || coalesce(turn::text, ' ') as key from conversations),
+  hashed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc_sql("key")} % 20 as kind from given, crc),
+  after as (select conv_id, turn, case when kind = 4 then 'user' else role end as role, case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text from hashed, range(2) r(copy) where kind <> 0 and (copy = 0 or kind = 3)),
+  placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from after),
+  shown as (select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body, row_number() over (partition by conv_id, role, text order by i) as nth, lag(role) over (partition by conv_id order by i) as prev from placed),
+  faulty as (select *, left(role, 1) as ini, case when body = '' then 'b' when nth > 1 then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end as fault from shown),
+  dp as (select conv_id, 0 as i, {{c: 0::bigint, a: '', t: []::varchar[]}} as s0, {{c: 1000000000::bigint, a: '', t: []::varchar[]}} as s1, {{c: 1000000000::bigint, a: '', t: []::varchar[]}} as u, {{c: 1000000000::bigint, a: '', t: []::varchar[]}} as a from (select distinct conv_id from conversations)
+    union all select conv_id, i, {_row_sql("s0", "", (), "")}, {_row_sql("s1", "s", ("s0",), "")}, {_row_sql("u", "u", ("s0", "s1", "a"), "user")}, {_row_sql("a", "a", ("u",), "assistant")}
+      from (select conv_id, i, role, text, ini, stays, {_LEAVE} from (select conv_id, i, role, text, ini, stays, {_ENTER} from (select d.conv_id, f.i::int as i, s0, s1, u, a, role, text, ini, case fault when 't' then 5 when '' then 0 else 1000000000 end as stays from dp d join faulty f on d.conv_id is not distinct from f.conv_id and f.i = d.i + 1)))),
+  ended as (select conv_id, list_min([s0, a]) as best from (select conv_id, {_LEAVE} from (select conv_id, {_ENTER} from (select conv_id, s0, s1, u, a from dp qualify row_number() over (partition by conv_id order by i desc) = 1)))),
+  counted as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count_if(fault = 'b')::bigint as blank, count_if(fault = 'd')::bigint as duplicate, count_if(fault = 't')::bigint as truncated, count_if(prev is not null and left(prev, 1) || ini not in ('su', 'ua', 'au'))::bigint as illegal from faulty group by 1)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, best.c as cost, best.a as audit, sha256(array_to_string(best.t, chr(10))) as repaired_sha256
+from ended e left join counted c on e.conv_id is not distinct from c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Scores, hashes, tokens and fitted weights are beyond SQL; their queries are tested against brute force."""
-    found = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_topk_search": SEARCH_SQL, "op6_license_scan": LICENSE_SQL, "op7_embedding_near_dedup": EMBEDDINGS_SQL, "op11_spelling_variants": SPELLING_SQL}
+    found = {"op1_line_dedup": LINE_DEDUP_SQL, "op2_topk_search": SEARCH_SQL, "op6_license_scan": LICENSE_SQL, "op7_embedding_near_dedup": EMBEDDINGS_SQL, "op11_spelling_variants": SPELLING_SQL, "op12_conversation_repair": REPAIR_SQL}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
