@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomery.config import SplitProfile
-from loomery.functions.prng import shuffled
+from loomery.functions.prng import draw
+from loomery.operators.numbering import numbered
+from loomery.sources.shared import checkpointed
 
 PARTS = ("train", "val", "test")
 
@@ -49,22 +49,64 @@ def lane_plan(chosen: DataFrame) -> DataFrame:
     return sizes.select("lane", "families", (F.coalesce(F.sum(used).over(before), F.lit(0)) + 1).alias("first_draw"))
 
 
-def assign_families(chosen: DataFrame, profile: SplitProfile) -> DataFrame:
-    """(family, lane, position, part).
-
-    The shuffle is sequential by definition, so one task a lane swaps its
-    family names (names only); everything around it is distributed.
+def allocation(sizes: DataFrame, profile: SplitProfile, total: str = "families") -> DataFrame:
+    """``sizes`` with train, val and test: ``allocate`` of the column ``total`` for every row."""
+    n = F.col(total)
+    ratio = {"train": profile.train_ratio, "val": profile.val_ratio, "test": profile.test_ratio}
+    out = sizes.withColumns({p: F.when(n > 0, F.floor(n * F.lit(ratio[p]))).otherwise(0).cast("bigint") for p in PARTS})
+    rest = {p: n * F.lit(ratio[p]) - F.col(p) for p in PARTS}
+    spare = n - sum((F.col(p) for p in PARTS), F.lit(0))
+    ahead = {p: sum(((rest[q] > rest[p]) | ((rest[q] == rest[p]) & F.lit(q < p))).cast("int") for q in PARTS if q != p) for p in PARTS}
+    out = out.withColumns({p: F.when(n > 0, F.col(p) + F.greatest(F.lit(0), F.floor((spare - ahead[p] + 2) / 3))).otherwise(0).cast("bigint") for p in PARTS})
+    for p in PARTS:
+        # the largest other part with more than one gives
+        donors = [F.when(F.col(q) > 1, F.struct((-F.col(q)).alias("less"), F.lit(q).alias("part"))) for q in PARTS if q != p]
+        giver = F.when((n >= 3) & (F.col(p) == 0), F.least(*donors)["part"])
+        given = out.withColumn("_giver", giver)
+        out = given.withColumns({q: F.col(q) + F.when(F.col("_giver").isNull(), 0).when(F.lit(q == p), 1).when(F.col("_giver") == q, -1).otherwise(0) for q in PARTS}).drop("_giver")
+    return out
+
+
+def replayed(steps: DataFrame) -> DataFrame:
+    """(lane, position, source): which item ends up where when all swaps are done.
+
+    ``steps`` has lane, i and target for each place i of a lane: swaps run from the
+    highest i down, each with its target at or below it (place 0 has itself). A place is final once its swap is
+    done: it then holds what its target held just before. A place's content comes from its last writer, the
+    least later i with that target, and that one's from its own last writer, so
+    contents are roots of a forest, found by pointer doubling over all swaps at once. Its depth, and so the rounds, grow with
+    the logarithm of the places.
     """
+    same_target = Window.partitionBy("lane", "target").orderBy("i")
+    planned = checkpointed(steps.select("lane", "i", "target", F.lead("i").over(same_target).alias("writer")))
+    now = planned.groupBy("lane", F.col("target").alias("place")).agg(F.min(F.when(F.col("i") > F.col("target"), F.col("i"))).alias("root")).where("root is not null")
+    now = checkpointed(now)
+    while True:
+        ahead = now.select("lane", F.col("place").alias("root"), F.col("root").alias("ahead"))
+        stepped = checkpointed(now.join(ahead, ["lane", "root"], "left").select("lane", "place", F.coalesce("ahead", "root").alias("root"), F.expr("ahead is not null").alias("moved")))
+        now = stepped.drop("moved")
+        if stepped.where("moved").isEmpty():
+            break
+    held = now.select("lane", F.col("place").alias("writer"), "root")
+    return planned.join(held, ["lane", "writer"], "left").select("lane", F.col("i").alias("position"), F.coalesce("root", "writer", "target").alias("source"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(pdf["family"])
-        order = shuffled(names, profile.seed, int(pdf["first_draw"].iloc[0]))
-        train, val, _ = allocate(len(order), profile) if len(order) >= 3 else (len(order), 0, 0)
-        parts = [PARTS[0] if i < train else PARTS[1] if i < train + val else PARTS[2] for i in range(len(order))]
-        return pd.DataFrame({"family": order, "lane": pdf["lane"].iloc[0], "position": range(len(order)), "part": parts})
 
-    planned = chosen.join(F.broadcast(lane_plan(chosen)), "lane").select("family", "lane", "first_draw")
-    return planned.groupBy("lane").applyInPandas(run, "family string, lane string, position bigint, part string")
+def assign_families(chosen: DataFrame, profile: SplitProfile) -> DataFrame:
+    """(family, lane, position, part): each lane's families in the seeded order, the first to train, the next to val, the rest to test.
+
+    No task holds a lane: families are numbered by ranges, draws are functions of
+    their number, and the swaps are replayed in parallel. Under three families all go to train. Lanes are those of the
+    configuration, so their plan is broadcast.
+    """
+    few = {p: F.when(F.col("families") < 3, F.col("families") if p == "train" else 0).otherwise(F.col(p)) for p in PARTS}
+    plan = allocation(lane_plan(chosen), profile).withColumns(few)
+    names = checkpointed(numbered(chosen.select("lane", "family"), ["family"], ["lane"], "i"))
+    u = draw(profile.seed, F.col("first_draw") + F.col("families") - 1 - F.col("i"))
+    target = F.when(F.col("i") == 0, 0).otherwise(F.floor(u * (F.col("i") + 1))).cast("bigint")
+    steps = names.join(F.broadcast(plan.select("lane", "families", "first_draw")), "lane").select("lane", "i", target.alias("target"))
+    placed = replayed(steps).join(F.broadcast(plan.select("lane", "train", "val")), "lane")
+    part = F.when(F.col("position") < F.col("train"), PARTS[0]).when(F.col("position") < F.col("train") + F.col("val"), PARTS[1]).otherwise(PARTS[2])
+    return placed.join(names.withColumnRenamed("i", "source"), ["lane", "source"]).select("family", "lane", "position", part.alias("part"))
 
 
 def create(members: DataFrame, profile: SplitProfile) -> DataFrame:

@@ -173,43 +173,79 @@ def family_majority_lane(spark, sf_dir):
     return split.majority_lane(members(spark, sf_dir))
 
 
-@query("select k::bigint as k, (xor(v, v >> 14)) / 4294967296.0::double as u from (select k, xor(v, (v + ((xor(v, v >> 7)::hugeint * (v | 61)::hugeint) % 4294967296)::bigint) & 4294967295) as v from (select k, ((xor(t, t >> 15)::hugeint * (t | 1)::hugeint) % 4294967296)::bigint as v from (select k, (42 + k * 1831565813) & 4294967295 as t from range(1, 5001) r(k))))")
+# Largest remainders for .7/.15/.15: ties of remainders go by name, so test before val; the least-one rule only acts on 3.
+def allocate_sql(sizes: str) -> str:
+    """CTEs that end in ``alloc`` (total, train, val, test) for the totals of ``sizes``."""
+    return f"""share as (select total, total * 0.7::double as a, total * 0.15::double as b from {sizes}),
+  rest as (select total, floor(a)::bigint as fa, floor(b)::bigint as fb, a - floor(a) as ra, b - floor(b) as rb from share),
+  spare as (select *, total - fa - 2 * fb as spare from rest),
+  dealt as (select total, fa + case when spare > 0 and (ra > rb or (ra < rb and spare > 2)) then 1 else 0 end as train,
+    fb + case when (ra > rb and spare > 2) or (ra <= rb and spare > 1) then 1 else 0 end as val,
+    fb + case when (ra > rb and spare > 1) or (ra <= rb and spare > 0) then 1 else 0 end as test from spare),
+  alloc as (select total, (case when total >= 3 then train - (val = 0)::int - (test = 0)::int else train end)::bigint as train,
+    (case when total >= 3 then greatest(val, 1) else val end)::bigint as val, (case when total >= 3 then greatest(test, 1) else test end)::bigint as test from dealt)"""
+
+
+@query(f"with sizes as (select count(*)::bigint as total from lineitem group by l_suppkey union select count(*)::bigint from orders group by o_custkey), {allocate_sql('sizes')} select * from alloc")
+def split_allocate(spark, sf_dir):
+    """Parts of every number of orders a customer has, and of lines a supplier has."""
+    of_customers = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("total")).select("total")
+    of_suppliers = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("total")).select("total")
+    return split.allocation(of_customers.unionByName(of_suppliers).distinct(), t.SPLIT, "total")
+
+
+def draw_sql(k: str, seed: int) -> str:
+    """Draw ``k`` of the generator as one expression over 64-bit integers."""
+    state = f"(({seed} + ({k}) * 1831565813) & 4294967295)"
+    first = f"((xor({state}, {state} >> 15)::hugeint * ({state} | 1)::hugeint) % 4294967296)::bigint"
+    return f"list_transform([{first}], lambda v: xor(v, (v + ((xor(v, v >> 7)::hugeint * (v | 61)::hugeint) % 4294967296)::bigint) & 4294967295)).list_transform(lambda v: xor(v, v >> 14) / 4294967296.0::double)[1]"
+
+
+@query(f"select o_orderkey::bigint as k, {draw_sql('o_orderkey', 42)} as u from orders")
 def prng_draws(spark, sf_dir):
-    return spark.range(1, 5001).select(F.col("id").alias("k"), prng.draw(42, F.col("id")).alias("u"))
+    """Draw k for every order key k."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), prng.draw(42, F.col("o_orderkey")).alias("u"))
 
 
-# Largest remainders for .7/.15/.15: ties of remainders go by name, so test before val; the least-one rule only acts on 3.
-@query("""with f as (select total::int as total, total * 0.7::double as a, total * 0.15::double as b from range(0, 41) r(total)), g as (select *, floor(a)::int as fa, floor(b)::int as fb, a - floor(a) as ra, b - floor(b) as rb from f), h as (select *, total - fa - 2 * fb as spare from g),
-  i as (select total, fa + case when spare > 0 and (ra > rb or (ra < rb and spare > 2)) then 1 else 0 end as train, fb + case when (ra > rb and spare > 2) or (ra <= rb and spare > 1) then 1 else 0 end as val, fb + case when (ra > rb and spare > 1) or (ra <= rb and spare > 0) then 1 else 0 end as test from h)
-  select total, case when total >= 3 then train - (val = 0)::int - (test = 0)::int else train end as train, case when total >= 3 then greatest(val, 1) else val end as val, case when total >= 3 then greatest(test, 1) else test end as test from i""")
-def split_allocate(spark, sf_dir):
-    counts = [(n, *split.allocate(n, t.SPLIT)) for n in range(0, 41)]
-    return spark.createDataFrame(counts, "total int, train int, val int, test int")
+# The shuffle swap by swap, on one list a lane.
+SPLIT_SQL = f"""{MEMBERS_SQL}, votes as (select family, lane, count(*) as n from mem group by 1, 2),
+  chosen as (select family, lane from (select *, row_number() over (partition by family order by n desc, lane) as r from votes) where r = 1),
+  lanes as (select lane, list(family order by family) as names, count(*)::bigint as total from chosen group by 1),
+  firsts as (select *, coalesce(sum(greatest(total - 1, 0)) over (order by lane rows between unbounded preceding and 1 preceding), 0)::bigint as used from lanes),
+  {allocate_sql("lanes")},
+  swaps as (select lane, names, total, used, 1::bigint as step from firsts
+    union all select lane, list_transform(range(1, total + 1), lambda p: case when p = i + 1 then names[j + 1] when p = j + 1 then names[i + 1] else names[p] end), total, used, step + 1
+      from (select *, floor(u * (i + 1))::bigint as j from (select *, total - step as i, {draw_sql("used + step", 7)} as u from swaps where step < total))),
+  final as (select lane, total, unnest(names) as family, unnest(range(total)) as position from swaps where step = greatest(total, 1)),
+  parts as (select family, lane, case when f.total < 3 or position < train then 'train' when position < train + val then 'val' else 'test' end as part from final f join (select distinct * from alloc) a on a.total = f.total),
+  asg as (select id as record_id, family, parts.lane, part from mem join parts using (family))"""
 
 
 def split_orders(spark, sf_dir):
     return split.create(members(spark, sf_dir), t.SPLIT)
 
 
-@query()
+@query(f"with recursive {SPLIT_SQL} select record_id, family, lane, part from asg")
 def split_assign(spark, sf_dir):
     return split_orders(spark, sf_dir)
 
 
-@query("select family, record_count, leaked_to from (select ''::varchar as family, 0::bigint as record_count, ''::varchar as leaked_to) where false")
+@query(f"with recursive {SPLIT_SQL} select o_orderdate as day, count(*)::bigint as record_count, array_to_string(list_sort(list(distinct part)), ',') as leaked_to from asg join orders on o_orderkey::varchar = record_id group by 1 having count(distinct part) > 1")
 def split_leakage_audit(spark, sf_dir):
-    return split.leakage(split_orders(spark, sf_dir))
-
-
-@query()
-def split_lane_balance(spark, sf_dir):
-    return split.lane_balance(split_orders(spark, sf_dir), t.SPLIT)
+    """Families never leak; days, on which several families order, do."""
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), F.col("o_orderdate").alias("day"))
+    return split.leakage(split_orders(spark, sf_dir).join(days, "record_id"), "day")
 
 
 BALANCE_SQL = """bal as (select lane, count(*)::bigint as total, count_if(part = 'train')::bigint as train, count_if(part = 'val')::bigint as val, count_if(part = 'test')::bigint as test from asg group by 1),
   pct as (select *, round(train * 100.0::double / total, 1) as train_pct, round(val * 100.0::double / total, 1) as val_pct, round(test * 100.0::double / total, 1) as test_pct from bal)"""
 
 
+@query(f"with recursive {SPLIT_SQL}, {BALANCE_SQL} select *, round(abs(train_pct - 70.0::double) + abs(val_pct - 15.0::double) + abs(test_pct - 15.0::double), 1) as deviation from pct")
+def split_lane_balance(spark, sf_dir):
+    return split.lane_balance(split_orders(spark, sf_dir), t.SPLIT)
+
+
 def keyed_split(spark, sf_dir):
     """An assignment by key arithmetic: leaky on purpose, for the audits."""
     h = F.col("id").cast("bigint") * 13 % 100
