@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loomery.config import ExportProfile, SplitProfile, TrainingProfile
 from loomery.functions import captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
-from loomery.operators import binding, boxes, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
+from loomery.operators import binding, boxes, briefing, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import briefs, testbed as t
 from loomery.sources import packages, readers, writers
 from loomery.sources.shared import checkpointed
@@ -798,3 +798,72 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+# ---- subjects and briefs of many workflows ------------------------------------------------------------
+
+ASKED_SQL = """asked as (select 'Doc-'||c_custkey as subject from customer union select 'SUBJECT_'||n_nationkey * 4 from nation union select null from region)"""
+MATCH_SQL = f"""{ASKED_SQL}, named as (select subject, translate(lower(subject), '-', '_') as name from asked),
+  hits as (select n.subject, r.id, max(case when lower(r.subject) = n.name then 'subject' else 'prefix' end) as matched_by from named n join rec r on lower(r.subject) = n.name or starts_with(lower(r.id), n.name) group by 1, 2)"""
+
+
+def asked_subjects(spark, sf_dir):
+    """Names that are prefixes of each other (Doc-1, Doc-12), names of subjects, and nulls."""
+    ids = table(spark, sf_dir, "customer").select(F.concat(F.lit("Doc-"), F.col("c_custkey").cast("string")).alias("subject"))
+    names = table(spark, sf_dir, "nation").select(F.concat(F.lit("SUBJECT_"), (F.col("n_nationkey") * 4).cast("string")).alias("subject"))
+    return ids.unionByName(names).unionByName(table(spark, sf_dir, "region").select(F.lit(None).cast("string").alias("subject")))
+
+
+def subjects_matched(spark, sf_dir):
+    return briefing.matched(asked_subjects(spark, sf_dir), t.records(spark, sf_dir), "identity.subject_name")
+
+
+@query(t.with_records("select subject, id, matched_by from hits", ", " + MATCH_SQL))
+def subject_match(spark, sf_dir):
+    return subjects_matched(spark, sf_dir)
+
+
+@query(t.with_records("""select subject, kind, line, row_number() over (partition by subject, kind order by id, pos) - 1 as index from (
+    select hits.subject, r.id, 'constraint' as kind, 1 as pos, 'faction: '||faction as line from hits join rec r using (id) where faction <> '' union all select hits.subject, r.id, 'anchor', 1, r.id from hits join rec r using (id) where status = 'approved')""", ", " + MATCH_SQL))
+def subject_context(spark, sf_dir):
+    return briefing.context(subjects_matched(spark, sf_dir), t.records(spark, sf_dir))
+
+
+FLOWS_SQL = """flow as (select p_partkey as n, 'flow_'||p_partkey as workflow_id,
+    case p_partkey % 3 when 0 then 'style_prefix, canon_focus ,subject_identity, lane_goal,controlled_variation' when 1 then 'lane_goal,style_prefix,unknown,canon_focus' else 'subject_identity,controlled_variation' end as structure,
+    [p_brand, p_type] as prefix, case when p_size % 5 = 0 then [] else string_split(p_name, ' ') end as optional,
+    list_filter(['clarity', 'balance', 'detail', 'palette'], lambda f: (case f when 'clarity' then p_size & 1 when 'balance' then p_size & 2 when 'detail' then p_size & 4 else p_size & 8 end) > 0) as focus,
+    case when p_size % 3 = 0 then ['blur', 'text'] end as must, ['faction: fr', p_brand] as subject_avoid, case when p_size % 4 = 0 then ['Too little detail', 'keep shape'] end as guards from part)"""
+BRIEFS_SQL = f"""{MATCH_SQL}, {FLOWS_SQL},
+  lines as (select hits.subject, list('faction: '||faction order by r.id) as said from hits join rec r using (id) where faction <> '' group by 1),
+  own as (select f.workflow_id, r.ord, r.rule_id, d.about, d.bad from flow f join rules r on len(list_intersect(r.dims, f.focus)) > 0
+    join (values ('SIL-001', 'Outline reads at once', 'Outline fails at %'), ('MAT-001', 'Materials fit the group', null), ('PAL-001', 'Palette Stays In Range', 'Off palette (%)'), ('SHP-001', 'Shapes agree', null), ('DET-001', 'Detail is useful', 'Too little detail')) d(rule_id, about, bad) on d.rule_id = r.rule_id),
+  per as (select f.*, coalesce((select string_agg(about, ', ' order by ord) from own o where o.workflow_id = f.workflow_id), '') as said,
+    coalesce((select list('['||rule_id||'] '||about order by rule_id) from own o where o.workflow_id = f.workflow_id), []) as constraints,
+    list_concat(coalesce(guards, []), coalesce((select list('['||rule_id||'] '||bad order by ord) from own o where o.workflow_id = f.workflow_id and bad is not null and not list_contains(coalesce(f.guards, []), bad)), [])) as warnings from flow f),
+  brief as (select p.*, 'brief_'||n as brief_id, case when n % 4 > 0 then 'lane '||(n % 4) end as lane, case when n % 2 = 0 then 'Doc-'||(n % 50) end as subject from per p)"""
+
+
+def workflows(spark, sf_dir):
+    """Parts as workflows: names, brands and types as words, focuses by the bits of their size."""
+    size, key, words = F.col("p_size"), F.col("p_partkey"), lambda *x: F.array(*map(F.lit, x))
+    structure = F.when(key % 3 == 0, "style_prefix, canon_focus ,subject_identity, lane_goal,controlled_variation").when(key % 3 == 1, "lane_goal,style_prefix,unknown,canon_focus").otherwise("subject_identity,controlled_variation")
+    focus = F.array_compact(F.array(*(F.when(size.bitwiseAND(F.lit(1 << i)) > 0, name) for i, name in enumerate(("clarity", "balance", "detail", "palette")))))
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("flow_"), key.cast("string")).alias("workflow_id"), structure.alias("structure"), F.array("p_brand", "p_type").alias("style_prefix"), F.when(size % 5 != 0, F.split("p_name", " ")).alias("optional_blocks"), focus.alias("canon_focus"),
+        F.when(size % 3 == 0, words("blur", "text")).alias("must_avoid"), F.lit(None).cast("array<string>").alias("lane_specific_avoid"), F.array(F.lit("faction: fr"), "p_brand").alias("subject_specific_avoid"), F.when(size % 4 == 0, words("Too little detail", "keep shape")).alias("drift_guards"), key.alias("n"),
+    )
+
+
+@query(t.with_records("""select brief_id, workflow_id, array_to_string(list_filter(list_transform(string_split(structure, ','), lambda s: coalesce(case trim(s) when 'style_prefix' then array_to_string(prefix, ', ') when 'canon_focus' then b.said
+      when 'subject_identity' then array_to_string(l.said, ', ') when 'lane_goal' then lane when 'controlled_variation' then array_to_string(optional, ', ') end, '')), lambda x: x <> ''), ', ') as prompt,
+    array_to_string(list_concat(coalesce(must, []), subject_avoid), ', ') as negative_prompt, array_to_string(constraints, '; ') as constraints, array_to_string(warnings, '; ') as warnings
+  from brief b left join lines l on l.subject = b.subject""", ", " + BRIEFS_SQL))
+def briefs_compiled(spark, sf_dir):
+    """A brief for every workflow, half of them with a subject."""
+    flows = workflows(spark, sf_dir)
+    lane, subject = F.when(F.col("n") % 4 > 0, F.concat(F.lit("lane "), (F.col("n") % 4).cast("string"))), F.when(F.col("n") % 2 == 0, F.concat(F.lit("Doc-"), (F.col("n") % 50).cast("string")))
+    asked = flows.select(F.concat(F.lit("brief_"), F.col("n").cast("string")).alias("brief_id"), "workflow_id", lane.alias("lane"), subject.alias("subject"))
+    lines = briefing.context(subjects_matched(spark, sf_dir), t.records(spark, sf_dir))
+    made = briefing.compiled(asked, flows.drop("n"), briefing.rule_table(spark, t.RULES), lines)
+    return made.select("brief_id", "workflow_id", "prompt", "negative_prompt", joined(F.col("constraints"), "; ").alias("constraints"), joined(F.col("warnings"), "; ").alias("warnings"))
