@@ -13,7 +13,7 @@ Two words at one edit agree in the first or in the last half of the longer one,
 second trie holds the reversed words, and in both the frontier starts in a word's second half
 only. That bounds what branches: no state starts at the crowded nodes near the
 root. A level is one equi-join; their number is that of branching nodes below
-the edit, not that of code points, so words of any length take few levels. Nodes
+the edit (each edge also holds 64 bits for what the words below it go on with, which ends most states early), not that of code points, so words of any length take few levels. Nodes
 that share a hash merge, which can only add candidates; an exact distance on the
 words themselves decides.
 """
@@ -148,6 +148,11 @@ def _from(text: str, at: str) -> Column:
     return F.expr(f"substring({text}, {at} + 1, {text}_size)")
 
 
+def _signature(text: str, at: str) -> Column:
+    """One of 64 bits for what follows a position: the next two code points, and how many are left."""
+    return F.expr(f"cast(pmod(xxhash64(substring({text}, {at} + 1, 2), {text}_size - {at}), 64) as int)")
+
+
 def neighbours(words: DataFrame) -> DataFrame:
     """(wid, other) for each ordered pair of words at one edit; ``words`` has one row a word: wid bigint, word string."""
     prefixes = words.select("wid", "word").mapInArrow(_prefixes, "wid bigint, back boolean, depth int, node bigint, after int")
@@ -157,27 +162,30 @@ def neighbours(words: DataFrame) -> DataFrame:
     s = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
     paths = written(words.join(hops, "wid").select("wid", s.alias("s"), F.length("word").alias("s_size"), "hops"), "paths")
 
-    steps = paths.selectExpr("s", "explode(transform(slice(hops, 1, size(hops) - 1), (h, i) -> struct(h as a, hops[i + 1] as b))) as step")
+    steps = paths.selectExpr("s", "s_size", "explode(transform(slice(hops, 1, size(hops) - 1), (h, i) -> struct(h as a, hops[i + 1] as b))) as step")
     label = F.expr("substring(s, step.a.depth + 1, step.b.depth - step.a.depth)").alias("label")
-    edges = written(steps.select(F.col("step.a.node").alias("node"), F.col("step.b.node").alias("child"), label).dropDuplicates(["node", "child"]), "edges")
+    each = steps.select(F.col("step.a.node").alias("node"), F.col("step.b.node").alias("child"), label, _signature("s", "step.b.depth").alias("bit"))
+    edges = written(each.groupBy("node", "child", "label").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("below")), "edges")
     ends = paths.selectExpr("wid as other", "element_at(hops, -1).node as node")
 
+    # a state stays only if some word below its node goes on alike
+    hopeful = F.getbit("below", _signature("s", "pos")) == 1
     start = paths.selectExpr("wid", "s", "s_size", "explode(filter(hops, h -> h.depth >= s_size div 2)) as hop").selectExpr("wid", "s", "s_size", "hop.depth as pos", "hop.node as node")
     fork = start.join(edges.withColumn("label_size", F.length("label")), "node").where("substring(label, 1, 1) <> substring(s, pos + 1, 1)")
     replaced = F.expr("pos < s_size") & F.startswith(_from("s", "(pos + 1)"), _from("label", "1"))
     inserted = F.startswith(_from("s", "pos"), _from("label", "1"))
     deleted = F.expr("pos < s_size") & F.startswith(_from("s", "(pos + 1)"), F.col("label"))
     to = [F.when(replaced, F.col("pos") + F.col("label_size")), F.when(inserted, F.col("pos") + F.col("label_size") - 1), F.when(deleted, F.col("pos") + 1 + F.col("label_size"))]
-    spent = fork.select("wid", "s", "s_size", F.explode(F.array_compact(F.array(*to))).alias("pos"), F.col("child").alias("node"))
+    spent = fork.select("wid", "s", "s_size", F.explode(F.array_compact(F.array(*to))).alias("pos"), F.col("child").alias("node"), "below").where(hopeful).drop("below")
     # the other word may end where this one has one more code point
     shorter = start.where("pos = s_size - 1").selectExpr("wid", "s", "s_size", "s_size as pos", "node")
     states = written(spent.unionByName(shorter).withColumn("edits", F.lit(1)), "states")
     ended = [states]
-    step = edges.select(F.col("node"), F.substring("label", 1, 1).alias("next"), "label", "child")
+    step = edges.select(F.col("node"), F.substring("label", 1, 1).alias("next"), "label", "child", "below")
     while True:
         ongoing = states.where("pos < s_size").withColumn("next", F.expr("substring(s, pos + 1, 1)"))
         moved = ongoing.join(step, ["node", "next"]).where(F.startswith(_from("s", "pos"), F.col("label")))
-        states = written(moved.select("wid", "s", "s_size", (F.col("pos") + F.length("label")).alias("pos"), F.col("child").alias("node"), "edits"), "states")
+        states = written(moved.select("wid", "s", "s_size", (F.col("pos") + F.length("label")).alias("pos"), F.col("child").alias("node"), "edits", "below").where(hopeful).drop("below"), "states")
         if states.isEmpty():
             break
         ended.append(states)
