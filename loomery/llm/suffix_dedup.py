@@ -44,13 +44,14 @@ A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """Hash of each run of ``gram`` bytes: two halves of a power of two, which overlap where they must."""
-    now, size = (data.astype(np.uint64) + np.uint64(1)) * A, 1
+    now, size = data.astype(np.uint64), 1
     while size < gram:
         step = min(size, gram - size)
-        now = now[:-step] * A + (now[step:] ^ (now[step:] >> np.uint64(29))) * B
-        now ^= now >> np.uint64(32)
+        # up to eight bytes fit as they are
+        now = now[:-step] | now[step:] << np.uint64(8 * step) if size + step <= 8 and step == size else now[:-step] * A + now[step:]
         size += step
-    return now * B ^ (now >> np.uint64(31))
+    now = (now ^ (now >> np.uint64(32))) * B
+    return now ^ (now >> np.uint64(29))
 
 
 def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
@@ -63,31 +64,53 @@ def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def segments(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(anchor, first start, number of starts, again) of the runs of windows with one anchor, in order; very long runs are cut.
+def packs(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts laid end to end, some ``CHUNK`` bytes at a time: (bytes, text of each part, its first byte there, its offset in the text). Longer texts come in parts that overlap by a window less one."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
 
-    again: the anchor stands more than once near the run, so that its own windows may repeat each other.
+    def out() -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        ends = np.cumsum([len(d) for _, _, d in held])
+        return b"".join([d for _, _, d in held]), np.array([i for i, _, _ in held]), ends - [len(d) for _, _, d in held], np.array([at for _, at, _ in held])
+
+    for i, text in enumerate(texts):
+        for at in range(0, len(text) - length + 1, CHUNK):
+            held.append((i, at, text[at : at + CHUNK + length - 1]))
+            size += len(held[-1][2])
+            if size >= CHUNK:
+                yield out()
+                held, size = [], 0
+    if held:
+        yield out()
+
+
+def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, anchor, first start, number of starts, again) of the runs of windows with one anchor, in order; very long runs are cut.
+
+    again: the anchor stands more than once thereabouts, so that a run's own windows may repeat each other.
     """
-    found: list[tuple[np.ndarray, ...]] = []
-    windows = len(data) - length + 1
-    for at in range(0, windows, CHUNK):
-        part = data[at : min(windows, at + CHUNK) + length - 1]
-        hashes, width = gram_hashes(part, gram), length - gram + 1
+    for data, text, start, offset in packs(texts, length):
+        hashes, width = gram_hashes(np.frombuffer(data, np.uint8), gram), length - gram + 1
         low = sliding(np.minimum, hashes, width)
         edge = np.zeros(width - 1, np.uint64)
         held = np.sort(hashes[hashes == sliding(np.maximum, np.concatenate([edge, low, edge]), width)])  # all places of anchors
-        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        # windows over the end of a part belong to no text
+        stop = np.append(start[1:], len(data)) - length + 1
+        border = np.zeros(len(low) + 1, bool)
+        border[[*start, *stop]] = True
+        border[1:-1] |= low[1:] != low[:-1]
+        first = np.flatnonzero(border[:-1])
         size = np.diff(np.append(first, len(low)))
+        part = np.searchsorted(start, first, side="right") - 1
+        inside = first < stop[part]
+        first, size, part = first[inside], size[inside], part[inside]
         cuts = (size - 1) // MOST_STARTS + 1
         if (cuts > 1).any():
             nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-            end = np.repeat(first + size, cuts)
+            end, part = np.repeat(first + size, cuts), np.repeat(part, cuts)
             first = np.repeat(first, cuts) + nth * MOST_STARTS
             size = np.minimum(end - first, MOST_STARTS)
-        found.append((low[first], first + at, size, np.isin(low[first], held[1:][held[1:] == held[:-1]])))
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    return tuple(np.concatenate(x) for x in zip(*found))
+        yield text[part], low[first], first - start[part] + offset[part], size, np.isin(low[first], held[1:][held[1:] == held[:-1]])
 
 
 def suffix_order(code: np.ndarray, depth: int) -> np.ndarray:
@@ -189,17 +212,17 @@ def repeated(texts: DataFrame, length: int, grams: tuple[int, ...], shard_bytes:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
-            for i in range(len(batch)):
-                data = batch.column(3)[i].as_py()
-                anchor, first, count, again = segments(np.frombuffer(data, np.uint8), length, grams[0])
-                if not len(first):
-                    continue
-                digest = xxhash.xxh3_128_digest
-                prints = b"".join([digest(data[a:b]) for a, b in zip(first.tolist(), (first + count + length - 1).tolist())])
-                s = np.frombuffer(prints, "<i8").reshape(-1, 2)
-                own = [pa.array(np.full(len(first), batch.column(c)[i].as_py())) for c in (0, 1, 2, 4)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(first), pa.array(count, pa.int32()), pa.array(anchor.view(np.int64)), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), pa.array(again)], placed_in.names)
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                texts = part.column(3).to_pylist()
+                keys = [part.column(c).to_numpy() for c in (0, 1, 2, 4)]
+                for text, anchor, first, count, again in segments(texts, length, grams[0]):
+                    ends = (first + count + length - 1).tolist()
+                    s = np.frombuffer(b"".join([digest(texts[i][a:b]) for i, a, b in zip(text.tolist(), first.tolist(), ends)]), "<i8").reshape(-1, 2)
+                    arrays = [*(k[text] for k in keys), first, count.astype(np.int32), anchor.view(np.int64), s[:, 0].copy(), s[:, 1].copy(), again]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], placed_in.names)
 
     placed_in = fields_and([], "k0 bigint, k1 bigint, k2 bigint, weight bigint, start bigint, n int, anchor bigint, s1 bigint, s2 bigint, again boolean")
     places = written(texts.select(*KEY, "data", "weight").mapInArrow(cut, placed_in), "places")

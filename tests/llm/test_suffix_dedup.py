@@ -76,8 +76,14 @@ def test_anchors(gram, monkeypatch):
     for i, h in enumerate(suffix_dedup.gram_hashes(data, gram)):
         assert hashes.setdefault(bytes(data[i : i + gram]), h) == h
     assert len(set(hashes.values())) == len(hashes)
-    anchor, first, size, again = suffix_dedup.segments(data, 100, gram)
-    assert first[0] == 0 and (first[1:] == (first + size)[:-1]).all() and size.sum() == len(data) - 99 and size.max() <= 50
-    assert again[-1] and anchor.dtype == np.uint64
-    for a, f, n in zip(anchor, first, size):
-        assert all(min(hashes[bytes(data[j : j + gram])] for j in range(i, i + 101 - gram)) == a for i in (f, f + n - 1))
+    for texts in ([data.tobytes()], [b"a" * 50, data.tobytes()[:150], b"", data.tobytes(), data.tobytes()[5:120], b"b" * 99]):
+        found = [np.concatenate(x) for x in zip(*suffix_dedup.segments(texts, 100, gram))]
+        for i, text in enumerate(texts):
+            anchor, first, size, again = (x[found[0] == i] for x in found[1:])
+            assert size.sum() == max(0, len(text) - 99) and (size <= 50).all()
+            if len(text) < 100:
+                continue
+            assert first[0] == 0 and (first[1:] == (first + size)[:-1]).all()
+            assert len(text) < 900 or again[-1]
+            for a, f, n in zip(anchor, first, size):
+                assert all(min(hashes[text[j : j + gram]] for j in range(i, i + 101 - gram)) == a for i in (f, f + n - 1))
