@@ -11,8 +11,8 @@ from loomery.functions import captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
 from loomery.operators import binding, boxes, briefing, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import briefs, testbed as t
-from loomery.sources import packages, readers, writers
-from loomery.sources.shared import checkpointed
+from loomery.sources import builds, packages, readers, state, writers
+from loomery.sources.shared import checkpointed, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -464,10 +464,15 @@ def cache_anti_join(spark, sf_dir):
     return fresh.select("id")
 
 
-@query("select n as schema_kind, 'v2' as schema_version from (values ('deity'), ('location'), ('ship')) x(n) where (select count(*) from pages) > 0")
+KIND_SQL = "['" + "', '".join(captions.ENTITY_KINDS) + "'][page_id % 8 + 1]"
+
+
+@query(f"with v as (select {KIND_SQL} as schema_kind, 'v'||(max(page_id) // 8 % 3) as now, 'v'||(min(page_id + length(html)) % 3) as before from pages group by 1) select schema_kind, now as schema_version from v where now <> before")
 def changed_schemas(spark, sf_dir):
-    now = pages_as_entries(spark, sf_dir).select("schema_kind", F.when(F.col("schema_kind").isin("deity", "location", "ship"), "v2").otherwise("v1").alias("schema_version"))
-    return canon.changed_schemas(now, now.select("schema_kind", F.lit("v1").alias("schema_version")))
+    """Versions that each kind's last and first page make."""
+    pages, last = pages_as_entries(spark, sf_dir), lambda n: F.concat(F.lit("v"), (n % 3).cast("string"))
+    by_kind = pages.groupBy("schema_kind").agg(last(F.floor(F.max("id") / 8)).alias("now"), last(F.min(F.col("id") + F.length("source"))).alias("before"))
+    return canon.changed_schemas(by_kind.select("schema_kind", F.col("now").alias("schema_version")), by_kind.select("schema_kind", F.col("before").alias("schema_version")))
 
 
 def event_log(spark, sf_dir):
@@ -792,6 +797,56 @@ def safe_names(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), html_escaped(F.col("html")).alias("escaped"), safe_path(F.col("url")).alias("safe"))
 
 
+# ---- state that changes are merged into ----------------------------------------------------------------
+
+BUILD = builds.BuildPlan('{"to": "rows"}', "fp", {"ship": {"lane": "hull"}, "relic": {"field": "lane"}}, {"relic": ["size", "brand"]}, "house style", buckets=4)
+BUILD_SQL = """e as (select p_partkey as n, 'part_'||p_partkey as entity_id, case when p_partkey % 2 = 0 then 'hull' else p_type end as lane, case p_partkey % 4 when 0 then 'frozen' when 1 then 'soft-advisory' else 'auto' end as freeze_status,
+  case when p_partkey % 7 = 0 then p_size + 1 else p_size end as was, '{"brand":"'||p_brand||'","lane":"'||p_type||'","size":'||p_size||',"freeze":{"status":"'||case p_partkey % 4 when 0 then 'frozen' when 1 then 'soft-advisory' else 'bogus' end||'"}}' as source, p_size, p_brand from part)"""
+
+
+def built(spark, sf_dir):
+    """Two builds in a row over parts: sizes change, some parts are new in the second one, others are gone."""
+    root, n = scratch(spark, "build"), F.col("p_partkey")
+    status = F.when(n % 4 == 0, "frozen").when(n % 4 == 1, "soft-advisory").otherwise("bogus")
+    kind = F.when(n % 2 == 0, "ship").otherwise("relic")
+
+    def entries(size):
+        entry = F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_type").alias("lane"), size.alias("size"), F.struct(status.alias("status")).alias("freeze")))
+        return table(spark, sf_dir, "part").select(F.concat(F.lit("part_"), n.cast("string")).alias("id"), kind.alias("schema_kind"), entry.alias("entry"), entry.alias("source"), F.lit("v1").alias("schema_version"), n.alias("n"))
+
+    changed = F.when(n % 7 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    builds.run(entries(changed).where("n % 10 <> 9").drop("n"), root, BUILD, "first")
+    done = builds.run(entries(F.col("p_size")).where("n % 31 <> 5").drop("n"), root, BUILD, "second")
+    return root, done
+
+
+@query(f"with {BUILD_SQL} select entity_id, lane, freeze_status, sha256(source||chr(0)||'v1'||chr(0)||'{BUILD.config_text}'||chr(0)||'fp') as entry_hash, sha256('{{\"schema_version\":\"v1\",\"watched\":{{'||case when n % 2 = 1 then '\"brand\":\"'||p_brand||'\",\"size\":'||p_size else '' end||'}}}}') as watch_hash from e where n % 31 <> 5")
+def canon_build(spark, sf_dir):
+    root, _ = built(spark, sf_dir)
+    return builds.rows(spark, root).select("entity_id", "lane", "freeze_status", "entry_hash", "watch_hash")
+
+
+@query(f"""with {BUILD_SQL} select name, n from (select count_if(n % 31 <> 5)::bigint as total, count_if(n % 31 <> 5 and (n % 7 = 0 or n % 10 = 9))::bigint as rebuilt, count_if(n % 31 <> 5 and n % 7 <> 0 and n % 10 <> 9)::bigint as cached,
+  count_if(n % 31 = 5 and n % 10 <> 9)::bigint as removed, count_if(n % 31 <> 5 and n % 7 = 0 and n % 10 <> 9 and n % 4 = 1)::bigint as drifted from e) unpivot (n for name in (total, rebuilt, cached, removed, drifted))""")
+def canon_build_stats(spark, sf_dir):
+    _, done = built(spark, sf_dir)
+    rows = {"total": done.entities_total, "rebuilt": done.entities_rebuilt, "cached": done.entities_cached, "removed": done.removed, "drifted": len(done.drifted)}
+    return spark.createDataFrame(list(rows.items()), "name string, n bigint")
+
+
+@query(t.with_records("select id, case when n % 10 = 3 then 'rejected' when status is null and n % 3 = 0 then 'borderline' else status end as status, case when n % 10 = 3 or (status is null and n % 3 = 0) then 'second' else 'first' end as round from rec where n % 13 <> 1 and (status is not null or n % 10 = 3 or n % 3 = 0)"))
+def judgment_merge(spark, sf_dir):
+    """Judgments merged in two rounds and some withdrawn: the state that is left."""
+    path = scratch(spark, "judgments")
+    n = F.regexp_extract("id", "doc_([0-9]+)_", 1).cast("bigint")
+    records = t.records(spark, sf_dir).select("id", n.alias("n"), F.col("judgment.status").alias("status"))
+    state.judged(path, records.where("status is not null").select("id", "status", F.lit("first").alias("round")), 16)
+    second = records.where("n % 13 <> 1 and (n % 10 = 3 or (status is null and n % 3 = 0))").select("id", F.when(F.col("n") % 10 == 3, "rejected").otherwise("borderline").alias("status"), F.lit("second").alias("round"))
+    changes = state.bucketed(second, ["id"], 16)
+    state.upsert(path, changes, ["id"], [state.BUCKET], records.where("n % 13 = 1").select("id"))
+    return state.read(spark, path, changes.schema).drop(state.BUCKET)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

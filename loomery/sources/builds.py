@@ -67,7 +67,7 @@ def run(
 ) -> Built:
     """Build the entries (id, schema_kind, entry, source, schema_version) into ``root``.
 
-    ``root`` holds rows (the training rows of all entries, by lane and bucket), cache (renderings by entry hash) and
+    ``root`` holds rows (the training rows of all entries, by lane and bucket), cache (renderings by entry hash and id) and
     manifest.json. An entry whose hash is in the cache isn't rendered again, unless ``full``,
     ``no_cache`` or a new schema version says so; rows that don't change keep their partition's files. ``only`` (id) builds these
     entries and leaves the rest; without it entries that are gone lose their rows. Drift compares the
@@ -97,13 +97,16 @@ def run(
     rendered_schema = rows_now(now).select("entry_hash", *kept).schema
     cache = state.read(spark, cache_path, rendered_schema)
     full_run = full or no_cache or changed_schema
-    fresh = now if full_run else canon.to_build(now, cache)[0]
+    # equal sources of two entries have one hash, so a rendering belongs to hash and id
+    cached = cache.select("entry_hash", F.col("entity_id").alias("id"))
+    fresh = now if full_run else now.join(cached, ["entry_hash", "id"], "left_anti")
     counts = fresh.agg(F.count("*")).first()[0]
     total = now.agg(F.count("*"), F.count_if(F.col("freeze_status") != "auto")).first()
 
     made = rows_now(fresh).select("entry_hash", *kept)
-    held = cache.join(fresh.select("entry_hash").distinct(), "entry_hash", "left_anti").join(now.select("entry_hash").distinct(), "entry_hash", "left_semi")
-    lines = made.unionByName(held).join(now.select("entry_hash", "id", "freeze_status", "watch_fields", "watch_hash"), "entry_hash").where("entity_id = id").drop("id")
+    held = cache.join(fresh.select("entry_hash", F.col("id").alias("entity_id")), ["entry_hash", "entity_id"], "left_anti")
+    stamps = now.select("entry_hash", F.col("id").alias("entity_id"), "freeze_status", "watch_fields", "watch_hash")
+    lines = made.unionByName(held).join(stamps, ["entry_hash", "entity_id"])
     target = state.bucketed(lines, ["entity_id"], plan.buckets)
     old = state.read(spark, rows_path, target.schema)
     drifted = canon.drift(now, old.where("freeze_status <> 'auto'").select(F.col("entity_id").alias("id"), F.col("watch_hash").alias("witness_hash"))).where("drift = 'drifted'")
@@ -113,7 +116,7 @@ def run(
         return Built(generated_from, total[0], total[0] - counts, counts, 0, total[1], drift, changed_schema, (), True)
     # renderings first: a build that fails after this finds them again
     if not no_cache and counts:
-        made.dropDuplicates(["entry_hash"]).join(cache.select("entry_hash"), "entry_hash", "left_anti").write.mode("append").parquet(cache_path)
+        made.join(cache.select("entry_hash", "entity_id"), ["entry_hash", "entity_id"], "left_anti").write.mode("append").parquet(cache_path)
     merged = state.upsert(rows_path, target, ["entity_id"], ["lane", state.BUCKET], gone)
     built = Built(generated_from, total[0], total[0] - counts, counts, merged.deleted, total[1], drift, changed_schema, merged.rewritten)
     manifest = {"schema_version": MANIFEST_VERSION, "generated_from": generated_from, "schema_versions": known | versions if only is not None else versions, "project_config_fingerprint": plan.project_fingerprint}

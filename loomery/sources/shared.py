@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -16,3 +17,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomery-"))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder of its own in spark.checkpoint.dir, for state that a query builds and reads."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="loomery-")
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
