@@ -12,7 +12,7 @@ from loomery.config import ExportProfile, InputError, TrainingProfile
 from loomery.functions.captions import style_trigger
 from loomery.functions.scalars import safe_path, truthy
 from loomery.operators import export, rows as row_ops
-from loomery.sources import writers
+from loomery.sources import sink, writers
 from loomery.sources.readers import MANIFEST_VERSION
 
 PARTS = ("train", "val", "test")
@@ -24,17 +24,13 @@ def _fresh(spark: SparkSession, path: str, code: str) -> None:
         raise InputError(code, f"{path} is there already", "take a fresh identifier")
 
 
-def _text(spark: SparkSession, name: str, content: str) -> DataFrame:
-    return spark.createDataFrame([(name, content.encode())], "name string, content binary")
-
-
-def _json(spark: SparkSession, name: str, value: dict[str, Any]) -> DataFrame:
-    return _text(spark, name, json.dumps(value, indent=2, ensure_ascii=False) + "\n")
+def _json(spark: SparkSession, path: str, value: dict[str, Any]) -> None:
+    writers.put(spark, path, json.dumps(value, indent=2, ensure_ascii=False) + "\n")
 
 
 def _with_checksums(spark: SparkSession, path: str) -> None:
-    """checksums over all files written so far, one line each, as a folder of text beside them."""
-    writers.checksums(spark, path).select("line").coalesce(1).write.mode("errorifexists").text(f"{path}/checksums")
+    """checksums over all files written so far, a line each, as a folder of text whose parts follow each other in order of names."""
+    writers.checksums(spark, path).select("line").write.mode("errorifexists").text(f"{path}/checksums")
 
 
 def drift_error(snapshot_fingerprint: str | None, current: str) -> None:
@@ -55,12 +51,15 @@ def image_plan(selected: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def export_package(
-    spark: SparkSession, path: str, included: DataFrame, located: DataFrame, assigned: DataFrame, profile: ExportProfile, ids: dict[str, str], snapshot_fingerprint: str | None, current_fingerprint: str, images: DataFrame | None = None, card: str | None = None
+    spark: SparkSession, path: str, included: DataFrame, located: DataFrame, assigned: DataFrame, profile: ExportProfile, ids: dict[str, str], snapshot_fingerprint: str | None, current_fingerprint: str, images: DataFrame | None = None, card: str | None = None, assets: str | None = None, placement: str = "copy"
 ) -> dict[str, Any]:
     """Write an export and return its manifest.
 
-    included: (record_id); located: records with lane and grp; assigned: (record_id, part, ...); images: (path, content) of
-    assets, without which images are only planned. ids: export_id, snapshot_id, split_id, created_at, project.
+    included: (record_id); located: records with lane and grp; assigned: (record_id, part, ...). ids: export_id,
+    snapshot_id, split_id, created_at, project. Images come from ``images`` (path, content), or from the folder
+    ``assets``, copied or linked by ``placement``; without either they are only planned. One that can't be placed
+    is a row of images/_failures, a warning and a count. The package shows
+    when it is whole; a failed one leaves nothing.
     """
     _fresh(spark, path, "EXPORT_ID_COLLISION")
     drift_error(snapshot_fingerprint, current_fingerprint)
@@ -68,34 +67,42 @@ def export_package(
     chosen = located.join(included.select(F.col("record_id").alias("id")).distinct(), "id", "left_semi").select("id", "asset_path")
     if profile.include_images and (bad := unsafe_assets(chosen).head(1)):
         raise InputError("ASSET_PATH_INVALID", f"asset path of {bad[0]['id']} leads out of the project: {bad[0]['asset_path']}")
-    rows.write.mode("errorifexists").json(f"{path}/metadata")
-    expected, placed, failed = 0, 0, []
-    if profile.include_images:
-        listing = images.select("path") if images is not None else spark.createDataFrame([], "path string")
-        plan = image_plan(chosen, listing).where(F.col("status") != "no_asset")
-        counts = plan.agg(F.count("*"), F.count_if(F.col("status") != "placed")).first()
-        expected = counts[0]
-        if images is not None:
-            found = plan.where(F.col("status") == "placed").join(images.select(F.col("path").alias("asset_path"), "content"), "asset_path")
-            placed = writers.write_files(found.select(F.col("file").alias("name"), "content"), path)
-        # the manifest names the first failures only; all of them are a relation of the package
-        missing = plan.where(F.col("status") != "placed").select(F.col("id").alias("record_id"), F.col("status").alias("reason"))
-        if counts[1]:
-            missing.write.mode("errorifexists").json(f"{path}/images_failed")
-        failed = [r.asDict() for r in missing.orderBy("record_id").limit(10).collect()]
-    if profile.include_splits:
-        assigned.where(F.col("part").isin(*PARTS)).write.mode("errorifexists").partitionBy("part").json(f"{path}/splits")
-    if profile.include_card and card is not None:
-        writers.write_files(_text(spark, "dataset-card.md", card), path)
-    warnings = [f"{counts[1]} of {expected} images failed to place"] if profile.include_images and counts[1] else []
-    manifest = {
-        "schema_version": MANIFEST_VERSION, **ids, "config_fingerprint": snapshot_fingerprint or current_fingerprint, "profile": profile.__dict__ | {"metadata_fields": list(profile.metadata_fields)}, "warnings": warnings,
-        "counts": {"records": rows.count(), "images": placed, "images_expected": expected, "images_actual": placed, "images_failed": counts[1] if profile.include_images else 0}, "images_failed": failed,
-    }
-    writers.write_files(_json(spark, "manifest.json", manifest), path)
-    if profile.include_checksums:
-        _with_checksums(spark, path)
-    return manifest
+    made: list[dict[str, Any]] = []
+
+    def write(staged: str) -> None:
+        rows.write.mode("errorifexists").json(f"{staged}/metadata")
+        written = spark.read.schema(rows.schema).json(f"{staged}/metadata").count() if rows.columns else 0
+        report: dict[str, Any] = {"counts": {}, "sample": []}
+        if profile.include_images:
+            wanted = chosen.where(truthy(F.col("asset_path")).isNotNull())
+            name = F.concat("id", F.regexp_extract("asset_path", r"(\.[^./\\]+)\z", 1)).alias("name")
+            files = wanted.select(F.col("id").alias("record_id"), name, "asset_path")
+            if assets is not None:
+                report = sink.place(files.withColumn("source", F.concat(F.lit(f"{sink.qualified(spark, assets)}/"), "asset_path")), f"{staged}/images", placement)
+            elif images is not None:
+                report = sink.place(files.join(images.select(F.col("path").alias("asset_path"), "content"), "asset_path", "left"), f"{staged}/images", placement)
+            else:
+                report["counts"] = {"source_missing": files.count()}
+                report["sample"] = [{"record_id": r["record_id"], "reason": "source_missing"} for r in files.orderBy("record_id").limit(10).collect()]
+        if profile.include_splits:
+            assigned.where(F.col("part").isin(*PARTS)).write.mode("errorifexists").partitionBy("part").json(f"{staged}/splits")
+        if profile.include_card and card is not None:
+            writers.put(spark, f"{staged}/dataset-card.md", card)
+        expected, placed = sum(report["counts"].values()), report["counts"].get("placed", 0)
+        warnings = ["images are links: the package can't be moved to another machine"] if placement == "link" and placed else []
+        warnings += [f"{expected - placed} of {expected} images failed to place"] if expected > placed else []
+        manifest = {
+            "schema_version": MANIFEST_VERSION, **ids, "config_fingerprint": snapshot_fingerprint or current_fingerprint, "profile": profile.__dict__ | {"metadata_fields": list(profile.metadata_fields)}, "warnings": warnings,
+            "counts": {"records": written, "images": placed, "images_expected": expected, "images_actual": placed, "images_failed": expected - placed},
+            "images_failed": [{"record_id": f["record_id"], "reason": f["reason"]} for f in report["sample"]],
+        }
+        _json(spark, f"{staged}/manifest.json", manifest)
+        if profile.include_checksums:
+            _with_checksums(spark, staged)
+        made.append(manifest)
+
+    writers.swapped(spark, path, write)
+    return made[0]
 
 
 # The training job that the trainer reads; a profile's hyperparameters take the place of the first three.
@@ -136,22 +143,30 @@ def training_package(
     """
     _fresh(spark, path, "TRAINING_PACKAGE_ID_COLLISION")
     placed, audit = writers.adapted(rows, profile, images.select("path"))
-    audit.write.mode("errorifexists").partitionBy("partition").json(f"{path}/metadata")
-    content = placed.join(images.select(F.col("path").alias("asset_path"), "content"), "asset_path").select(F.col("file").alias("name"), "content")
-    n_images = writers.write_files(content, path)
-    if profile.adapter in writers.WITH_SIDECARS:
-        writers.write_files(writers.sidecars(placed), path)
-    if profile.adapter == "ai-toolkit":
-        import yaml
-
-        writers.write_files(_text(spark, "ai-toolkit-config.yaml", yaml.safe_dump(training_job(profile, ids.get("source_export_id")), sort_keys=False)), path)
-    counts = {r["partition"]: r["n"] for r in row_ops.partition_counts(row_ops.for_profile(rows, profile)).collect()}
-    manifest = {
-        "schema_version": MANIFEST_VERSION, **ids, "training_profile_id": profile.profile_id, "adapter_target": profile.adapter, "config_fingerprint": config_fingerprint,
-        "counts": {"total_records": sum(counts.values()), **{p: counts.get(p, 0) for p in PARTS}, "images": n_images},
-    }
-    writers.write_files(_json(spark, "manifest.json", manifest), path)
-    said = readme(manifest) if readme else f"# {ids.get('training_package_id')}\n\n{manifest['counts']['total_records']} rows, {n_images} images, adapter {profile.adapter}.\n"
-    writers.write_files(_text(spark, "README.md", said), path)
-    _with_checksums(spark, path)
-    return manifest
+    made: list[dict[str, Any]] = []
+
+    def write(staged: str) -> None:
+        audit.write.mode("errorifexists").partitionBy("partition").json(f"{staged}/metadata")
+        files = placed.join(images.select(F.col("path").alias("asset_path"), "content"), "asset_path", "left").select(F.col("entity_id").alias("record_id"), F.substring("file", len("dataset/") + 1, 4096).alias("name"), "content")
+        if profile.adapter in writers.WITH_SIDECARS:
+            files = files.unionByName(writers.sidecars(placed).select(F.lit(None).cast("string").alias("record_id"), F.substring("name", len("dataset/") + 1, 4096).alias("name"), "content"))
+        report = sink.place(files, f"{staged}/dataset")
+        sidecars = placed.count() if profile.adapter in writers.WITH_SIDECARS else 0
+        n_images = report["counts"]["placed"] - sidecars
+        if profile.adapter == "ai-toolkit":
+            import yaml
+
+            writers.put(spark, f"{staged}/ai-toolkit-config.yaml", yaml.safe_dump(training_job(profile, ids.get("source_export_id")), sort_keys=False))
+        counts = {r["partition"]: r["n"] for r in row_ops.partition_counts(row_ops.for_profile(rows, profile)).collect()}
+        manifest = {
+            "schema_version": MANIFEST_VERSION, **ids, "training_profile_id": profile.profile_id, "adapter_target": profile.adapter, "config_fingerprint": config_fingerprint,
+            "counts": {"total_records": sum(counts.values()), **{p: counts.get(p, 0) for p in PARTS}, "images": n_images},
+        }
+        _json(spark, f"{staged}/manifest.json", manifest)
+        said = readme(manifest) if readme else f"# {ids.get('training_package_id')}\n\n{manifest['counts']['total_records']} rows, {n_images} images, adapter {profile.adapter}.\n"
+        writers.put(spark, f"{staged}/README.md", said)
+        _with_checksums(spark, staged)
+        made.append(manifest)
+
+    writers.swapped(spark, path, write)
+    return made[0]

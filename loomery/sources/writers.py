@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomery.config import InputError, TrainingProfile
@@ -46,13 +43,18 @@ def swapped(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
     """Write to a fresh folder beside ``path`` and rename it into place.
 
     The old folder is renamed aside first and deleted last: a failed write or rename leaves it, in place or beside.
+    What a failed write has left is deleted.
     """
     jvm = spark.sparkContext._jvm
     at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     nonce = uuid.uuid4().hex[:8]
     staged, aside = (f"{path.rstrip('/')}.{what}-{nonce}" for what in ("staging", "old"))
-    write(staged)
+    try:
+        write(staged)
+    except BaseException:
+        fs.delete(at(staged), True)
+        raise
     there = fs.exists(at(path))
     if there and not fs.rename(at(path), at(aside)):
         raise OSError(f"could not move {path} aside; the new data are in {staged}")
@@ -71,23 +73,19 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return checksum_lines(files, name, F.col("content")).orderBy("name")
 
 
-def write_files(files: DataFrame, root: str) -> int:
-    """Write (name, content binary) as files below ``root`` and give their number.
-
-    Tasks write, in any filesystem that pyarrow opens; a task that runs again writes the same bytes to the same names.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{os.path.abspath(root)}")
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                place = f"{base.rstrip('/')}/{name}"
-                target.create_dir(place.rpartition("/")[0], recursive=True)
-                with target.open_output_stream(place) as out:
-                    out.write(content or b"")
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
-
-    return files.select("name", "content").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def put(spark: SparkSession, path: str, content: str) -> None:
+    """A small text as one file, written by the driver: beside its name first, then renamed."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, partial = at(path), at(f"{path}.{uuid.uuid4().hex}.partial")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(partial, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+    if not fs.rename(partial, target):
+        fs.delete(partial, False)
+        raise OSError(f"could not write {path}")
 
 
 def placed_rows(rows: DataFrame, listing: DataFrame) -> DataFrame:
