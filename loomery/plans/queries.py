@@ -11,7 +11,8 @@ from loomery.functions import captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
 from loomery.operators import binding, boxes, briefing, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import briefs, testbed as t
-from loomery.sources import builds, packages, readers, state, writers
+from loomery.schema import ROW_SCHEMA_VERSION
+from loomery.sources import builds, claims, lines as numbered_files, packages, readers, sink, state, writers
 from loomery.sources.shared import checkpointed, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -847,6 +848,63 @@ def judgment_merge(spark, sf_dir):
     return state.read(spark, path, changes.schema).drop(state.BUCKET)
 
 
+# ---- files: numbered lines, placement, slots that keep their state ---------------------------------------
+
+
+def document_lines(spark, sf_dir):
+    """Documents as JSON lines, 500 a file, some of another version and some cut short."""
+    path, d = scratch(spark, "lines"), F.col("doc_id")
+    version = F.when(d % 97 == 5, "0.9").otherwise(ROW_SCHEMA_VERSION)
+    value = F.to_json(F.struct(version.alias("schema_version"), "doc_id", "text"))
+    value = F.when(d % 101 == 7, F.substring(value, F.lit(1), F.length(value) - 2)).otherwise(value)
+    made = table(spark, sf_dir, "documents").select(F.floor(d / 500).alias("file_no"), "doc_id", value.alias("value"))
+    made.repartition("file_no").sortWithinPartitions("file_no", "doc_id").drop("doc_id").write.partitionBy("file_no").text(path)
+    number = F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("bigint")
+    return numbered_files.numbered(spark, f"{path}/*/*.txt"), number.alias("file_no")
+
+
+LINES_SQL = "d as (select *, doc_id // 500 as file_no, row_number() over (partition by doc_id // 500 order by doc_id) as line from documents)"
+
+
+@query(f"with {LINES_SQL} select file_no, line, doc_id from d where doc_id % 101 <> 7")
+def numbered_lines(spark, sf_dir):
+    lines, number = document_lines(spark, sf_dir)
+    return lines.select(number, "line", F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null")
+
+
+@query(f"with {LINES_SQL} select file_no, line, case when doc_id % 101 = 7 then 'not valid JSON' else 'has schema_version 0.9, expected {ROW_SCHEMA_VERSION}' end as problem from d where doc_id % 101 = 7 or doc_id % 97 = 5")
+def wrong_lines(spark, sf_dir):
+    lines, number = document_lines(spark, sf_dir)
+    return numbered_files.problems(lines).select(number, "line", "problem")
+
+
+@query("select case when s_suppkey % 9 = 4 then 'source_missing' when s_suppkey % 9 = 5 then 'copy_failed' else 'placed' end as status, count(*)::bigint as n from supplier group by 1")
+def files_placed(spark, sf_dir):
+    """Suppliers' names as files; some have no content, some a name outside of the root."""
+    n, root = F.col("s_suppkey"), scratch(spark, "files")
+    name = F.concat(F.when(n % 9 == 5, "../").otherwise("names/"), n.cast("string"), F.lit(".txt"))
+    files = table(spark, sf_dir, "supplier").select(n.cast("string").alias("record_id"), name.alias("name"), F.when(n % 9 != 4, F.encode("s_name", "utf-8")).alias("content"))
+    sink.place(files, root)
+    failed = sink.failures(spark, root).groupBy(F.col("reason").alias("status")).agg(F.count("*").alias("n"))
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
+    return failed.unionByName(there.groupBy(F.lit("placed").alias("status")).agg(F.count("*").alias("n")))
+
+
+@query("select 's'||s_suppkey as slot_id, 'ok' as status, 'out/'||s_name as output from supplier")
+def slots_resumed(spark, sf_dir):
+    """A run in which a fifth of the slots fail, and a second one that runs these alone."""
+    folder = scratch(spark, "slots")
+    planned = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("slot_id"), "s_name", (F.col("s_suppkey") % 5 == 2).alias("hard"))
+
+    def first(row):
+        if row["hard"]:
+            raise TimeoutError("no answer")
+        return f"out/{row['s_name']}"
+
+    claims.run_slots(planned, folder, first)
+    return claims.run_slots(planned, folder, lambda row: f"out/{row['s_name']}").select("slot_id", "status", "output")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
