@@ -8,10 +8,9 @@ import math
 from decimal import Decimal
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomery.functions import captions
+from loomery.functions import canonical as canonical_json, captions
 from loomery.config import InputError
 from loomery.functions.scalars import either, row_hash, truthy
 from loomery.schema import ROW_SCHEMA_VERSION
@@ -81,12 +80,8 @@ def watched_fields(entry: Column, kind: Column, defaults: dict[str, list[str]])
 def with_watch_hash(entries: DataFrame, defaults: dict[str, list[str]]) -> DataFrame:
     """entries (id, schema_kind, entry JSON, schema_version) with freeze_status, watch_fields and watch_hash."""
 
-    @F.pandas_udf("string")
-    def hashed(entry: pd.Series, fields: pd.Series, version: pd.Series) -> pd.Series:
-        return pd.Series([watch_hash(json.loads(e) if e else {}, list(f) if f is not None else [], v) for e, f, v in zip(entry, fields, version)], dtype="object")
-
     out = entries.withColumns({"freeze_status": freeze_status(F.col("entry")), "watch_fields": watched_fields(F.col("entry"), F.col("schema_kind"), defaults)})
-    return out.withColumn("watch_hash", hashed("entry", "watch_fields", "schema_version"))
+    return out.withColumn("watch_hash", canonical_json.watch_hash(F.col("entry"), F.col("watch_fields"), F.col("schema_version")))
 
 
 def drift(now: DataFrame, before: DataFrame) -> DataFrame:

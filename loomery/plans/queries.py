@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomery.config import ExportProfile, SplitProfile, TrainingProfile
-from loomery.functions import captions, prng
+from loomery.functions import canonical as canonical_json, captions, prng
 from loomery.functions.scalars import closest, html_escaped, joined, row_hash, safe_path, strip_version
 from loomery.operators import binding, boxes, briefing, canon, doctor, eligibility, evalpack, evalrun, export, lineage, production, records as upkeep, rows, snapshot, split
 from loomery.plans import briefs, testbed as t
@@ -905,6 +905,14 @@ def slots_resumed(spark, sf_dir):
     return claims.run_slots(planned, folder, lambda row: f"out/{row['s_name']}").select("slot_id", "status", "output")
 
 
+# Fractions of two digits, whole and large numbers: DuckDB writes these doubles as short as it can.
+@query("""select l_orderkey, l_linenumber, '{"flag":"'||l_returnflag||'","nested":{"a":['||l_linenumber||',true,null],"b":'||rtrim(rtrim(printf('%.2f', l_extendedprice), '0'), '.')||'},"ok":"1.50"}' as canonical from lineitem""")
+def canonical_json_lines(spark, sf_dir):
+    """Line items as JSON with keys in any order and blanks, in canonical form."""
+    value = F.format_string('{ "ok" : "1.50", "nested": {"b": %s, "a": [%s.0, true , null]}, "flag":"%s"}', F.col("l_extendedprice").cast("string"), F.col("l_linenumber").cast("string"), "l_returnflag")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", canonical_json.canonical(value).alias("canonical"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
