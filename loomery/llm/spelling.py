@@ -4,8 +4,8 @@ A trie of all words is a table: a node is the hash of a prefix, an edge leads
 from a node to the next one below it that branches or ends a word, and its label
 is the text between. The frontier is a table of states (word, position, node,
 edits). It starts where a word's own path meets a branching node: there a near
-word must leave the path, by a replaced, an inserted or a deleted code point,
-and the edit is spent. Level by level the states join the edges on (node, next
+word must leave the path, by a replaced or an inserted code point,
+and the edit is spent; a deleted one is an insertion as the shorter word sees it. Level by level the states join the edges on (node, next
 code point) and go on where the whole label agrees with the rest of the word;
 one-edit states that end the word at the end of another one become neighbours.
 
@@ -24,6 +24,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from loomery.llm.store import written
 #: Runs of A-Z, a-z and U+00C0 to U+00FF in UTF-8 whose capitals are lower already.
 RUNS = re.compile(rb"(?:[a-z]+|(?:\xc3[\x80-\xbf])+)+")
 BREAK = re.compile(rb"[\x00-\x60\x7b-\x7f]")
-PIECE, HELD = 1 << 20, 200_000
+PIECE, HELD = 1 << 20, 400_000
 
 
 def pieces(text: bytes) -> Iterator[bytes]:
@@ -62,24 +63,27 @@ def counted_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: dict[bytes, int] = {}
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            kept = {w: n for w, n in held.items() if len(w) >= 2 * min_chars or len(w.decode()) >= min_chars}
             held.clear()
-            return made
+            return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.binary()).cast(pa.string()), pa.array(list(kept.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for i in range(len(batch)):
                 start = zlib.crc32((batch.column(0)[i].as_py() or "").encode() + b":")
                 for part in pieces((batch.column(1)[i].as_py() or b"").lower()):
-                    for word, n in Counter(RUNS.findall(part)).items():
-                        if len(word) < min_chars:
-                            continue
-                        if damage and (h := zlib.crc32(word, start)) % damage == 0:
-                            word = misspelt(word, h)
-                        if len(word) >= 2 * min_chars or len(word.decode()) >= min_chars:
-                            held[word] += n
+                    found = {w: n for w, n in Counter(RUNS.findall(part)).items() if len(w) >= min_chars}
+                    if damage and found:
+                        hashes = np.fromiter(map(zlib.crc32, found, repeat(start)), np.int64, len(found))
+                        words = list(found)
+                        for at in np.flatnonzero(hashes % damage == 0).tolist():
+                            n = found.pop(words[at])
+                            word = misspelt(words[at], int(hashes[at]))
+                            held[word] = held.get(word, 0) + n
+                    for word, n in found.items():
+                        held[word] = held.get(word, 0) + n
                     if len(held) > HELD:
                         yield out()
         yield out()
@@ -172,14 +176,12 @@ def neighbours(words: DataFrame) -> DataFrame:
     hopeful = F.getbit("below", _signature("s", "pos")) == 1
     start = paths.selectExpr("wid", "s", "s_size", "explode(filter(hops, h -> h.depth >= s_size div 2)) as hop").selectExpr("wid", "s", "s_size", "hop.depth as pos", "hop.node as node")
     fork = start.join(edges.withColumn("label_size", F.length("label")), "node").where("substring(label, 1, 1) <> substring(s, pos + 1, 1)")
-    replaced = F.expr("pos < s_size") & F.startswith(_from("s", "(pos + 1)"), _from("label", "1"))
+    # each pair is found from one side: the shorter word, or the one with the smaller code point
+    replaced = F.expr("pos < s_size and substring(label, 1, 1) > substring(s, pos + 1, 1)") & F.startswith(_from("s", "(pos + 1)"), _from("label", "1"))
     inserted = F.startswith(_from("s", "pos"), _from("label", "1"))
-    deleted = F.expr("pos < s_size") & F.startswith(_from("s", "(pos + 1)"), F.col("label"))
-    to = [F.when(replaced, F.col("pos") + F.col("label_size")), F.when(inserted, F.col("pos") + F.col("label_size") - 1), F.when(deleted, F.col("pos") + 1 + F.col("label_size"))]
+    to = [F.when(replaced, F.col("pos") + F.col("label_size")), F.when(inserted, F.col("pos") + F.col("label_size") - 1)]
     spent = fork.select("wid", "s", "s_size", F.explode(F.array_compact(F.array(*to))).alias("pos"), F.col("child").alias("node"), "below").where(hopeful).drop("below")
-    # the other word may end where this one has one more code point
-    shorter = start.where("pos = s_size - 1").selectExpr("wid", "s", "s_size", "s_size as pos", "node")
-    states = written(spent.unionByName(shorter).withColumn("edits", F.lit(1)), "states")
+    states = written(spent.withColumn("edits", F.lit(1)), "states")
     ended = [states]
     step = edges.select(F.col("node"), F.substring("label", 1, 1).alias("next"), "label", "child", "below")
     while True:
@@ -195,7 +197,8 @@ def neighbours(words: DataFrame) -> DataFrame:
     pairs = found.join(ends, "node").where("wid <> other").select("wid", "other").distinct()
     a, b = words.select("wid", F.col("word").alias("word_a")), words.select(F.col("wid").alias("other"), F.col("word").alias("word_b"))
     joined = pairs.join(a, "wid").join(b, "other").select("wid", "other", "word_a", "word_b")
-    return joined.mapInArrow(_checked, "wid bigint, other bigint")
+    near = written(joined.mapInArrow(_checked, "wid bigint, other bigint"), "near")
+    return near.unionByName(near.select(F.col("other").alias("wid"), F.col("wid").alias("other")))
 
 
 def roots(links: DataFrame) -> DataFrame:
