@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loomery.functions import canonical as canonical_json, captions
 from loomery.config import InputError
+from loomery.operators.numbering import numbered
 from loomery.functions.scalars import either, row_hash, truthy
 from loomery.schema import ROW_SCHEMA_VERSION
 
@@ -140,12 +141,23 @@ def over_length(rendered: DataFrame, cap: int) -> DataFrame:
     return rendered.withColumn("lines", lines).where(F.col("lines") > cap)
 
 
-def tree_hash(files: DataFrame) -> DataFrame:
-    """One hash over all files (path, content): a fallback where there is no revision. Files by folder in order of paths, then folders in theirs."""
-    each = files.select(F.regexp_extract("path", r"\A(.*/)?[^/]*\z", 1).alias("folder"), F.concat(F.col("path"), F.lit("\0"), F.sha2(F.col("content"), 256)).alias("x"))
-    ordered = lambda c: F.sha2(F.expr(f"listagg({c}, '\n') within group (order by {c})"), 256)
-    folders = each.groupBy("folder").agg(ordered("x").alias("h")).select(F.concat(F.col("folder"), F.lit("\0"), F.col("h")).alias("y"))
-    return folders.agg(F.concat(F.lit("content-sha:"), ordered("y")).alias("content_sha"))
+def tree_hash(files: DataFrame, fan: int = 256) -> DataFrame:
+    """(content_sha) over all files (path, content): a fallback where there is no revision.
+
+    A tree over the paths in their order: the hashes of ``fan`` neighbours make one of the next level, up to the root.
+    Which neighbours meet depends on the files alone, so the root is the same however the table is partitioned,
+    and no row holds more than ``fan`` hashes. Paths are numbered by ranges. No files have the hash of nothing.
+    """
+    leaf = F.sha2(F.concat(F.col("path"), F.lit("\0"), F.sha2(F.col("content"), 256)), 256)
+    level = numbered(files.select("path", leaf.alias("hash")), ["path", "hash"], name="at").select("at", "hash")
+    count = level.count()
+    while count > 1:
+        # equal paths are told apart by their contents, so the order within a node is that of the numbers
+        ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "hash"))), lambda x: x["hash"]), "\n")
+        level = level.groupBy(F.floor(F.col("at") / fan).alias("node")).agg(F.sha2(ordered, 256).alias("hash")).select(F.col("node").alias("at"), "hash")
+        count = -(-count // fan)
+    root = F.coalesce(F.max("hash"), F.sha2(F.lit("").cast("binary"), 256))
+    return level.agg(F.concat(F.lit("content-sha:"), root).alias("content_sha"))
 
 
 def events_after(events: DataFrame, build_hash: str | None, position: str = "pos") -> DataFrame:

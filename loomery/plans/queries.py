@@ -14,6 +14,7 @@ from loomery.plans import briefs, testbed as t
 from loomery.schema import ROW_SCHEMA_VERSION
 from loomery.sources import builds, claims, lines as numbered_files, packages, readers, sink, state, writers
 from loomery.sources.shared import checkpointed, scratch
+from loomery.streaming import freezes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -913,6 +914,30 @@ def canonical_json_lines(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", canonical_json.canonical(value).alias("canonical"))
 
 
+# ---- hashes over all files, and the freeze log in time ---------------------------------------------------
+
+
+@query("""with l0 as (select row_number() over (order by url, h) - 1 as pos, h from (select url, sha256(url||chr(0)||sha256(html)) as h from pages)),
+  l1 as (select pos // 8 as pos, sha256(string_agg(h, chr(10) order by pos)) as h from l0 group by 1), l2 as (select pos // 8 as pos, sha256(string_agg(h, chr(10) order by pos)) as h from l1 group by 1),
+  l3 as (select pos // 8 as pos, sha256(string_agg(h, chr(10) order by pos)) as h from l2 group by 1), l4 as (select pos // 8 as pos, case when count(*) = 1 and (select count(*) from l3) = 1 then max(h) else sha256(string_agg(h, chr(10) order by pos)) end as h from l3 group by 1),
+  l5 as (select pos // 8 as pos, case when (select count(*) from l4) = 1 then max(h) else sha256(string_agg(h, chr(10) order by pos)) end as h from l4 group by 1) select 'content-sha:'||max(h) as content_sha from l5""")
+def pages_tree_hash(spark, sf_dir):
+    return canon.tree_hash(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.col("html").cast("binary").alias("content")), 8)
+
+
+FREEZES_SQL = """ev as (select 'entity_'||(user_id % 50) as entity_id, ts as tm, event_id, case event_type when 'click' then 'freeze' when 'view' then 'bypass' else 'unfreeze' end as kind from events),
+  st as (select *, coalesce(last_value(case kind when 'freeze' then 'frozen' when 'unfreeze' then 'auto' end ignore nulls) over w, 'auto') as status, max(case when kind = 'bypass' then tm + interval 24 hours end) over w as until, lead(case when kind = 'bypass' then tm end ignore nulls) over (partition by entity_id order by tm, kind) as following from ev
+    window w as (partition by entity_id order by tm, kind rows between unbounded preceding and current row))"""
+
+
+@query(f"""with {FREEZES_SQL} select entity_id, tm as at, kind as change, status, coalesce(until > tm, false) as bypassed from st
+  union all select b.entity_id, b.tm + interval 24 hours, 'bypass-ended', (select arg_max(s.status, s.tm) from st s where s.entity_id = b.entity_id and s.tm <= b.tm + interval 24 hours), false from st b where b.kind = 'bypass' and (b.following is null or b.following >= b.tm + interval 24 hours)""")
+def freeze_history(spark, sf_dir):
+    kind = F.when(F.col("event_type") == "click", "freeze").when(F.col("event_type") == "view", "bypass").otherwise("unfreeze")
+    status = F.when(F.col("event_type") == "click", "frozen").when(F.col("event_type") != "view", "auto")
+    return freezes.status_history(table(spark, sf_dir, "events").select(F.concat(F.lit("entity_"), (F.col("user_id") % 50).cast("string")).alias("entity_id"), F.col("ts").alias("event_time"), kind.alias("type"), status.alias("new_status")))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -1,11 +1,13 @@
 """Merges into state tables, and builds in a row."""
 
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomery.config import InputError
+from loomery.operators import canon
 from loomery.sources import builds, state
 
 ENTRY = "id string, schema_kind string, entry string, source string, schema_version string"
@@ -110,3 +112,15 @@ def test_a_build_that_fails_writes_nothing(spark, tmp_path):
     with pytest.raises(InputError, match="e1'"):
         builds.run(entries(spark).unionByName(entries(spark).where("id = 'e1'")), str(tmp_path), PLAN, "g")
     assert not files(tmp_path)
+
+
+@pytest.mark.parametrize("n, fan", [(0, 4), (1, 4), (4, 4), (5, 4), (70, 4), (70, 256)])
+def test_tree_hash(spark, n, fan):
+    rows = [(f"d{i % 7}/{i:03}.md", f"text {i}".encode()) for i in range(n)] + [("d0/000.md", b"again")] * (n > 5)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    level = [h for _, h in sorted((p, sha(p.encode() + b"\0" + sha(c).encode())) for p, c in rows)]
+    while len(level) > 1:
+        level = [sha("\n".join(level[i : i + fan]).encode()) for i in range(0, len(level), fan)]
+    for parts in (1, 5):
+        got = canon.tree_hash(spark.createDataFrame(rows, "path string, content binary").repartition(parts), fan).collect()
+        assert [r[0] for r in got] == ["content-sha:" + (level[0] if level else sha(b""))]
