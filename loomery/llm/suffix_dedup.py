@@ -6,7 +6,8 @@ a prefix of that length. Suffixes are compared within shards:
 1. Each window of ``length`` bytes has an anchor, the least hash of its grams.
    Equal windows have equal anchors, so a text falls into segments (runs of
    windows with one anchor), and only segments of one anchor need comparing.
-   Segments that are the same bytes are one, with a count.
+   Segments that are the same bytes are one, with a count; one that is a string over
+   and over is its first period, with a count of two.
 2. Anchors that stand once are done. The other segments are dealt by anchor to
    shards of bounded bytes. A shard sorts its suffixes (by no more than the
    length), takes the Burrows-Wheeler transform, and expands intervals breadth
@@ -85,9 +86,10 @@ def packs(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray,
 
 
 def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, anchor, first start, number of starts, again) of the runs of windows with one anchor, in order; very long runs are cut.
+    """(text, anchor, first start, number of starts, again, period) of the runs of windows with one anchor, in order; very long runs are cut.
 
-    again: the anchor stands more than once thereabouts, so that a run's own windows may repeat each other.
+    again: the anchor stands more than once thereabouts, so that a run's own windows may repeat each other. period: where a run is a
+    string over and over, the length of that string, else 0; such a stretch within a run is cut out as one.
     """
     for data, text, start, offset in packs(texts, length):
         hashes, width = gram_hashes(np.frombuffer(data, np.uint8), gram), length - gram + 1
@@ -110,7 +112,30 @@ def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.nd
             end, part = np.repeat(first + size, cuts), np.repeat(part, cuts)
             first = np.repeat(first, cuts) + nth * MOST_STARTS
             size = np.minimum(end - first, MOST_STARTS)
-        yield text[part], low[first], first - start[part] + offset[part], size, np.isin(low[first], held[1:][held[1:] == held[:-1]])
+        again, period = np.isin(low[first], held[1:][held[1:] == held[:-1]]), np.zeros(len(first), np.int64)
+        whole, rows = np.frombuffer(data, np.uint8), [first, size, part, again, period]
+        cut = [(i, *found) for i in np.flatnonzero(again).tolist() if (found := stretch(whole[first[i] : first[i] + size[i] + length - 1], np.flatnonzero(hashes[first[i] : first[i] + size[i] + width - 1] == low[first[i]]), length))]
+        if cut:
+            # what stands before and after a stretch are runs of their own
+            made = [(int(first[i]) + x, y - x, int(part[i]), not d, d) for i, a, b, d in cut for x, y, d in ((0, a, 0), (a, b, d), (b, int(size[i]), 0)) if y > x]
+            rows = [np.concatenate([np.delete(old, [c[0] for c in cut]), np.array(new, old.dtype)]) for old, new in zip(rows, zip(*made))]
+            order = np.argsort(rows[0])
+            rows = [r[order] for r in rows]
+        first, size, part, again, period = rows
+        yield text[part], low[first], first - start[part] + offset[part], size, again, period
+
+
+def stretch(body: np.ndarray, places: np.ndarray, length: int) -> tuple[int, int, int] | None:
+    """(first window, end, period) of the longest stretch in which a string stands over and over, twice in windows at least; ``places`` are those of a gram in it."""
+    best = None
+    middle = len(places) // 2
+    for d in sorted(set((places[middle + 1 : middle + 9] - places[middle]).tolist())) if len(places) > 1 else ():
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], (body[d:] == body[:-d]).astype(np.int8), [0]])))
+        longest = int((edge[1::2] - edge[::2]).argmax()) if len(edge) else 0
+        a, b = (int(edge[2 * longest]), int(edge[2 * longest + 1]) + d - length + 1) if len(edge) else (0, 0)
+        if b - a >= 2 * d and (best is None or b - a > best[1] - best[0]):
+            best = (a, b, d)
+    return best
 
 
 def suffix_order(code: np.ndarray, depth: int) -> np.ndarray:
@@ -120,18 +145,28 @@ def suffix_order(code: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for j in range(pad):
         key = key << 9 | padded[j : n + j]
-    known = pad
-    while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        if known >= depth or rank[order[-1]] == n:
-            return order
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - known] = rank[known:]
-        key = rank * (n + 1) + ahead
+    order = np.argsort(key)
+    ordered, known = key[order], pad
+    # a rank is the first place of its group, so groups that are told apart keep theirs and leave the later rounds
+    places = np.arange(n)
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, places, 0))
+    while known < depth:
+        open_ = ~(new & np.append(new[1:], True))
+        places, part = places[open_], order[places[open_]]
+        if not len(part):
+            break
+        beyond = part + known
+        ahead = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
+        key = rank[part] * (n + 1) + ahead
+        by_key = np.argsort(key)
+        part, ordered = part[by_key], key[by_key]
+        order[places] = part
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        rank[part] = np.maximum.accumulate(np.where(new, places, 0))
         known *= 2
+    return order
 
 
 def boundaries(code: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -218,19 +253,23 @@ def repeated(texts: DataFrame, length: int, grams: tuple[int, ...], shard_bytes:
                 part = batch.slice(at, 512)
                 texts = part.column(3).to_pylist()
                 keys = [part.column(c).to_numpy() for c in (0, 1, 2, 4)]
-                for text, anchor, first, count, again in segments(texts, length, grams[0]):
-                    ends = (first + count + length - 1).tolist()
+                for text, anchor, first, count, again, period in segments(texts, length, grams[0]):
+                    # each window of a string over and over stands there twice at least, and its first period has all of them
+                    body = np.where(period > 0, period, count)
+                    ends = (first + body + length - 1).tolist()
                     s = np.frombuffer(b"".join([digest(texts[i][a:b]) for i, a, b in zip(text.tolist(), first.tolist(), ends)]), "<i8").reshape(-1, 2)
-                    arrays = [*(k[text] for k in keys), first, count.astype(np.int32), anchor.view(np.int64), s[:, 0].copy(), s[:, 1].copy(), again]
+                    own = [k[text] for k in keys]
+                    own[3] = own[3] * np.where(period > 0, 2, 1)
+                    arrays = [*own, first, count.astype(np.int32), body.astype(np.int32), anchor.view(np.int64), s[:, 0].copy(), s[:, 1].copy(), again]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], placed_in.names)
 
-    placed_in = fields_and([], "k0 bigint, k1 bigint, k2 bigint, weight bigint, start bigint, n int, anchor bigint, s1 bigint, s2 bigint, again boolean")
+    placed_in = fields_and([], "k0 bigint, k1 bigint, k2 bigint, weight bigint, start bigint, n int, body int, anchor bigint, s1 bigint, s2 bigint, again boolean")
     places = written(texts.select(*KEY, "data", "weight").mapInArrow(cut, placed_in), "places")
-    kinds = places.groupBy("anchor", "s1", "s2").agg(F.sum("weight").alias("total"), F.max("again").alias("again"), F.min(F.struct(*KEY, "start", "n")).alias("at"))
+    kinds = places.groupBy("anchor", "s1", "s2").agg(F.sum("weight").alias("total"), F.max("again").alias("again"), F.min(F.struct(*KEY, "start", F.col("body").alias("n"))).alias("at"))
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("total").alias("all"), F.max("again").alias("any"), F.sum(F.col("at.n") + length - 1).alias("bytes")).where("all > 1 or any").drop("any")
     # a segment that stands twice is repeated as a whole; one without others of its anchor needs no comparing
     shared = written(kinds.join(anchors.select("anchor", "kinds", "bytes"), "anchor"), "kinds")
-    whole = shared.where("total > 1").select("anchor", "s1", "s2", F.expr(f"array(struct(0L as low, cast(at.n as bigint) as high))").cast(RUNS).alias("runs"))
+    whole = shared.where("total > 1").select("anchor", "s1", "s2", F.lit(None).cast(RUNS).alias("runs"))
 
     wanted = shared.where("kinds > 1 or total = 1").select(*[F.col(f"at.{c}").alias(c) for c in KEY], F.struct(F.col("at.start").alias("start"), F.col("at.n").alias("n"), "anchor", "s1", "s2", "total", (F.col("bytes") > shard_bytes).alias("hot")).alias("one"))
     lists = wanted.groupBy(*KEY).agg(F.sort_array(F.collect_list("one")).alias("all"))
@@ -267,7 +306,8 @@ def repeated(texts: DataFrame, length: int, grams: tuple[int, ...], shard_bytes:
         found = found.unionByName(deeper.join(alone, ["anchor", "s1", "s2"], "left_semi"))
     runs = written(found, "runs")
     shifted = F.transform("runs", lambda r: F.struct((r.low + F.col("start")).alias("low"), (r.high + F.col("start")).alias("high")))
-    back = places.join(runs, ["anchor", "s1", "s2"]).select(*KEY, F.explode(shifted).alias("run"))
+    own = F.array(F.struct(F.col("start").alias("low"), (F.col("start") + F.col("n")).alias("high")))
+    back = places.join(runs, ["anchor", "s1", "s2"]).select(*KEY, F.explode(F.when(F.col("runs").isNull(), own).otherwise(shifted)).alias("run"))
     return back.groupBy(*KEY).agg(F.sort_array(F.collect_set("run")).alias("runs"))
 
 
@@ -283,7 +323,7 @@ def covered(runs: list[dict[str, int]], length: int) -> list[tuple[int, int]]:
     return [tuple(s) for s in spans]
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, grams: tuple[int, ...] = (64, 390), shard_bytes: int = 1 << 20, digest_only: bool = False) -> DataFrame:
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, grams: tuple[int, ...] = (64, 256, 384), shard_bytes: int = 1 << 20, digest_only: bool = False) -> DataFrame:
     """Remove each byte that a string of ``length`` bytes covers which also starts anywhere else.
 
     Returns per input row: row (struct of all input columns), doc_id, n_bytes,

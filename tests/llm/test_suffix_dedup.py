@@ -34,7 +34,7 @@ def more(texts):
     words = lambda n: "".join(rng.choice("abcdeé \n") for _ in range(n))
     passage = words(90)
     pairs = [(1000 + i, words(rng.randint(0, 60)) + passage + words(rng.randint(0, 60))) for i in range(40)]
-    pairs += [(1100, "ab" * 100), (1101, "ba" * 30), (1102, "x" * 41), (1103, "x" * 40), (1104, "y" * 300), (1105, passage[:39]), (1106, passage[3:45] * 2)]
+    pairs += [(1100, "ab" * 100), (1101, "ba" * 30), (1102, "x" * 41), (1103, "x" * 40), (1104, "y" * 300), (1107, "abcdefghijklm" * 30), (1108, "xx" + "defghijklmabc" * 9 + "xx"), (1109, "klmabcdefghij" * 4), (1110, "uvwxyzUVWXYZ-" * 4), (1105, passage[:39]), (1106, passage[3:45] * 2)]
     return texts[:60] + texts[-14:] + pairs
 
 
@@ -79,11 +79,18 @@ def test_anchors(gram, monkeypatch):
     for texts in ([data.tobytes()], [b"a" * 50, data.tobytes()[:150], b"", data.tobytes(), data.tobytes()[5:120], b"b" * 99]):
         found = [np.concatenate(x) for x in zip(*suffix_dedup.segments(texts, 100, gram))]
         for i, text in enumerate(texts):
-            anchor, first, size, again = (x[found[0] == i] for x in found[1:])
+            anchor, first, size, again, period = (x[found[0] == i] for x in found[1:])
             assert size.sum() == max(0, len(text) - 99) and (size <= 50).all()
             if len(text) < 100:
                 continue
             assert first[0] == 0 and (first[1:] == (first + size)[:-1]).all()
-            assert len(text) < 900 or again[-1]
+            assert len(text) < 900 or 1 in period[~again]
             for a, f, n in zip(anchor, first, size):
                 assert all(min(hashes[text[j : j + gram]] for j in range(i, i + 101 - gram)) == a for i in (f, f + n - 1))
+
+
+def test_stretches():
+    body = np.frombuffer(b"qwer" + b"abcde" * 30 + b"ab" + b"tzu", np.uint8)
+    places = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(body, 2) @ np.array([1, 300]) == ord("a") + 300 * ord("b"))
+    assert suffix_dedup.stretch(body, places, 20) == (4, 4 + 152 - 19, 5)
+    assert suffix_dedup.stretch(body[:40], places[:6], 33) is None and suffix_dedup.stretch(body[:9], places[:1], 5) is None
