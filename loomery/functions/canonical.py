@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
@@ -60,7 +61,10 @@ def number_text(value: Column) -> Column:
             return F.struct(F.floor((x["d"].cast("decimal(20,0)") + F.when(k > 0, ten / 2).otherwise(0).cast("decimal(20,0)")) / ten.cast("decimal(20,0)")).cast("bigint").alias("q"), (x["p"] - n + k).alias("e"))
 
         cuts = F.filter(F.transform(F.sequence(n - 1, F.lit(0), F.lit(-1)), cut), lambda c: F.concat(c["q"].cast("string"), F.lit("E"), c["e"].cast("string")).cast("double") == F.abs(value))
-        return _let(F.get(cuts, F.lit(0)), lambda c: _written(F.when(value < 0, "-").otherwise(""), F.regexp_replace(c["q"].cast("string"), r"0+\z", ""), c["e"] + F.length(c["q"].cast("string"))))
+        # no two decimals of up to 15 digits are one double of the normal range, so such digits are the shortest
+        sign, plain = F.when(value < 0, "-").otherwise(""), (n <= 15) & (F.abs(value) >= F.lit(sys.float_info.min))
+        searched = _let(F.get(cuts, F.lit(0)), lambda c: _written(sign, F.regexp_replace(c["q"].cast("string"), r"0+\z", ""), c["e"] + F.length(c["q"].cast("string"))))
+        return F.when(plain, _written(sign, x["d"], x["p"])).otherwise(searched)
 
     finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
     # a cast rounds whole numbers of over 17 digits once more than needed, so theirs come from the integer
