@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -57,3 +58,34 @@ def test_stage_drops_near_copies_beyond_two_bits(spark):
     assert kept == {c for _, c in expected(given)}
     by_bits = {r["component_id"] for r in simhash.near_duplicates(table, words_per_shingle=5).collect()}
     assert len(kept) < len(by_bits)
+
+
+def test_sketches_reject_no_near_pair():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 63, 64, 65, 900, 1024, 1150, 70_000):
+        for alone in (0, n // 10, n // 5, n):
+            both = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+            a, b = (np.unique(np.append(both, rng.integers(0, 1 << 63, k, np.uint64))) for k in (alone, n // 20))
+            x, y = jaccard.sketch_of(a), jaccard.sketch_of(b)
+            assert jaccard.apart_at_least(x, y) == jaccard.apart_at_least(y, x) <= len(np.setxor1d(a, b))
+            assert jaccard.may_be_near(len(a), len(b), x, y) or not jaccard.near(a, b)
+
+
+def test_sets_of_pairs_that_only_share_a_passage_are_not_moved(spark, monkeypatch):
+    rng, moved = random.Random(8), []
+    passage = words(rng, 60)
+    given = [(i, f"{passage} {words(rng, 100)}") for i in range(80)] + [(100 + i, f"{passage} {words(rng, 5)}") for i in range(3)]
+    table = spark.createDataFrame(rows_of(given), SCHEMA)
+    written = jaccard.written
+
+    def spy(df, label, *more):
+        out = written(df, label, *more)
+        if label == "sets":
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", spy)
+    monkeypatch.setattr(jaccard, "SAMPLE", 0)  # no order keeps the passage out of the prefixes
+    found = jaccard.near_copies(table, crowd=4).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(given)
+    assert max(moved) < 20
