@@ -4,11 +4,11 @@ The model is rebuilt from a rank file: every rank's bytes become characters by
 the usual byte-to-character table, and each token's merge is the last one that
 joining its bytes by lower ranks arrives at. Text is cut by the pattern first;
 pieces recur, so a worker remembers the ids and offsets of pieces it has met (a cache
-bounded in bytes; long pieces are not kept) and asks the library, in batches, for the
+bounded in bytes; long pieces are not kept) and asks the library's model for the
 others. Decoding reverses the byte-to-character table over the tokens' spellings.
 
-Token offsets: a piece's characters are its bytes, so the library's offsets are
-byte offsets in the piece; the count of UTF-8 lead bytes up to there gives characters.
+Token offsets: a piece's characters are its bytes, so the lengths of the library's
+tokens give byte offsets in the piece; the count of UTF-8 lead bytes up to there gives characters.
 A token that holds part of a character covers the whole of it, so neighbours may
 overlap; such tokens are counted as split.
 """
@@ -17,20 +17,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer, models
+from tokenizers import models
 
 from loomery.llm.store import fields_and
 
-#: Bytes of pieces and results that a worker keeps, and of the longest piece it keeps.
-CACHE_BYTES, LONGEST = 64_000_000, 256
+#: Bytes of pieces and results that a worker keeps, and characters of the longest piece it keeps.
+CACHE_BYTES, LONGEST = 128_000_000, 256
 #: What a kept piece costs beside its text and its results.
 OVERHEAD = 400
 
@@ -63,12 +64,11 @@ class ByteBpe:
     """Encoder and decoder of one rank file; one a worker and file."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         ranks = read_ranks(path)
         chars = byte_characters()
         spelt = {token: "".join(chars[b] for b in token) for token in ranks}
         merges = [(spelt[h[0]], spelt[h[1]]) for token in sorted(ranks, key=ranks.__getitem__) if len(token) > 1 and (h := _halves(token, ranks))]
-        self.model = Tokenizer(models.BPE(vocab={spelt[t]: r for t, r in ranks.items()}, merges=merges))
+        self.model = models.BPE(vocab={spelt[t]: r for t, r in ranks.items()}, merges=merges)
         self.table = str.maketrans({chr(b): c for b, c in enumerate(chars)})
         self.reverse = str.maketrans({c: chr(b) for b, c in enumerate(chars)})
         self.spelling = [""] * (max(ranks.values()) + 1)
@@ -77,28 +77,33 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         #: ids, byte offsets of the ends, and number of split tokens of a piece
         self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        #: what was known before; pieces met again come back from there
+        self.older: dict[str, tuple[bytes, bytes, int]] = {}
         self.kept = 0
 
     def _new(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, int]]:
-        """Results of the pieces that aren't known; short ones are kept."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if self.kept > CACHE_BYTES:
-            self.known, self.kept = {}, 0
-            new = list(dict.fromkeys(pieces))
-        # bytes as characters: the library then sees each piece as one word
-        spelt = [p.encode().decode("latin-1").translate(self.table) for p in new]
-        found = {}
-        for p, e in zip(new, self.model.encode_batch(spelt, add_special_tokens=False)):
-            ends = np.fromiter((b for _, b in e.offsets), "<u4", len(e.ids))
-            split = 0
-            if not p.isascii():
-                raw = np.frombuffer(p.encode(), np.uint8)
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                split = int(np.count_nonzero(((raw[starts] & 0xC0) == 0x80) | ((np.append(raw, 0)[ends] & 0xC0) == 0x80)))
-            found[p] = np.array(e.ids, dtype="<u4").tobytes(), ends.tobytes(), split
+        """Results of the long pieces; short ones are known from here on."""
+        if self.kept > CACHE_BYTES // 2:
+            self.known, self.older, self.kept = {}, self.known, 0
+        known, older, tokens_of, table, found = self.known, self.older, self.model.tokenize, self.table, {}
+        for p in dict.fromkeys(pieces):
+            if p in known:
+                continue
+            result = older.get(p)
+            if result is None:
+                # bytes as characters: the library then sees the piece as one word
+                raw = p.encode()
+                tokens = tokens_of(raw.decode("latin-1").translate(table))
+                ends, split = list(accumulate([len(t.value) for t in tokens])), 0
+                if len(raw) != len(p):
+                    within = [e < len(raw) and raw[e] & 0xC0 == 0x80 for e in ends]
+                    split = sum(map(max, [False, *within[:-1]], within))
+                result = array("I", [t.id for t in tokens]).tobytes(), array("I", ends).tobytes(), split
             if len(p) <= LONGEST:
-                self.known[p] = found[p]
-                self.kept += len(p) + 8 * len(e.ids) + OVERHEAD
+                known[p] = result
+                self.kept += len(p) + 2 * len(result[0]) + OVERHEAD
+            else:
+                found[p] = result
         return found
 
     def results(self, text: str) -> list[tuple[bytes, bytes, int]]:
@@ -108,7 +113,7 @@ class ByteBpe:
         except KeyError:
             found = self._new(pieces)
             known = self.known
-            return [known[p] if p in known else found[p] for p in pieces]
+            return [known[p] if len(p) <= LONGEST else found[p] for p in pieces]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

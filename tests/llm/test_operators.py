@@ -182,6 +182,23 @@ def test_long_pieces_are_not_kept_and_the_cache_is_bounded(monkeypatch):
     assert codec.kept < 3000 and codec.encode("ab " * 50 + "y" * 5000) == whole
 
 
+def test_pieces_met_again_are_not_asked_for_again(monkeypatch):
+    codec, asked = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN), []
+    model = codec.model
+
+    class Counted:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    codec.model = Counted()
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
+    for i in range(200):
+        codec.encode(f"q ab {'wxyz' * (i % 7)}{i}")
+    assert asked.count("Ġab") == 1 and len(asked) > 200
+    assert codec.kept + sum(map(len, codec.older)) < 40_000
+
+
 # ---- token counts -----------------------------------------------------------------------------
 
 
