@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomery.llm.store import fields_and, written
+from loomery.llm.store import few, fields_and, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 GAMMA, MAX_LEVELS = 2.0, 40
@@ -111,7 +111,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 found = {k for k in line_keys(text, min_chars) if k is not None}
@@ -159,7 +159,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = fields_and([f for f in joined.schema.fields if f.name in ("row", "doc_id")], "n_lines bigint, n_dropped bigint, kept string")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             n_lines, n_dropped, kept = [], [], []
             for text, gone in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("drops").to_pylist()):
                 lines = (text or b"").split(b"\n")

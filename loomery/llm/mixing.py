@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomery.llm.store import fields_and, written
+from loomery.llm.store import few, fields_and, written
 
 DOMAINS = ("good", "poor", "toxic")
 BUCKETS, MEMO = 512, 300_000
@@ -118,11 +118,9 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "do
     schema = fields_and(given.schema.fields, ", ".join(f"{n} double" for n in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # the text is a field of the row and travels once; few texts at a time are Python strings
-            column = batch.column(0).field(text_col).cast(pa.string())
-            parts = [classifier.posteriors([t or "" for t in column.slice(at, 256).to_pylist()]) for at in range(0, len(column), 256)]
-            p = np.concatenate([np.zeros((0, len(names))), *parts])
+        for batch in few(batches):
+            # the text is a field of the row and travels once
+            p = classifier.posteriors([t or "" for t in batch.column(0).field(text_col).cast(pa.string()).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, i].copy()) for i in range(len(names)))], schema.fieldNames())
 
     return given.mapInArrow(run, schema)

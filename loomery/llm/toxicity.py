@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomery.llm.store import fields_and, written
+from loomery.llm.store import few, fields_and, written
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIX, FLUSH, MEMO = 4, 200_000, 400_000
@@ -224,8 +224,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # the text is a field of the row and travels once; few texts at a time are Python strings
+        for batch in few(batches):
+            # the text is a field of the row and travels once
             column = batch.column(0).field(text_col).cast(pa.string())
             values = [model.score(t.as_py() or "") for t in column]
             out = [*batch.columns, pa.array(values, pa.float64()), pa.array([int(v >= threshold) for v in values], pa.int32())]

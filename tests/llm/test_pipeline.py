@@ -2,10 +2,11 @@ import collections
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 
 import corpus_pipeline
-from loomery.llm import bpe, mixing
+from loomery.llm import bpe, line_dedup, mixing, toxicity
 from tests.llm.conftest import words
 
 import random
@@ -94,3 +95,22 @@ def test_rates_against_nonnegative_least_squares(spark):
         got = np.array([x["r"] for x in table.select(rate.alias("r")).collect()])
         assert got.min() >= least and np.linalg.norm(list(residual.values())) * growth <= 1.05 * np.linalg.norm(a @ r - want) + 2e-3
         assert np.allclose((want - a @ got) / growth, list(residual.values()), atol=1e-9)
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "lines", "mixing"])
+def test_workers_give_few_rows_at_a_time(spark, monkeypatch, stage):
+    rows = [(i, f"line {i} of some text\na line that they all share", "en", "web", 9) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+    calls, kind = [], type(docs)
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *a, real=kind.mapInArrow, **k: calls.append((self, f)) or real(self, f, *a, **k))
+    if stage == "toxicity":
+        toxicity.score(docs, toxicity.Model({"text": 1.0}, -0.1))
+    elif stage == "lines":
+        line_dedup.dedup_lines(docs)
+    else:
+        width = len(mixing.describe("", {}))
+        mixing.domain_posteriors(docs, mixing.Classifier(np.zeros((width + 1, 3)), np.zeros(width), np.ones(width)))
+    for given, f in calls:
+        out = list(f(iter(given.toArrow().combine_chunks().to_batches())))
+        assert len(out) >= 3 and (stage == "lines" or max(map(len, out)) <= 256)
+    assert sum(map(len, out)) == 700 and max(map(len, out)) <= 256
