@@ -267,6 +267,18 @@ def plain_search(texts, k):
     return sorted(out, key=repr)
 
 
+def test_frequent_lists_bound_a_block_by_their_sums():
+    builder = topk_search._Builder()
+    for i in range(800):
+        builder.add(i, "aa bb" if i in (100, 500) else ("aa cc", "bb cc")[i % 2])
+    hashes = np.sort(np.array([topk_search.term_hash(w) for w in ("aa", "bb")], np.uint64))
+    searcher = topk_search.Searcher(builder.shard(), 2.0, hashes, np.ones(2))
+    read, scored = [], searcher._scored
+    searcher._scored = lambda pivots, *rest: (read.append(len(pivots)), scored(pivots, *rest))[1]
+    ids, scores = searcher.top(np.arange(2), 2, 2.0)
+    assert ids.tolist() == [100, 500] and scores.tolist() == [2.0, 2.0] and sum(read) == 2  # of 100 blocks, each of which has both words
+
+
 def test_search(docs, texts, no_docs):
     asks = docs.where("doc_id % 50 = 0")
     expected = plain_search(texts, 5)
