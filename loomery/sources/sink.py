@@ -4,13 +4,14 @@
 write below a staging folder, each file under a name of its own and then renamed, so that a
 file is whole or absent and a task that runs twice leaves one. A file that can't be
 placed is a row of the result, not the end of the job. The commit renames the staging folder; until then, and after
-an abort, nothing shows.
+an abort, nothing shows. Tasks can outlive the abort of their job and write once more; ``place`` waits for them and clears up.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -50,7 +51,7 @@ class Placed(WriterCommitMessage):
 class FilesWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]) -> None:
         self.root, self.mode = options["root"].rstrip("/"), options.get("placement", "copy")
-        self.staging = f"{self.root}.staging-{uuid.uuid4().hex[:8]}"
+        self.staging = f"{self.root}.staging-{options.get('attempt') or uuid.uuid4().hex[:8]}"
 
     def _place(self, target: fs.FileSystem, at: str, source: str | None, content: bytes | None) -> str:
         """The status of one file; raises what went wrong while it was written."""
@@ -149,6 +150,28 @@ class FilesSink(DataSource):
         return FilesWriter(dict(self.options))
 
 
+def _ended(spark: SparkSession, tag: str) -> bool:
+    """Whether no task of the jobs with this tag runs any more."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [j for i in spark.sparkContext._jsc.sc().statusTracker().getJobIdsForTag(tag) if (j := tracker.getJobInfo(i))]
+    stages = [s for j in jobs for i in j.stageIds if (s := tracker.getStageInfo(i))]
+    return all(j.status != "RUNNING" for j in jobs) and not any(s.numActiveTasks for s in stages)
+
+
+def _clear(spark: SparkSession, tag: str, staging: str, patience: float = 60.0) -> None:
+    """Delete what a failed job has left, once its last tasks have ended or ``patience`` has (seconds)."""
+    until = time.monotonic() + patience
+    while not _ended(spark, tag) and time.monotonic() < until:
+        time.sleep(0.05)
+    target, base = opened(staging)
+    while target.get_file_info(base).type != fs.FileType.NotFound and time.monotonic() < until + patience:
+        try:
+            target.delete_dir(base)
+        except OSError:  # a worker that is being ended puts a file there
+            pass
+        time.sleep(0.1)
+
+
 def place(files: DataFrame, root: str, mode: str = "copy") -> dict:
     """Place files (name, and record_id, source, content where there are any) below ``root``, and give the report: counts by status, and the first failures.
 
@@ -161,7 +184,16 @@ def place(files: DataFrame, root: str, mode: str = "copy") -> dict:
     have = {"record_id": "string", "name": "string", "source": "string", "content": "binary"}
     given = files.select(*((F.col(c) if c in files.columns else F.lit(None)).cast(kind).alias(c) for c, kind in have.items()))
     full = qualified(spark, root)
-    given.write.format("loomery_files").option("root", full).option("placement", mode).mode("append").save()
+    attempt = uuid.uuid4().hex[:8]
+    tag = f"loomery-files-{attempt}"
+    spark.sparkContext.addJobTag(tag)
+    try:
+        given.write.format("loomery_files").option("root", full).option("placement", mode).option("attempt", attempt).mode("append").save()
+    except Exception:
+        _clear(spark, tag, f"{full.rstrip('/')}.staging-{attempt}")
+        raise
+    finally:
+        spark.sparkContext.removeJobTag(tag)
     target, base = opened(full)
     with target.open_input_stream(f"{base}/{REPORT}") as data:
         return json.loads(data.read())

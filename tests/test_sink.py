@@ -1,6 +1,7 @@
 """The sink for files: statuses, commit and abort."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,21 @@ def test_a_job_that_fails_leaves_nothing(spark, files, tmp_path):
 def test_nothing_to_place(spark, files, tmp_path):
     report = sink.place(files.limit(0).select("name"), str(tmp_path / "none"))
     assert sum(report["counts"].values()) == 0 and sink.failures(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_tasks_that_outlive_their_job_leave_nothing(spark, tmp_path):
+    def given(batches):
+        for batch in batches:
+            if batch.column(0)[0].as_py() == 0:
+                time.sleep(3)
+                raise ValueError("broken row")
+            yield batch
+
+    # one part fails while the other has its files under way
+    ids = spark.range(20000, numPartitions=2).mapInArrow(given, "id bigint")
+    files = ids.select(F.col("id").cast("string").alias("record_id"), F.concat(F.lit("d/"), "id").alias("name"), F.lit("x").cast("binary").alias("content"))
+    with pytest.raises(Exception, match="broken row"):
+        sink.place(files, str(tmp_path / "out" / "p"))
+    assert not list(tmp_path.glob("out/*"))
+    time.sleep(2)
+    assert not list(tmp_path.glob("out/*"))
