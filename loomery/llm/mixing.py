@@ -6,15 +6,16 @@ to all documents: nonnegative r with sum_i r_i n_i p_i = T, where n_i are a
 document's tokens, p_i its posterior and T the target totals, by projected
 gradient on the squared distance of both sides. A document's gradient, in the
 metric of its tokens, is p_i . y with one small y for all, so a step is a pass
-that sums a few vectors over the corpus, and rates are a chain of column
-expressions r <- max(0, r + p . y). Only these sums reach the driver.
+that sums a few vectors over the corpus. A pass goes through the steps so far,
+r <- max(0, r + p . y), in its tasks; only its sums reach the driver. The fitted rates
+are a chain of such column expressions.
 """
 
 from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -88,23 +89,30 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, sample: int = 6000, round
             x = [describe(t or "", memo).astype(np.float32).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary()), batch.column(2)], ["doc_id", "x", "domain"])
 
-    table = sorted(rows.mapInArrow(run, "doc_id bigint, x binary, domain int").collect(), key=lambda r: (r["doc_id"], r["x"]))
+    table = rows.mapInArrow(run, "doc_id bigint, x binary, domain int").toArrow().sort_by("doc_id")
     k = len(DOMAINS)
     width = len(describe("", {}))
-    if not table:
+    if not len(table):
         return Classifier(np.zeros((width + 1, k)), np.zeros(width), np.ones(width))
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in table], np.float64)
-    y = np.eye(k)[[r["domain"] for r in table]]
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    y = np.eye(k)[table.column("domain").to_numpy()]
+    # one matrix on the driver, changed in place
+    x = np.ones((len(table), width + 1))
+    for i, features in enumerate(table.column("x")):
+        x[i, 1:] = np.frombuffer(features.as_buffer(), np.float32)
+    del table
+    mean = x[:, 1:].mean(axis=0)
+    x[:, 1:] -= mean
+    scale = np.sqrt(np.einsum("ij,ij->j", x[:, 1:], x[:, 1:]) / len(x))
     scale[scale < 1e-9] = 1.0
-    x = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    x[:, 1:] /= scale
     w = np.zeros((x.shape[1], k))
     w[0] = np.log(y.mean(axis=0) + 1e-3)
-    step = 1.0 / (0.5 * np.linalg.norm(x, 2) ** 2 / len(x) + ridge)
+    step = 1.0 / (0.5 * np.linalg.eigvalsh(x.T @ x)[-1] / len(x) + ridge)
     before = w.copy()
     for t in range(rounds):  # accelerated gradient
         v = w + t / (t + 3) * (w - before)
-        z = np.exp(x @ v - (x @ v).max(axis=1, keepdims=True))
+        z = x @ v
+        z = np.exp(z - z.max(axis=1, keepdims=True))
         grad = x.T @ (z / z.sum(axis=1, keepdims=True) - y) / len(x) + ridge * np.r_[np.zeros((1, k)), v[1:]]
         before, w = w, v - step * grad
     return Classifier(w, mean, scale)
@@ -145,6 +153,32 @@ def growth_to_keep(weighed: DataFrame, targets: dict[str, float], least: Column)
     return max([1.0, *(float(v) * all_ / (targets[d] * total) for d, v in zip(names, row[1:]))]) if total else 1.0
 
 
+def _along(p: Sequence, y: np.ndarray) -> Column | np.ndarray:
+    """p . y by documents, for columns of a table as for arrays, added in one order."""
+    return sum((float(v) * q for v, q in zip(y, p)), 0.0)
+
+
+def _sums(numbers: DataFrame, steps: list[np.ndarray], of: Callable[..., list[np.ndarray]], width: int) -> np.ndarray:
+    """Sums over the table n, p_good, p_poor, p_toxic, least of the ``width`` numbers that ``of`` gives a batch with its rates after ``steps``.
+
+    The steps travel with the code: the plan is the same however many there are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(width)
+        for batch in batches:
+            n, *p, least = (c.to_numpy() for c in batch.columns)
+            r = np.maximum(least, 1.0)
+            for y in steps:
+                r = np.maximum(least, r + _along(p, y))
+            found += of(n, np.array(p), least, r)
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in found], names)
+
+    names = [f"s{i}" for i in range(width)]
+    row = numbers.mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*(F.sum(c) for c in names)).first()
+    return np.array([float(v or 0.0) for v in row])
+
+
 def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0, least: Column | float = 0.0, tolerance: float = 1e-6, most_steps: int = 40) -> tuple[Column, dict[str, float]]:
     """Column of rates for a table with n_tokens and posteriors, and the residual.
 
@@ -160,36 +194,40 @@ def fit_rates(weighed: DataFrame, targets: dict[str, float], growth: float = 1.0
     k = len(DOMAINS)
     want = growth * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
     bound = least if isinstance(least, Column) else F.lit(float(least))
-    numbers = written(weighed.select(F.col("n_tokens").cast("double").alias("n"), *p, bound.alias("least")), "numbers")
-
-    def moved(rate: Column, y: np.ndarray, low: Column) -> Column:
-        return F.greatest(low, rate + sum((F.lit(float(v)) * q for v, q in zip(y, p)), F.lit(0.0)))
-
-    # the same rates by the columns of ``weighed`` and of ``numbers``
-    rate, own = F.greatest(bound, F.lit(1.0)), F.greatest(F.col("least"), F.lit(1.0))
-    first = numbers.agg(F.sum("n"), *(F.sum(F.col("n") * own * q) for q in p)).first()
-    total, got = float(first[0] or 0.0), np.array([float(v or 0.0) for v in first[1:]])
+    numbers = written(weighed.select(F.col("n_tokens").cast("double").alias("n"), *p, bound.alias("least")).na.fill(0.0), "numbers")
+    upper = np.triu_indices(k)
+    steps: list[np.ndarray] = []
+    total, *got = _sums(numbers, steps, lambda n, p, least, r: [n.sum(), *(p @ (n * r))], 1 + k)
+    got = np.array(got)
     for _ in range(most_steps if total else 0):
         short = want - got / total
         if np.abs(short).max() <= tolerance:
             break
-        # a document at the bound takes part where the gradient leads away from it
-        rises = sum((F.lit(float(v)) * q for v, q in zip(short, p)), F.lit(0.0)) > 0
-        live = F.when((F.col("r") > F.col("least")) | rises, F.col("n")).otherwise(0.0)
-        now = numbers.select("n", *p, "least", own.alias("r"))
-        row = now.agg(*(F.sum(live * p[i] * p[j]) for i in range(k) for j in range(i, k))).first()
+
+        def products(n: np.ndarray, p: np.ndarray, least: np.ndarray, r: np.ndarray, short: np.ndarray = short) -> np.ndarray:
+            # a document at the bound takes part where the gradient leads away from it
+            live = np.where((r > least) | (_along(p, short) > 0), n, 0.0)
+            return ((live * p) @ p.T)[upper]
+
         gram = np.zeros((k, k))
-        gram[np.triu_indices(k)] = np.array([float(v or 0.0) for v in row]) / total
+        gram[upper] = _sums(numbers, steps, products, len(upper[0])) / total
         gram = gram + np.triu(gram, 1).T
-        steps = [np.linalg.lstsq(gram + 1e-9 * np.eye(k), short, rcond=1e-10)[0], short / max(np.linalg.norm(gram, 2), 1e-9)]
-        tried = [t * y for y in steps for t in LENGTHS]
-        row = now.agg(*(F.sum(F.col("n") * moved(F.col("r"), y, F.col("least")) * q) for y in tried for q in p)).first()
-        sums = np.array([float(v or 0.0) for v in row]).reshape(len(tried), k)
+        ways = [np.linalg.lstsq(gram + 1e-9 * np.eye(k), short, rcond=1e-10)[0], short / max(np.linalg.norm(gram, 2), 1e-9)]
+        tried = [t * y for y in ways for t in LENGTHS]
+
+        def outcomes(n: np.ndarray, p: np.ndarray, least: np.ndarray, r: np.ndarray, tried: list[np.ndarray] = tried) -> np.ndarray:
+            return np.concatenate([p @ (n * np.maximum(least, r + _along(p, y))) for y in tried])
+
+        sums = _sums(numbers, steps, outcomes, len(tried) * k).reshape(len(tried), k)
         away = np.linalg.norm(want - sums / total, axis=1)
         best = int(away.argmin())
         if away[best] >= np.linalg.norm(short) * (1 - 1e-4):
             break
-        rate, own, got = moved(rate, tried[best], bound), moved(own, tried[best], F.col("least")), sums[best]
+        steps.append(tried[best])
+        got = sums[best]
+    rate = F.greatest(bound, F.lit(1.0))
+    for y in steps:
+        rate = F.greatest(bound, rate + _along(p, y))
     residual = dict(zip(DOMAINS, ((want - got / total) / growth).tolist() if total else [0.0] * k))
     if max(map(abs, residual.values())) > MISSED:
         logging.getLogger(__name__).warning("targets not met, lacking shares of the mix: %s", residual)

@@ -10,6 +10,7 @@ from loomery.llm import bpe, line_dedup, mixing, toxicity
 from tests.llm.conftest import words
 
 import random
+import tracemalloc
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -97,6 +98,28 @@ def test_rates_against_nonnegative_least_squares(spark):
         assert np.allclose((want - a @ got) / growth, list(residual.values()), atol=1e-9)
 
 
+def test_plans_of_the_rounds_do_not_grow(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(int(c), *map(float, q)) for c, q in zip(rng.integers(1, 200, 80), rng.dirichlet((4.0, 1.0, 0.3), 80))]
+    table = spark.createDataFrame(rows, "n_tokens bigint, p_good double, p_poor double, p_toxic double")
+    sizes, kind = [], type(table)
+    monkeypatch.setattr(kind, "first", lambda self, real=kind.first: sizes.append(len(self._jdf.queryExecution().analyzed().toJSON())) or real(self))
+    mixing.fit_rates(table, {"good": 0.1, "poor": 0.1, "toxic": 0.8}, tolerance=0.0)
+    assert len(sizes) >= 9 and max(sizes) < 1.05 * max(sizes[:3])
+
+
+def test_the_classifier_takes_one_matrix_on_the_driver(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, words(rng, 30)) for i in range(1500)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1500)], "doc_id bigint, quality int, toxic int")
+    tracemalloc.start()
+    try:
+        model = mixing.fit_classifier(docs, labels, rounds=5)
+        assert tracemalloc.get_traced_memory()[1] < 2.5 * 1500 * 8 * len(model.weights)
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("stage", ["toxicity", "lines", "mixing"])
 def test_workers_give_few_rows_at_a_time(spark, monkeypatch, stage):
     rows = [(i, f"line {i} of some text\na line that they all share", "en", "web", 9) for i in range(700)]
