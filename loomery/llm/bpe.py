@@ -3,12 +3,12 @@
 The model is rebuilt from a rank file: every rank's bytes become characters by
 the usual byte-to-character table, and each token's merge is the last one that
 joining its bytes by lower ranks arrives at. Text is cut by the pattern first;
-pieces recur, so a worker remembers the ids and offsets of pieces it has met (a cache
+pieces recur, so a worker remembers the ids of pieces it has met (a cache
 bounded in bytes; long pieces are not kept) and asks the library's model for the
 others. Decoding reverses the byte-to-character table over the tokens' spellings.
 
-Token offsets: a piece's characters are its bytes, so the lengths of the library's
-tokens give byte offsets in the piece; the count of UTF-8 lead bytes up to there gives characters.
+Token offsets: a token's characters are its bytes, so the lengths of the spellings
+of the ids give byte offsets; the count of UTF-8 lead bytes up to there gives characters.
 A token that holds part of a character covers the whole of it, so neighbours may
 overlap; such tokens are counted as split.
 """
@@ -20,7 +20,6 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +29,10 @@ from tokenizers import models
 
 from loomery.llm.store import fields_and
 
-#: Bytes of pieces and results that a worker keeps, and characters of the longest piece it keeps.
-CACHE_BYTES, LONGEST = 128_000_000, 256
-#: What a kept piece costs beside its text and its results.
-OVERHEAD = 400
+#: Bytes of pieces and ids that a worker keeps, and characters of the longest piece it keeps.
+CACHE_BYTES, LONGEST = 64_000_000, 256
+#: What a kept piece costs beside its text and its ids.
+OVERHEAD = 200
 
 
 @lru_cache(maxsize=1)
@@ -74,40 +73,35 @@ class ByteBpe:
         self.spelling = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.spelling[rank] = spelt[token]
+        self.lengths = np.array(list(map(len, self.spelling)), np.int64)
         self.pattern = regex.compile(pattern)
-        #: ids, byte offsets of the ends, and number of split tokens of a piece
-        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        #: ids of a piece as bytes; all else follows from them, so nothing else is kept
+        self.known: dict[str, bytes] = {}
         #: what was known before; pieces met again come back from there
-        self.older: dict[str, tuple[bytes, bytes, int]] = {}
+        self.older: dict[str, bytes] = {}
         self.kept = 0
 
-    def _new(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, int]]:
-        """Results of the long pieces; short ones are known from here on."""
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of the long pieces; short ones are known from here on."""
         if self.kept > CACHE_BYTES // 2:
             self.known, self.older, self.kept = {}, self.known, 0
         known, older, tokens_of, table, found = self.known, self.older, self.model.tokenize, self.table, {}
         for p in dict.fromkeys(pieces):
             if p in known:
                 continue
-            result = older.get(p)
-            if result is None:
+            ids = older.get(p)
+            if ids is None:
                 # bytes as characters: the library then sees the piece as one word
-                raw = p.encode()
-                tokens = tokens_of(raw.decode("latin-1").translate(table))
-                ends, split = list(accumulate([len(t.value) for t in tokens])), 0
-                if len(raw) != len(p):
-                    within = [e < len(raw) and raw[e] & 0xC0 == 0x80 for e in ends]
-                    split = sum(map(max, [False, *within[:-1]], within))
-                result = array("I", [t.id for t in tokens]).tobytes(), array("I", ends).tobytes(), split
+                ids = array("I", [t.id for t in tokens_of(p.encode().decode("latin-1").translate(table))]).tobytes()
             if len(p) <= LONGEST:
-                known[p] = result
-                self.kept += len(p) + 2 * len(result[0]) + OVERHEAD
+                known[p] = ids
+                self.kept += len(p) + len(ids) + OVERHEAD
             else:
-                found[p] = result
+                found[p] = ids
         return found
 
-    def results(self, text: str) -> list[tuple[bytes, bytes, int]]:
-        pieces, known = self.pattern.findall(text), self.known
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        known = self.known
         try:
             return [known[p] for p in pieces]
         except KeyError:
@@ -115,9 +109,25 @@ class ByteBpe:
             known = self.known
             return [known[p] if len(p) <= LONGEST else found[p] for p in pieces]
 
+    def ends(self, ids: bytes) -> np.ndarray:
+        """Byte offset of each token's end."""
+        return np.cumsum(self.lengths[np.frombuffer(ids, "<u4")])
+
+    def split(self, ids: bytes, raw: bytes) -> int:
+        """How many tokens hold part of a character of ``raw``, the bytes of the ids."""
+        if raw.isascii():
+            return 0
+        within = np.frombuffer(raw, np.uint8)[self.ends(ids)[:-1]] & 0xC0 == 0x80
+        return int((np.append(within, False) | np.append(False, within)).sum())
+
+    def results(self, text: str) -> list[tuple[bytes, bytes, int]]:
+        """Ids, byte offsets of the ends, and number of split tokens of each piece."""
+        pieces = self.pattern.findall(text)
+        return [(ids, self.ends(ids).astype("<u4").tobytes(), self.split(ids, p.encode())) for p, ids in zip(pieces, self._each(pieces))]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join([r[0] for r in self.results(text)])
+        return b"".join(self._each(self.pattern.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of the ids; characters that were split between tokens come together again."""
@@ -126,11 +136,9 @@ class ByteBpe:
 
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end (exclusive) of each token in characters of the text."""
-        within = [np.frombuffer(r[1], "<u4").astype(np.int64) for r in self.results(text)]
-        if not within:
+        ends = self.ends(self.encode(text))
+        if not len(ends):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        before = np.cumsum([0, *(e[-1] for e in within[:-1])])
-        ends = np.concatenate([e + b for e, b in zip(within, before)])
         starts = np.concatenate([[0], ends[:-1]])
         lead = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
         return lead[starts] - 1, lead[ends - 1]
@@ -198,13 +206,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         for batch in batches:
             for at in range(0, len(batch), 512):  # few texts and results at a time
                 part = batch.slice(at, 512)
-                made, split = [], []
+                made, back, split = [], [], []
                 for text in part.column(1):
-                    results = bpe.results(text.as_py() or "")
-                    made.append(b"".join([r[0] for r in results]))
-                    split.append(sum([r[2] for r in results]))
-                digests = [[hashlib.sha256(x).hexdigest() for x in values] for values in (made, map(bpe.decode, made))]
-                columns = [pa.array([len(i) // 4 for i in made], pa.int64()), *(pa.array(d, pa.string()) for d in digests), pa.array(split, pa.int64())]
+                    ids_of = bpe.encode(text.as_py() or "")
+                    decoded = bpe.decode(ids_of)
+                    made.append(ids_of)
+                    back.append(hashlib.sha256(decoded).hexdigest())
+                    split.append(bpe.split(ids_of, decoded))
+                digests = [hashlib.sha256(i).hexdigest() for i in made]
+                columns = [pa.array([len(i) // 4 for i in made], pa.int64()), *(pa.array(d, pa.string()) for d in (digests, back)), pa.array(split, pa.int64())]
                 if ids:
                     columns.append(pa.array([np.frombuffer(i, "<i4") for i in made], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.fieldNames())

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -199,6 +200,17 @@ def test_pieces_met_again_are_not_asked_for_again(monkeypatch):
     assert codec.kept + sum(map(len, codec.older)) < 40_000
 
 
+def test_a_kept_piece_costs_little_memory():
+    codec = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    before = codec.kept
+    tracemalloc.start()
+    for i in range(400):
+        codec.encode("".join(f" w{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}{'xyz'[i % 3]}q{chr(97 + i // 26)}" for k in range(100)))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(codec.known) > 20_000 and held < 250 * len(codec.known) and held < 1.2 * (codec.kept - before)
+
+
 # ---- token counts -----------------------------------------------------------------------------
 
 

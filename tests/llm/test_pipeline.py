@@ -2,8 +2,10 @@ import collections
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomery.llm import bpe, line_dedup, mixing, toxicity
@@ -49,6 +51,23 @@ def test_stages(spark, tmp_path):
     assert collections.Counter(whole) == collections.Counter(repr(r) for r in docs.collect())
 
 
+def test_stages_hand_python_few_rows_at_once(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text")).coalesce(1)
+    sizes = lambda: docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [len(b)]}) for b in batches), "n bigint").agg(F.max("n"), F.sum("n")).first()
+    try:
+        spark.conf.set(key, 10_000)
+        assert corpus_pipeline.tokenise(spark, docs, str(tmp_path)).count() == 9000
+        most, rows = sizes()
+        assert most <= 2000 and rows == 9000
+        spark.conf.set(key, 500)
+        corpus_pipeline.tokenise(spark, docs, str(tmp_path))
+        assert sizes()[0] <= 500
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_odd_tables(spark, tmp_path):
     """An empty table, null ids, repeated rows and further columns with the names that stages use."""
     labels = spark.createDataFrame([(i, 1, int(i == 2)) for i in range(4)], "doc_id bigint, quality int, toxic int")
