@@ -30,7 +30,7 @@ from tokenizers import models
 from loomery.llm.store import fields_and
 
 #: Bytes of pieces and ids that a worker keeps, and characters of the longest piece it keeps.
-CACHE_BYTES, LONGEST = 64_000_000, 256
+CACHE_BYTES, LONGEST = 32_000_000, 256
 #: What a kept piece costs beside its text and its ids.
 OVERHEAD = 200
 
