@@ -14,6 +14,8 @@ from loomery.sources import state
 
 # Fixed value: the version of the manifest's layout.
 MANIFEST_VERSION = "canon-build-manifest-1.0"
+#: Drifted entries that the manifest names; the table of drift has all of them.
+NAMED = 1000
 
 
 @dataclass(frozen=True)
@@ -37,6 +39,7 @@ class Built:
     entities_rebuilt: int
     removed: int
     frozen_entries: int
+    drifted_entries: int
     drifted: tuple[tuple[str, str], ...]
     schema_change_full_rebuild: bool
     rewritten: tuple[tuple, ...]
@@ -67,11 +70,12 @@ def run(
 ) -> Built:
     """Build the entries (id, schema_kind, entry, source, schema_version) into ``root``.
 
-    ``root`` holds rows (the training rows of all entries, by lane and bucket), cache (renderings by entry hash and id) and
-    manifest.json. An entry whose hash is in the cache isn't rendered again, unless ``full``,
+    ``root`` holds rows (the training rows of all entries, by lane and bucket), cache (renderings by entry hash and id), drift
+    (id, freeze_status of every entry that this build found drifted) and manifest.json. An entry whose hash is in the cache isn't rendered again, unless ``full``,
     ``no_cache`` or a new schema version says so; rows that don't change keep their partition's files. ``only`` (id) builds these
     entries and leaves the rest; without it entries that are gone lose their rows. Drift compares the
-    watched fields of entries that aren't auto with those of the last build. ``context`` renders (id,
+    watched fields of entries that aren't auto with those of the last build: all are counted, the first thousand by id are named
+    in what is returned and in the manifest. ``context`` renders (id,
     context) of entries; one of over ``context_lines`` lines fails the build before anything is
     written. A dry run plans and counts only.
     """
@@ -109,21 +113,29 @@ def run(
     lines = made.unionByName(held).join(stamps, ["entry_hash", "entity_id"])
     target = state.bucketed(lines, ["entity_id"], plan.buckets)
     old = state.read(spark, rows_path, target.schema)
-    drifted = canon.drift(now, old.where("freeze_status <> 'auto'").select(F.col("entity_id").alias("id"), F.col("watch_hash").alias("witness_hash"))).where("drift = 'drifted'")
-    drift = tuple((r["id"], r["freeze_status"]) for r in drifted.orderBy("id").limit(1000).collect())  # the manifest names the first thousand
+    drifted = canon.drift(now, old.where("freeze_status <> 'auto'").select(F.col("entity_id").alias("id"), F.col("watch_hash").alias("witness_hash"))).where("drift = 'drifted'").select("id", "freeze_status")
+    if not dry_run:
+        drifted.write.mode("overwrite").parquet(f"{root}/drift")
+        drifted = spark.read.schema(drifted.schema).parquet(f"{root}/drift")
+    found = (drifted.count(), tuple((r["id"], r["freeze_status"]) for r in drifted.orderBy("id").limit(NAMED).collect()))
     gone = None if only is not None else old.join(now.select(F.col("id").alias("entity_id")), "entity_id", "left_anti").select("entity_id")
     if dry_run:
-        return Built(generated_from, total[0], total[0] - counts, counts, 0, total[1], drift, changed_schema, (), True)
+        return Built(generated_from, total[0], total[0] - counts, counts, 0, total[1], *found, changed_schema, (), True)
     # renderings first: a build that fails after this finds them again
     if not no_cache and counts:
         made.join(cache.select("entry_hash", "entity_id"), ["entry_hash", "entity_id"], "left_anti").write.mode("append").parquet(cache_path)
     merged = state.upsert(rows_path, target, ["entity_id"], ["lane", state.BUCKET], gone)
-    built = Built(generated_from, total[0], total[0] - counts, counts, merged.deleted, total[1], drift, changed_schema, merged.rewritten)
+    built = Built(generated_from, total[0], total[0] - counts, counts, merged.deleted, total[1], *found, changed_schema, merged.rewritten)
     manifest = {"schema_version": MANIFEST_VERSION, "generated_from": generated_from, "schema_versions": known | versions if only is not None else versions, "project_config_fingerprint": plan.project_fingerprint}
-    _publish(spark, root, manifest | {"stats": {k: v for k, v in asdict(built).items() if k not in ("generated_from", "rewritten", "dry_run", "drifted")}, "drift_against_prior": [list(d) for d in drift]})
+    _publish(spark, root, manifest | {"stats": {k: v for k, v in asdict(built).items() if k not in ("generated_from", "rewritten", "dry_run", "drifted")}, "drift_against_prior": [list(d) for d in built.drifted]})
     return built
 
 
 def rows(spark: SparkSession, root: str) -> DataFrame:
     """The rows that the builds so far have left."""
     return spark.read.parquet(f"{root}/rows")
+
+
+def drift(spark: SparkSession, root: str) -> DataFrame:
+    """(id, freeze_status): all entries that the last build found drifted."""
+    return spark.read.parquet(f"{root}/drift")

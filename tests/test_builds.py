@@ -93,6 +93,17 @@ def test_builds_in_a_row(spark, tmp_path):
     assert builds.latest(spark, root)["generated_from"] == "g6"
 
 
+def test_all_drifted_entries_are_counted_and_kept(spark, tmp_path):
+    root = str(tmp_path)
+    frozen = lambda name: spark.range(1200).select(F.concat(F.lit("f"), "id").alias("id"), F.lit("ship").alias("schema_kind"), F.lit(f'{{"name": "{name}", "freeze": {{"status": "frozen"}}}}').alias("entry"), F.lit(name).alias("source"), F.lit("v1").alias("schema_version"))
+    assert builds.run(frozen("old"), root, PLAN, "g1").drifted_entries == 0 and builds.drift(spark, root).count() == 0
+    assert builds.run(frozen("new"), root, PLAN, "g2", dry_run=True).drifted_entries == 1200
+    done = builds.run(frozen("new"), root, PLAN, "g2")
+    assert (done.drifted_entries, builds.latest(spark, root)["stats"]["drifted_entries"]) == (1200, 1200)
+    assert sorted(map(tuple, builds.drift(spark, root).collect())) == sorted((f"f{i}", "frozen") for i in range(1200))
+    assert list(done.drifted) == sorted((f"f{i}", "frozen") for i in range(1200))[: builds.NAMED]
+
+
 def test_full_builds(spark, tmp_path):
     root = str(tmp_path)
     builds.run(entries(spark), root, PLAN, "g1")
