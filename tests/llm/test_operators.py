@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomery.llm import bpe, components, embed_dedup, licenses, line_dedup, mixing, pii, simhash, token_counts, topk_search, toxicity
-from tests.llm.conftest import SCHEMA, rows_of
+from tests.llm.conftest import SCHEMA, rows_of, words
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -334,6 +334,45 @@ def test_pivots_of_any_threshold_keep_the_top():
             assert ids[:5].tolist() == [i for _, i in best[:5]] and sum(read) <= searcher.blocks
 
 
+def test_batches_give_what_single_queries_give_beyond_single_precision():
+    """Scores that differ by less than single precision tells: the order is that of double precision, whatever the batch."""
+    builder = topk_search._Builder()
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(120)]
+    for i in range(600):
+        builder.add(i, " ".join(words[:90] + (["x"] if i % 97 == 0 else []) + rng.choices(words[90:], k=i % 5)))
+    hashes = np.unique(np.array([topk_search.term_hash(w) for w in [*words, "x"]], np.uint64))
+    idf = np.where(hashes == topk_search.term_hash("x"), 1e-5, 1000.0)
+    searcher = topk_search.Searcher(builder.shard(), 90.0, hashes, idf)
+    asks = [np.array(sorted(rng.sample(range(len(hashes)), rng.randint(1, 110)))) for _ in range(150)] + [np.arange(len(hashes)), np.zeros(0, np.int64)]
+    alone = [searcher.top(a, 7) for a in asks]
+    found = {i: (ids, scores) for i, ids, scores in searcher.tops(asks, 7, np.zeros(len(asks)))}
+    for i, (ids, scores) in enumerate(alone):
+        exact = np.round(searcher.full[:, [r for r in searcher.row[asks[i]] if r >= 0]].sum(axis=1) + sum((np.bincount(searcher.docs[s : s + n], searcher.impact[s : s + n], 600) for s, n in zip(searcher.start[asks[i]], searcher.size[asks[i]])), np.zeros(600)), 6)
+        best = [d for d in np.lexsort((np.arange(600), -exact))[:7].tolist() if exact[d] > 0]
+        assert ids.tolist() == best and np.array_equal(scores, exact[best])
+        assert not best and i not in found or (found[i][0].tolist(), found[i][1].tolist()) == (ids.tolist(), scores.tolist())
+
+
+def test_later_rounds_give_few_hits(spark, monkeypatch):
+    rng, hits = random.Random(2), []
+    table = spark.createDataFrame(rows_of([(i, words(rng, 30)) for i in range(1200)]), SCHEMA).repartition(4)
+    written = topk_search.written
+
+    def spy(df, label, *more):
+        out = written(df, label, *more)
+        if label == "hits":
+            hits.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk_search, "written", spy)
+    asks = table.where("doc_id % 50 = 0")
+    found = topk_search.search(table, asks, 3, shard_docs=10)
+    assert found.count() == 24 * 3 and len(hits) == 3
+    # all shards together have 120 x 24 x 3 best ones; a later round gives those that reach the threshold alone
+    assert hits[0] <= 4 * 24 * 3 and max(hits[1:]) < 24 * 3 * 12
+
+
 # ---- personal data --------------------------------------------------------------------------------
 
 BASE = (
